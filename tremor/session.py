@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Wide event rows plus large geometry expressions make Catalyst's
     # constraint propagation grow without bound; the library never relies on
     # inferred constraints.
