@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tremor.functions import fixed_values as fv
+from tremor.functions.tables import local_table
+
+_S = "string"
 
 
 def abbreviations(spark: SparkSession, complete: bool = False) -> DataFrame:
     """``(abbreviation, state_name)``; 49 rows, 50 with ``complete``."""
     table = fv.COMPLETE_ABBREVIATIONS if complete else fv.STATE_ABBREVIATIONS
-    return spark.createDataFrame(list(table.items()),
-                                 "abbreviation string, state_name string")
+    return local_table(spark, list(table.items()), [("abbreviation", _S), ("state_name", _S)])
 
 
 def countries(spark: SparkSession, complete: bool = False) -> DataFrame:
@@ -24,11 +26,11 @@ def countries(spark: SparkSession, complete: bool = False) -> DataFrame:
     states = fv.COMPLETE_US_STATES if complete else fv.US_STATES
     rows = [(s, fv.UNITED_STATES, fv.NORTH_AMERICA)
             for s in list(states) + list(fv.US_TERRITORIES)]
-    return spark.createDataFrame(rows, "state string, country string, continent string")
+    return local_table(spark, rows, [("state", _S), ("country", _S), ("continent", _S)])
 
 
 def regions(spark: SparkSession) -> DataFrame:
     """``(state, region)``; 50 rows."""
     rows = [(state, region) for region, states in fv.US_REGIONS.items()
             for state in states]
-    return spark.createDataFrame(rows, "state string, region string")
+    return local_table(spark, rows, [("state", _S), ("region", _S)])

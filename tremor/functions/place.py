@@ -38,28 +38,52 @@ def strip_ws(col: Column) -> Column:
     return F.regexp_replace(col, _STRIP_PATTERN, "")
 
 
-def place_parts(place: Column) -> dict[str, Column]:
-    """Column expressions for the four place parts.
+# U+FFFF is a Unicode noncharacter: it separates the groups in the one-pass
+# rewrite below.  Texts that contain it take the per-group path instead.
+_SEP = "\uffff"
+_REWRITE = _SEP + "$1" + _SEP + "$2" + _SEP + "$3" + _SEP + "$4"
+
+
+def place_pieces(place: Column) -> Column:
+    """One evaluation of the grammar over a stripped text.
+
+    An anchored ``regexp_replace`` rewrites a matching text to its four
+    groups joined by a separator and ``split`` takes them apart; a
+    non-matching text comes back unchanged (one piece).
+    """
+    return F.split(F.regexp_replace(place, PLACE_PATTERN, _REWRITE), _SEP, -1)
+
+
+def place_parts(place: Column, pieces: Column | None = None) -> dict[str, Column]:
+    """Column expressions for the four place parts of a stripped text.
 
     * a group that did not take part in the match is null;
-    * when the grammar does not match at all, ``nearest`` is the original
-      text and the other three parts are null;
+    * when the grammar does not match at all, ``nearest`` is null here
+      (the caller substitutes the original text) and the others are null;
     * ``nearest`` is stripped and may be an empty (non-null) string.
 
-    ``place`` should already be a stripped column (see ``parse_place`` in
-    ``tremor.operators.clean``, which strips once and reuses the result).
+    ``pieces`` is ``place_pieces(place)``, ideally already a column so the
+    grammar runs once per row.  Every group except ``nearest`` needs at
+    least one character when it takes part, so an empty piece means absent.
+    Texts containing the separator take the per-group extraction path.
     """
-    matched = place.rlike(PLACE_PATTERN)
+    if pieces is None:
+        pieces = place_pieces(place)
+    fast_match = F.size(pieces) == 5
 
-    def group(i: int) -> Column:
-        return F.regexp_extract(place, PLACE_PATTERN, i)
+    def fast(i: int) -> Column:
+        return F.when(fast_match, pieces.getItem(i))
 
-    def optional(i: int) -> Column:
-        return F.when(matched, F.nullif(group(i), F.lit("")))
+    def slow(i: int) -> Column:
+        return F.regexp_extract(place, PLACE_PATTERN, i)
 
+    has_sep = F.instr(place, _SEP) > 0
+    g = {i: F.when(has_sep, slow(i)).otherwise(fast(i)) for i in (1, 2, 4)}
+    nearest_group = F.when(has_sep, F.when(place.rlike(PLACE_PATTERN), slow(3))) \
+                     .otherwise(fast(3))
     return {
-        "distance": optional(1),
-        "direction": optional(2),
-        "nearest": F.when(matched, strip_ws(group(3))),
-        "state": optional(4),
+        "distance": F.nullif(g[1], F.lit("")),
+        "direction": F.nullif(g[2], F.lit("")),
+        "nearest": strip_ws(nearest_group),
+        "state": F.nullif(g[4], F.lit("")),
     }

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tremor.functions import fixed_values as fv
 from tremor.functions import lookups
 from tremor.functions.numeric import distance_km, to_int_half_even
-from tremor.functions.place import place_parts, strip_ws
+from tremor.functions.place import place_parts, place_pieces, strip_ws
 
 RENAMES = {
     "id": "earthquake_id",
@@ -31,13 +31,24 @@ def drop_incomplete(df: DataFrame, subset: list[str] | None = None) -> DataFrame
 def parse_place(df: DataFrame, col: str = "place") -> DataFrame:
     """Add ``distance, direction, nearest, state`` parsed from ``col``.
 
-    The stripped text is computed once into a helper column so the five
-    regular-expression evaluations share it.
+    The parts are produced by a one-row generator (``inline`` of a
+    one-element array).  Catalyst substitutes a projected expression into
+    every filter and join key that uses it, which would re-run the regular
+    expression for each use; a predicate on generator output cannot be
+    pushed below the generator, so the parse runs exactly once per row.
     """
-    stripped = df.withColumn("_place", strip_ws(F.col(col)))
-    parts = place_parts(F.col("_place"))
+    staged = df.withColumn("_ps", strip_ws(F.col(col))) \
+               .withColumn("_pp", place_pieces(F.col("_ps")))
+    parts = place_parts(F.col("_ps"), F.col("_pp"))
     parts["nearest"] = F.coalesce(parts["nearest"], F.col(col))
-    return stripped.withColumns(parts).drop("_place")
+    return with_computed(staged, parts).drop("_ps", "_pp")
+
+
+def with_computed(df: DataFrame, cols: dict) -> DataFrame:
+    """Append expensive columns computed once per row (see ``parse_place``)."""
+    packed = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select(*[F.col(c) for c in df.columns if c not in cols],
+                     F.inline(F.array(packed)))
 
 
 def expand_state(df: DataFrame, col: str = "state", complete: bool = False) -> DataFrame:
@@ -114,7 +125,9 @@ def clean_and_transform(raw: DataFrame, complete: bool = False) -> DataFrame:
     """
     df = drop_incomplete(raw)
     df = parse_place(df)
-    df = drop_incomplete(df)
+    # P1 again: the raw columns are complete already, so only the parsed
+    # parts can be missing (nearest is never null after a parse).
+    df = drop_incomplete(df, ["distance", "direction", "nearest", "state"])
     df = expand_state(df, complete=complete)
     df = classify_country(df, complete=complete)
     df = rename_columns(df)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.functions.tables import local_table
 from tremor.schemas import RAW_FIELDS
 from tremor.sources.counties import edges_from_rings
 
@@ -90,9 +91,9 @@ def event_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_county_edges(spark: SparkSession) -> DataFrame:
     """Edge table of the four stand-in counties (a hole in D, shared edges)."""
-    rows = [(pid, name, ring, [(float(x), float(y)) for x, y in pts])
+    rows = [(pid, name, ring, [{"x": float(x), "y": float(y)} for x, y in pts])
             for pid, name, ring, pts in FIXTURE_COUNTIES]
-    rings = spark.createDataFrame(
-        rows, "polygon_id string, county string, ring int, "
-              "vertices array<struct<x:double,y:double>>")
+    rings = local_table(spark, rows, [("polygon_id", "string"), ("county", "string"),
+                                      ("ring", "int"),
+                                      ("vertices", "array<struct<x:double,y:double>>")])
     return edges_from_rings(rings)
