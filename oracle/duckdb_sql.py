@@ -516,7 +516,7 @@ SELECT CAST(count(*) AS BIGINT) AS n, round(corr(mag, depth), 6) AS corr_mag_dep
        round(covar_samp(mag, depth), 6) AS covar_mag_depth FROM final"""),
     "depth_bands": _with("""
 SELECT CAST(floor(depth / 10.0) AS BIGINT) * 10.0 AS depth_band, CAST(count(*) AS BIGINT) AS n,
-       round(avg(mag), 6) AS avg_magnitude
+       round(sum(mag), 6) AS sum_magnitude
 FROM final WHERE depth IS NOT NULL AND mag IS NOT NULL GROUP BY 1"""),
     "density_grid": _with(f"""
 SELECT CAST(floor(latitude / {DENSITY_CELL_DEG}) AS BIGINT) AS lat_cell,

@@ -163,12 +163,17 @@ def magnitude_depth(df: DataFrame, mag: str = "mag", depth: str = "depth") -> Da
 
 
 def depth_band_means(df: DataFrame, band_km: float = 10.0) -> DataFrame:
-    """Mean magnitude per depth band."""
+    """Magnitude per depth band as ``n`` and ``sum_magnitude``.
+
+    The band mean is ``sum_magnitude / n``; the pair is exact and additive
+    (bands can be merged), while a rounded floating mean can land on either
+    side of a decimal tie depending on summation order.
+    """
     b = F.floor(F.col("depth") / F.lit(float(band_km)))
     return (df.where(F.col("depth").isNotNull() & F.col("mag").isNotNull())
               .groupBy((b * F.lit(float(band_km))).alias("depth_band"))
               .agg(F.count(F.lit(1)).cast("long").alias("n"),
-                   F.round(F.avg("mag"), 6).alias("avg_magnitude")))
+                   F.round(F.sum("mag"), 6).alias("sum_magnitude")))
 
 
 def calendar_counts(df: DataFrame, time_col: str = "time") -> DataFrame:

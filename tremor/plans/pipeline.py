@@ -16,9 +16,25 @@ from tremor.operators import clean, spatial
 from tremor.schemas import FINAL_COLUMNS
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guarantee enough tasks for the CPU-heavy chain (regex parse, polygon tests).
+
+    A source split into many files needs nothing (returned as is).  A source
+    with fewer partitions than the cluster has cores (one big file with one
+    row group) would run the whole chain in a handful of tasks, so its rows
+    are spread round-robin first (Spark sorts before a round-robin exchange,
+    so a retried task sends every row to the same place).
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def transformed_events(raw: DataFrame, complete: bool = False) -> DataFrame:
     """Cleaning stage."""
-    return clean.clean_and_transform(raw, complete=complete)
+    return clean.clean_and_transform(spread(raw), complete=complete)
 
 
 def events_with_county(transformed: DataFrame, edges: DataFrame, **spatial_kw) -> DataFrame:
