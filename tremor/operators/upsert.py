@@ -9,22 +9,60 @@ Running the same load twice therefore adds nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tremor.operators.keys import assign_surrogate_keys, max_key
 
 
 def new_rows(candidates: DataFrame, existing: DataFrame | None, key_cols: list[str],
-             dedup: str = "distinct") -> DataFrame:
+             dedup: str = "distinct", broadcast_rows: int | None = None) -> DataFrame:
     """Candidate rows whose key is not yet present.
 
     ``dedup="distinct"`` is ``SELECT DISTINCT`` over all candidate columns
     (A1); ``dedup="key"`` keeps one row per conflict target (A2), for tables
     whose other columns are functions of the key.
+
+    A left anti join can only broadcast its right side, so a plain anti join
+    of a small batch against a large table shuffles the whole table on every
+    load.  When the batch's distinct keys are measured to be few
+    (``broadcast_rows``, default from the broadcast threshold), the existing
+    keys are first reduced by a semi join against the *broadcast batch keys*
+    (a scan, no shuffle of the table); the anti join then runs against that
+    small remainder.
     """
     rows = candidates.distinct() if dedup == "distinct" else candidates.dropDuplicates(key_cols)
     if existing is None:
         return rows
-    return rows.join(existing.select(*key_cols), on=key_cols, how="left_anti")
+    old_keys = existing.select(*key_cols)
+    limit = broadcast_rows if broadcast_rows is not None else _broadcast_rows(rows, key_cols)
+    if limit > 0:
+        batch_keys = rows.select(*key_cols).distinct()
+        if batch_keys.count() <= limit:
+            old_keys = old_keys.join(F.broadcast(batch_keys), on=key_cols, how="left_semi")
+    return rows.join(old_keys, on=key_cols, how="left_anti")
+
+
+def _broadcast_rows(df: DataFrame, key_cols: list[str]) -> int:
+    spark = df.sparkSession
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).rstrip("bB")
+    try:
+        budget = int(raw)
+    except ValueError:
+        budget = 10 * 1024 * 1024
+    if budget <= 0:
+        return 0
+    row_bytes = sum(_field_bytes(df.schema[c].dataType) for c in key_cols) + 16
+    return budget // row_bytes
+
+
+def _field_bytes(dtype) -> int:
+    """Rough in-memory size of one value (strings: a typical short label)."""
+    name = dtype.typeName()
+    if name in ("string", "binary"):
+        return 32
+    if name in ("integer", "float", "date"):
+        return 4
+    return 8
 
 
 def insert_only(candidates: DataFrame, existing: DataFrame | None, key_cols: list[str],

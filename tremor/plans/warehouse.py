@@ -25,40 +25,48 @@ from tremor.functions.numeric import to_int_half_even
 from tremor.operators.keys import assign_surrogate_keys, max_key
 from tremor.operators.upsert import new_rows
 from tremor.operators.validate import require_not_null
-from tremor.session import scratch_path
+from tremor.session import list_names, scratch_path
 
 
 class Warehouse:
     """A set of published tables under one root folder.
 
-    A table is the list of folders its batches were written to; an insert
-    writes only the new rows as one more folder, so a load never rewrites
-    (or reads while overwriting) what is already there.
+    Table ``t`` is the folder ``<root>/t`` holding one sub-folder
+    ``batch=NNNNN`` per insert; the layout on storage is the whole state, so a
+    restarted job (or the streaming refresh) re-opens a warehouse from its
+    root alone.  An insert writes only its new rows as one more batch folder:
+    a load never rewrites, or reads while overwriting, what is there.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root or scratch_path(spark, "warehouse")
-        self.parts: dict[str, list[str]] = {}
+        self.root = (root or scratch_path(spark, "warehouse")).rstrip("/")
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> "Warehouse":
+        return cls(spark, root)
+
+    def _batches(self, name: str) -> list[str]:
+        return sorted(n for n in list_names(self.spark, f"{self.root}/{name}")
+                      if n.startswith("batch="))
 
     def has(self, name: str) -> bool:
-        return bool(self.parts.get(name))
+        return bool(self._batches(name))
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(*self.parts[name])
+        return self.spark.read.parquet(f"{self.root}/{name}").drop("batch")
 
     def get(self, name: str) -> DataFrame | None:
         return self.table(name) if self.has(name) else None
 
     def append(self, name: str, rows: DataFrame) -> DataFrame:
         """Write ``rows`` as a new batch folder of table ``name``."""
-        parts = self.parts.setdefault(name, [])
-        path = f"{self.root}/{name}/batch={len(parts):05d}"
+        batches = self._batches(name)
+        nxt = int(batches[-1].split("=")[1]) + 1 if batches else 0
         existing = self.get(name)
         if existing is not None:
             rows = rows.select(*existing.columns)
-        rows.write.mode("errorifexists").parquet(path)
-        parts.append(path)
+        rows.write.mode("errorifexists").parquet(f"{self.root}/{name}/batch={nxt:05d}")
         return self.table(name)
 
     def _load_dimension(self, name: str, candidates: DataFrame, dedup: str = "distinct",
@@ -81,8 +89,13 @@ class Warehouse:
         return self._load_facts("staging_events", staging)
 
     # -- 3NF -------------------------------------------------------------------
-    def load_reconciled(self, staging: DataFrame | None = None, validate: bool = True) -> None:
-        """W3-W7 from a staging batch (default: the published staging table)."""
+    def load_reconciled(self, staging: DataFrame | None = None,
+                        validate: bool = True) -> DataFrame:
+        """W3-W7 from a staging batch (default: the published staging table).
+
+        Returns the 3NF event rows of that batch (for a star load of just
+        this batch).
+        """
         stg = staging if staging is not None else self.table("staging_events")
         if validate:
             require_not_null(stg, S.FINAL_COLUMNS)
@@ -93,14 +106,26 @@ class Warehouse:
         facts = earthquake_rows(stg, self.table("location"), self.table("magnitude_detail"),
                                 self.table("seismic_metrics"), self.table("data_source"))
         self._load_facts("earthquake", facts)
+        return self.table("earthquake").join(stg.select("earthquake_id"), "earthquake_id",
+                                             "left_semi")
 
     # -- star ------------------------------------------------------------------
-    def load_star(self) -> None:
-        """W8-W13 from the published 3NF tables."""
-        eq = self.table("earthquake")
+    def load_star(self, events: DataFrame | None = None) -> None:
+        """W8-W13 from the published 3NF tables.
+
+        With ``events`` (3NF event rows of one batch) the dimension
+        candidates are limited to what those events reference, so a monthly
+        batch reads the 3NF dimensions with a semi join instead of loading
+        every row as a candidate.
+        """
+        eq = events if events is not None else self.table("earthquake")
         loc = self.table("location")
         mag = self.table("magnitude_detail")
         src = self.table("data_source")
+        if events is not None:
+            loc = loc.join(eq.select("location_id"), "location_id", "left_semi")
+            mag = mag.join(eq.select("magnitude_detail_id"), "magnitude_detail_id", "left_semi")
+            src = src.join(eq.select("data_source_id"), "data_source_id", "left_semi")
         self._load_dimension("time_dim", time_dim_rows(eq), dedup="key", derive=with_calendar)
         self._load_dimension("location_dim", loc.select(*S.LOCATION_DIM_KEY))
         self._load_dimension("magnitude_type_dim", mag.select(*S.MAGNITUDE_TYPE_DIM_KEY))

@@ -78,6 +78,16 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "tremor", *parts, uuid.uuid4().hex])
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder on any Hadoop file system ([] if absent)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -87,5 +97,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path",
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "list_names",
            "shuffle_partitions", "local_path", "DEFAULT_CONF"]

@@ -28,7 +28,7 @@ NULL_TOKENS = [
     "nan", "null",
 ]
 
-_TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in RAW_COLUMNS])
+TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in RAW_COLUMNS])
 
 
 def _typed(col: Column, dtype: T.DataType, tokens: list[str]) -> Column:
@@ -46,15 +46,23 @@ def read_events_csv(spark: SparkSession, paths: str | list[str],
     accepted by name); partition folders ``year=/month=`` are kept as columns
     so month filters prune files.
     """
-    tokens = NULL_TOKENS if null_tokens is None else null_tokens
-    raw = (spark.read.schema(_TEXT_SCHEMA)
+    raw = (spark.read.schema(TEXT_SCHEMA)
            .option("header", True)
            .option("enforceSchema", False)
            .option("mode", "FAILFAST")
            .csv(paths))
+    return type_raw(raw, null_tokens)
+
+
+def type_raw(text: DataFrame, null_tokens: list[str] | None = None) -> DataFrame:
+    """Raw events read as text -> ``RAW_SCHEMA`` types (null tokens -> null).
+
+    Extra columns (partition folders such as ``year``/``month``) are kept.
+    """
+    tokens = NULL_TOKENS if null_tokens is None else null_tokens
     typed = [_typed(F.col(f.name), f.dataType, tokens).alias(f.name) for f in RAW_SCHEMA]
-    extra = [c for c in raw.columns if c not in RAW_COLUMNS]
-    return raw.select(*typed, *extra)
+    extra = [c for c in text.columns if c not in RAW_COLUMNS]
+    return text.select(*typed, *extra)
 
 
 def month_spine(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
@@ -111,8 +119,8 @@ def union_frames(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_months(spark: SparkSession, root: str, months: DataFrame | None = None,
-                first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+def read_months(spark: SparkSession, root: str, first_year: int | None = None,
+                last_year: int | None = None) -> DataFrame:
     """All months under ``root`` in one scan, pruned to a year range.
 
     Missing months are simply absent folders (the reference skips failed
