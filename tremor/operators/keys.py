@@ -17,6 +17,12 @@ into one task.  Instead:
 
 The result does not depend on the input partitioning: keys follow the
 natural-key order, so repeated runs and different cluster sizes agree.
+
+Small inputs take a shorter path: the new keys are counted first (one job)
+and, when the count is within ``small_rows``, numbered by one ordered window
+in a single task.  That task's size is bounded by the measured count, the
+same way a broadcast is bounded by a checked size; anything larger goes
+through the range-partitioned path above.
 """
 
 from __future__ import annotations
@@ -30,12 +36,21 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+SMALL_ROWS = 200_000
+
+
 def assign_surrogate_keys(df: DataFrame, key_cols: list[str], id_col: str,
-                          start: int = 0, num_partitions: int | None = None) -> DataFrame:
+                          start: int = 0, num_partitions: int | None = None,
+                          small_rows: int | None = SMALL_ROWS) -> DataFrame:
     """Add ``id_col`` = start + rank of the natural key (dense, 1-based).
 
-    ``df`` must already be distinct on ``key_cols``.
+    ``df`` must already be distinct on ``key_cols``.  ``small_rows=None``
+    always takes the range-partitioned path.
     """
+    if small_rows is not None and df.count() <= small_rows:
+        order = Window.orderBy(*[F.col(c).asc() for c in key_cols])
+        key = F.lit(int(start)) + F.row_number().over(order)
+        return df.select(key.cast("long").alias(id_col), *df.columns)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)

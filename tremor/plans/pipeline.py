@@ -1,10 +1,11 @@
 """The event pipeline: raw events -> cleaned -> county -> region -> staging.
 
 One lazy plan.  The scan feeds one narrow chain (parsing, broadcast lookups,
-the broadcast cell-index join), so with a small polygon layer the whole
-path from scan to the final dataset has no shuffle at all.  Region depends
-only on the state, so the region filter runs *before* the spatial join:
-same rows as filtering afterwards, fewer points to test.
+the broadcast cell-index join), so with a small polygon layer the path from
+scan to the final dataset shuffles nothing (an under-split source is first
+spread round-robin, see ``spread``).  Region depends only on the state, so
+the region filter runs *before* the spatial join: same rows as filtering
+afterwards, fewer points to test.
 """
 
 from __future__ import annotations
