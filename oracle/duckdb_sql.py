@@ -390,6 +390,7 @@ FROM (SELECT unnest(generate_series(date_trunc('month', min("time")),
 SELECT * FROM ev WHERE "time" >= CAST({_q(_TS_LO)} AS TIMESTAMP)
   AND "time" < CAST({_q(_TS_HI)} AS TIMESTAMP) AND mag >= {MIN_MAGNITUDE}"""),
     "union_months": _with("SELECT * FROM ev"),
+    "stage_roundtrip": _with("SELECT * FROM final"),
     "dropna_any": _with("SELECT * FROM p1"),
     "parse_place": _with("SELECT id, place, distance, direction, nearest, state FROM parsed"),
     "expand_state": _with("SELECT id, state FROM expanded"),
@@ -486,6 +487,10 @@ GROUP BY ROLLUP (t.year, t.quarter, t.month, t.day)"""),
 SELECT l.region, l.state, {_FINALS}
 FROM earthquake_fact f JOIN location_dim l ON f.location_id = l.location_id
 WHERE l.region = 'West' GROUP BY l.region, l.state"""),
+    "drill_down_county": _with(f"""
+SELECT l.region, l.state, l.county, {_FINALS}
+FROM earthquake_fact f JOIN location_dim l ON f.location_id = l.location_id
+WHERE l.region = 'West' AND l.state = 'California' GROUP BY l.region, l.state, l.county"""),
     "slice_dice": _with(f"""
 SELECT l.region, l.state, {_FINALS}
 FROM earthquake_fact f JOIN location_dim l ON f.location_id = l.location_id

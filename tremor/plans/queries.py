@@ -85,6 +85,21 @@ def q_union_months(spark, sf):
                          else F.col(c) for c in S.RAW_COLUMNS])
 
 
+def q_stage_roundtrip(spark, sf):
+    """S7 then S5/S6: the final dataset written as a stage file and read back."""
+    path = scratch_path(spark, "final_stage")
+    ev.write_stage(final(spark, sf), path)
+    return ev.read_stage(spark, path)
+
+
+def q_sample_csv(spark, sf):
+    """The 80-row sample written as one CSV file and read back."""
+    path = scratch_path(spark, "sample")
+    sample = profile.to_json_records(profile.sample_rows(final(spark, sf), SAMPLE_SIZE))
+    ev.write_sample(sample, path)
+    return spark.read.schema("record string").option("header", True).csv(path)
+
+
 # --- projections / predicates ------------------------------------------------------
 
 def q_dropna_any(spark, sf):
@@ -314,6 +329,12 @@ def q_drill_down(spark, sf):
                            {"region": "West"}, "state")
 
 
+def q_drill_down_county(spark, sf):
+    wh = warehouse(spark, sf)
+    return olap.drill_down(wh.table("earthquake_fact"), wh.table("location_dim"),
+                           {"region": "West", "state": "California"}, "county")
+
+
 def q_slice_dice(spark, sf):
     wh = warehouse(spark, sf)
     return olap.slice_dice(wh.table("earthquake_fact"), wh.table("location_dim"),
@@ -389,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_spine": q_month_spine,
     "source_filter": q_source_filter,
     "union_months": q_union_months,
+    "stage_roundtrip": q_stage_roundtrip,
     "dropna_any": q_dropna_any,
     "parse_place": q_parse_place,
     "expand_state": q_expand_state,
@@ -440,6 +462,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_geo": q_rollup_geo,
     "rollup_time": q_rollup_time,
     "drill_down": q_drill_down,
+    "drill_down_county": q_drill_down_county,
     "slice_dice": q_slice_dice,
     "cube_cross": q_cube_cross,
     "pivot_cross": q_pivot_cross,
@@ -456,4 +479,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_quality": q_source_quality,
     "sample_n": q_sample_n,
     "sample_json": q_sample_json,
+    "sample_csv": q_sample_csv,
 }

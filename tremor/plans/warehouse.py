@@ -17,6 +17,8 @@ of once per join in the reference's chain.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +40,25 @@ class Warehouse:
     a load never rewrites, or reads while overwriting, what is there.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, parallel: int = 4):
         self.spark = spark
         self.root = (root or scratch_path(spark, "warehouse")).rstrip("/")
+        self.parallel = max(int(parallel), 1)
+
+    def _load_dimensions(self, loads: list[tuple]) -> None:
+        """Load independent dimensions as concurrent Spark jobs.
+
+        Each load is its own chain of jobs over different tables; submitting
+        them from a few driver threads lets the scheduler overlap them
+        instead of leaving the cluster idle between small jobs.
+        """
+        if self.parallel == 1 or len(loads) == 1:
+            for args in loads:
+                self._load_dimension(*args)
+            return
+        with ThreadPoolExecutor(max_workers=min(self.parallel, len(loads))) as pool:
+            for fut in [pool.submit(self._load_dimension, *args) for args in loads]:
+                fut.result()
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "Warehouse":
@@ -99,10 +117,10 @@ class Warehouse:
         stg = staging if staging is not None else self.table("staging_events")
         if validate:
             require_not_null(stg, S.FINAL_COLUMNS)
-        self._load_dimension("location", location_rows(stg))
-        self._load_dimension("magnitude_detail", magnitude_detail_rows(stg))
-        self._load_dimension("seismic_metrics", seismic_metrics_rows(stg))
-        self._load_dimension("data_source", data_source_rows(stg))
+        self._load_dimensions([("location", location_rows(stg)),
+                               ("magnitude_detail", magnitude_detail_rows(stg)),
+                               ("seismic_metrics", seismic_metrics_rows(stg)),
+                               ("data_source", data_source_rows(stg))])
         facts = earthquake_rows(stg, self.table("location"), self.table("magnitude_detail"),
                                 self.table("seismic_metrics"), self.table("data_source"))
         self._load_facts("earthquake", facts)
@@ -126,11 +144,12 @@ class Warehouse:
             loc = loc.join(eq.select("location_id"), "location_id", "left_semi")
             mag = mag.join(eq.select("magnitude_detail_id"), "magnitude_detail_id", "left_semi")
             src = src.join(eq.select("data_source_id"), "data_source_id", "left_semi")
-        self._load_dimension("time_dim", time_dim_rows(eq), dedup="key", derive=with_calendar)
-        self._load_dimension("location_dim", loc.select(*S.LOCATION_DIM_KEY))
-        self._load_dimension("magnitude_type_dim", mag.select(*S.MAGNITUDE_TYPE_DIM_KEY))
-        self._load_dimension("data_source_dim", src.select(*S.DATA_SOURCE_DIM_KEY))
-        self._load_dimension("status_dim", eq.select(*S.STATUS_DIM_KEY))
+        self._load_dimensions([
+            ("time_dim", time_dim_rows(eq), "key", with_calendar),
+            ("location_dim", loc.select(*S.LOCATION_DIM_KEY)),
+            ("magnitude_type_dim", mag.select(*S.MAGNITUDE_TYPE_DIM_KEY)),
+            ("data_source_dim", src.select(*S.DATA_SOURCE_DIM_KEY)),
+            ("status_dim", eq.select(*S.STATUS_DIM_KEY))])
         facts = star_fact_rows(eq, loc, mag, src, self.table("time_dim"),
                                self.table("location_dim"), self.table("magnitude_type_dim"),
                                self.table("data_source_dim"), self.table("status_dim"))
