@@ -67,7 +67,8 @@ def frames(spark):
 
 
 @pytest.mark.parametrize("cell,broadcast,salt", [(1.0, True, 1), (0.7, True, 1), (3.0, False, 5),
-                                                 (1.0, False, 1), (2.5, None, 16)])
+                                                 (1.0, False, 1), (2.5, None, 16),
+                                                 (0.25, True, 1), (0.5, False, 3)])
 def test_grid_equals_brute_force(spark, frames, cell, broadcast, salt):
     pts, edges = frames
     out = spatial.spatial_join(pts, edges, keep="all", cell_size=cell, broadcast=broadcast,
@@ -116,6 +117,19 @@ def test_fixture_counts(spark, sf_mid):
     assert per == {"A": 3900, "B": 3692, "C": 3792, "D": 1146}
 
 
+def test_interior_cells_skip_edges(spark, frames):
+    _, edges = frames
+    from tremor.sources.counties import polygon_layer
+    idx = spatial.cell_index(polygon_layer(edges), 0.25)
+    rows = idx.selectExpr("cx", "cy", "inline(polys)").collect()
+    full = [r for r in rows if r["full"]]
+    assert full and all(len(r["edges"]) == 0 for r in full)
+    # a cell wholly inside Pine's hole is not listed for Pine at all
+    assert not [r for r in rows if r["county"] == "Pine" and (r["cx"], r["cy"]) == (7, 7)]
+    # a cell wholly inside Pine's ring (between outer edge and hole) is full
+    assert [r for r in rows if r["county"] == "Pine" and (r["cx"], r["cy"]) == (1, 1) and r["full"]]
+
+
 def test_index_size_is_measured(spark, frames):
     _, edges = frames
     from tremor.sources.counties import polygon_layer

@@ -45,3 +45,20 @@ def crossings(px: Column, py: Column, edges: Column) -> Column:
 def intersects(px: Column, py: Column, edges: Column) -> Column:
     """Point-intersects-polygon: on the boundary, or inside by the even-odd rule."""
     return on_boundary(px, py, edges) | (crossings(px, py, edges) % 2 == 1)
+
+
+def segment_touches_box(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """True when edge ``e`` meets the closed box ``[x0, x1] x [y0, y1]``.
+
+    Boxes overlap, and the four corners are not all strictly on one side of
+    the edge's line (separating-axis test for a segment and a box).
+    """
+    overlap = ((F.greatest(e["x1"], e["x2"]) >= x0) & (F.least(e["x1"], e["x2"]) <= x1)
+               & (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1))
+    sides = [_cross(e, cx, cy) for cx, cy in ((x0, y0), (x1, y0), (x0, y1), (x1, y1))]
+    all_left = sides[0] > 0
+    all_right = sides[0] < 0
+    for d in sides[1:]:
+        all_left = all_left & (d > 0)
+        all_right = all_right & (d < 0)
+    return overlap & ~all_left & ~all_right

@@ -37,6 +37,9 @@ _POS_MASK = (1 << _POS_BITS) - 1
 
 
 SMALL_ROWS = 200_000
+# Target rows per range partition on the scalable path (natural keys are a
+# few hundred bytes at most, so a partition stays in the hundreds of MB).
+ROWS_PER_PARTITION = 2_000_000
 
 
 def assign_surrogate_keys(df: DataFrame, key_cols: list[str], id_col: str,
@@ -47,13 +50,14 @@ def assign_surrogate_keys(df: DataFrame, key_cols: list[str], id_col: str,
     ``df`` must already be distinct on ``key_cols``.  ``small_rows=None``
     always takes the range-partitioned path.
     """
-    if small_rows is not None and df.count() <= small_rows:
+    rows = df.count() if small_rows is not None or num_partitions is None else None
+    if small_rows is not None and rows <= small_rows:
         order = Window.orderBy(*[F.col(c).asc() for c in key_cols])
         key = F.lit(int(start)) + F.row_number().over(order)
         return df.select(key.cast("long").alias(id_col), *df.columns)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
+    n = num_partitions or max(shuffle_partitions(spark), -(-rows // ROWS_PER_PARTITION))
     ordered = (df.repartitionByRange(n, *[F.col(c).asc() for c in key_cols])
                .sortWithinPartitions(*key_cols)
                .checkpoint(eager=True))

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.functions.geometry import intersects
+from tremor.functions.geometry import EDGE_TYPE, crossings, intersects, segment_touches_box
 from tremor.sources.counties import polygon_layer
 
 DEFAULT_CELL_SIZE = 1.0
@@ -46,7 +46,19 @@ _ROW_BYTES = 96
 
 
 def cell_index(polygons: DataFrame, cell_size: float = DEFAULT_CELL_SIZE) -> DataFrame:
-    """Polygon layer (``polygon_layer`` output) -> one row per grid cell."""
+    """Polygon layer (``polygon_layer`` output) -> one row per grid cell.
+
+    Each (polygon, cell) pair of the polygon's bounding-box cells is
+    classified once, here, instead of per point:
+
+    * *boundary*: an edge touches the cell (box padded slightly, so rounding
+      can only add boundary cells): the pair keeps the edges a ray from the
+      cell can cross (edges reaching the cell's row band and extending right
+      of its left side) and points are tested exactly;
+    * *inside*: no edge touches the cell and its centre is inside: every
+      point of the cell matches, with no edge test (``full``);
+    * *outside*: dropped.
+    """
     s = float(cell_size)
 
     def cell(v):
@@ -55,16 +67,25 @@ def cell_index(polygons: DataFrame, cell_size: float = DEFAULT_CELL_SIZE) -> Dat
     cells = (polygons
              .withColumn("cx", F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))))
              .withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax"))))))
-    lo_y = (F.col("cy") - _PAD) * s
-    hi_y = (F.col("cy") + 1 + _PAD) * s
-    lo_x = (F.col("cx") - _PAD) * s
-    clipped = F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= lo_y)
-                       & (F.least(e["y1"], e["y2"]) <= hi_y)
-                       & (F.greatest(e["x1"], e["x2"]) >= lo_x))
-    return (cells.select("cx", "cy", "polygon_id", "county", clipped.alias("edges"))
-            .where(F.size("edges") > 0)
+    cx, cy = F.col("cx"), F.col("cy")
+    x0, x1 = (cx - _PAD) * s, (cx + 1 + _PAD) * s
+    y0, y1 = (cy - _PAD) * s, (cy + 1 + _PAD) * s
+    touches = F.exists("edges", lambda e: segment_touches_box(e, x0, y0, x1, y1))
+    centre_in = crossings((cx + 0.5) * s, (cy + 0.5) * s, F.col("edges")) % 2 == 1
+    clipped = F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
+                       & (F.least(e["y1"], e["y2"]) <= y1)
+                       & (F.greatest(e["x1"], e["x2"]) >= x0))
+    classified = cells.select("cx", "cy", "polygon_id", "county", "edges",
+                              touches.alias("touches"))
+    pairs = classified.select(
+        "cx", "cy", "polygon_id", "county",
+        (~F.col("touches") & centre_in).alias("full"),
+        F.when(F.col("touches"), clipped)
+         .otherwise(F.array().cast(f"array<{EDGE_TYPE}>")).alias("edges"))
+    return (pairs.where(F.col("full") | (F.size("edges") > 0))
             .groupBy("cx", "cy")
-            .agg(F.collect_list(F.struct("polygon_id", "county", "edges")).alias("polys")))
+            .agg(F.collect_list(F.struct("polygon_id", "county", "full", "edges"))
+                 .alias("polys")))
 
 
 def index_size_bytes(index: DataFrame) -> int:
@@ -119,7 +140,7 @@ def spatial_join(points: DataFrame, edges: DataFrame, *, lon: str = "longitude",
 
     matches = F.transform(
         F.filter(F.coalesce(F.col("_polys"), F.array()),
-                 lambda p: intersects(px, py, p["edges"])),
+                 lambda p: p["full"] | intersects(px, py, p["edges"])),
         lambda p: F.struct(p["county"].alias("county"), p["polygon_id"].alias("polygon_id")))
     with_matches = joined.withColumn("_m", matches).drop("_polys", *keys)
     # Both forms go through a generator: a filter on the county (the usual
