@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tremor import schemas as S
 from tremor.functions.numeric import to_int_half_even
-from tremor.operators.keys import assign_surrogate_keys, max_key
+from tremor.operators.keys import SMALL_ROWS, assign_surrogate_keys, max_key
 from tremor.operators.upsert import new_rows
 from tremor.operators.validate import require_not_null
 from tremor.session import list_names, scratch_path
@@ -40,10 +40,12 @@ class Warehouse:
     a load never rewrites, or reads while overwriting, what is there.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, parallel: int = 4):
+    def __init__(self, spark: SparkSession, root: str | None = None, parallel: int = 4,
+                 key_small_rows: int | None = SMALL_ROWS):
         self.spark = spark
         self.root = (root or scratch_path(spark, "warehouse")).rstrip("/")
         self.parallel = max(int(parallel), 1)
+        self.key_small_rows = key_small_rows
 
     def _load_dimensions(self, loads: list[tuple]) -> None:
         """Load independent dimensions as concurrent Spark jobs.
@@ -92,7 +94,8 @@ class Warehouse:
         id_col, key = S.KEYS[name]
         existing = self.get(name)
         fresh = new_rows(candidates, existing, key, dedup)
-        fresh = assign_surrogate_keys(fresh, key, id_col, start=max_key(existing, id_col))
+        fresh = assign_surrogate_keys(fresh, key, id_col, start=max_key(existing, id_col),
+                                      small_rows=self.key_small_rows)
         if derive is not None:
             fresh = derive(fresh)
         return self.append(name, fresh)
