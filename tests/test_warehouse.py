@@ -81,9 +81,7 @@ def test_two_batches_equal_one_on_natural_keys(spark, built):
     _, stg = built
     wh2 = Warehouse(spark)
     for batch in (stg.where(F.year("time") < 1998), stg):
-        wh2.load_staging(batch)
-        wh2.load_reconciled(batch)
-    wh2.load_star()
+        wh2.load_batch(batch)
     one = Warehouse(spark).load_all(stg)
     for name in ("location", "earthquake_fact"):
         cols = [c for c in one.table(name).columns if not c.endswith("_id") or c == "earthquake_id"]

@@ -179,8 +179,7 @@ def q_upsert_insert_only(spark, sf):
     wh = Warehouse(spark)
     first = stg.where(F.col("time") < F.lit(BATCH_SPLIT).cast(stg.schema["time"].dataType))
     for batch in (first, stg):
-        wh.load_staging(batch)
-        wh.load_reconciled(batch)
+        wh.load_batch(batch, star=False)
     return wh.table("location")
 
 

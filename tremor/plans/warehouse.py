@@ -158,13 +158,26 @@ class Warehouse:
                                self.table("data_source_dim"), self.table("status_dim"))
         self._load_facts("earthquake_fact", facts)
 
-    def load_all(self, staging: DataFrame) -> "Warehouse":
-        """Staging batch -> 3NF -> star (each step reads the published tables)."""
-        self.load_staging(staging)
-        self.load_reconciled()
-        self.load_star()
+    def load_batch(self, staging: DataFrame, star: bool = True) -> "Warehouse":
+        """One batch end to end: staging -> 3NF -> star, insert-only throughout.
+
+        The batch is checkpointed first (shared checkpoint folder): every load
+        below reads it several times, and the checkpoint computes the
+        pipeline once and survives executor loss.  All rows of the batch (not
+        only the ones new to staging) feed the 3NF load, so a batch that
+        failed half-way completes when it is run again.
+        """
+        stg = staging.checkpoint(eager=True)
+        self.load_staging(stg)
+        events = self.load_reconciled(stg)
+        if star:
+            self.load_star(events)
         return self
 
+    def load_all(self, staging: DataFrame) -> "Warehouse":
+        """Alias of ``load_batch`` for a first, complete load."""
+        return self.load_batch(staging)
+
 
 # --- row builders (pure projections / joins) ----------------------------------
 

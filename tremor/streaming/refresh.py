@@ -36,12 +36,7 @@ def event_file_stream(spark: SparkSession, source_dir: str,
 
 def load_batch(raw: DataFrame, edges: DataFrame, warehouse: Warehouse) -> None:
     """One refresh batch: raw events -> staging -> 3NF -> star (insert-only)."""
-    staging = pipeline.staging_events(raw, edges)
-    warehouse.load_staging(staging)
-    batch_staging = warehouse.table("staging_events").join(
-        staging.select("earthquake_id"), "earthquake_id", "left_semi")
-    events = warehouse.load_reconciled(batch_staging)
-    warehouse.load_star(events)
+    warehouse.load_batch(pipeline.staging_events(raw, edges))
 
 
 def start_refresh(spark: SparkSession, source_dir: str, warehouse_root: str,
