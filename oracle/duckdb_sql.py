@@ -89,7 +89,7 @@ EV = f"""ev AS (
 )"""
 
 _NOT_NULL = " AND ".join(f'"{c}" IS NOT NULL' for c in RAW_COLUMNS)
-_P = f"trim(place)"
+_P = "trim(place)"
 _RE = _q(PLACE_RE)
 
 
@@ -362,6 +362,16 @@ b2 AS (
         EXCEPT SELECT {_LOC_KEY} FROM b1))""")
 
 
+def _stage_audit_observed() -> str:
+    stages = [("raw", "ev"), ("complete", "p1"), ("place_parsed", "parsed_ok"),
+              ("united_states", "transformed"),
+              ("us_regions", "transformed t JOIN reg r ON r.rstate = t.state"),
+              ("with_county", "final"), ("final", "final")]
+    parts = [f"SELECT {_q(n)} AS stage, {i} AS position, CAST(count(*) AS BIGINT) AS n_rows "
+             f"FROM {t}" for i, (n, t) in enumerate(stages)]
+    return _with("\nUNION ALL ".join(parts))
+
+
 def _completeness() -> str:
     parts = [f"SELECT {_q(c)} AS column_name, CAST(count(\"{c}\") AS BIGINT) AS non_null, "
              f"CAST(count(*) AS BIGINT) AS total_rows, "
@@ -452,6 +462,7 @@ SELECT dimension, value, n, CAST(rank AS INTEGER) AS rank FROM (
                            'CAST(count(*) AS BIGINT) AS n FROM final GROUP BY 1'),
     "geo_range": _with(f"SELECT {_GEO} FROM final"),
     "stage_audit": _stage_audit(),
+    "stage_audit_observed": _stage_audit_observed(),
     "profile": _with(f"SELECT CAST(count(*) AS BIGINT) AS n_rows, 27 AS n_columns, "
                      f"{_MAG}, {_DEPTH}, {_TIME}, {_GEO} FROM final"),
     "olap_top_states": _with("""

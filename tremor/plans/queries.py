@@ -19,9 +19,10 @@ from tremor.plans import pipeline
 from tremor.plans.warehouse import Warehouse
 from tremor.session import scratch_path
 from tremor.sources import events as ev
+from tremor.functions.tables import local_table
 from tremor.sources.testdata import event_view, fixture_county_edges
 
-from tremor.plans.params import (BATCH_SPLIT, DENSITY_CELL_DEG, HISTOGRAM_WIDTH,  # noqa: E402
+from tremor.plans.params import (BATCH_SPLIT, DENSITY_CELL_DEG, HISTOGRAM_WIDTH,
                                  MIN_MAGNITUDE, OLAP_MIN_YEAR, SAMPLE_SIZE,
                                  SIGNIFICANT_MAGNITUDE, SOURCE_WINDOW)
 
@@ -279,6 +280,14 @@ def q_stage_audit(spark, sf):
                                  "united_states": t, "with_county": county, "final": fin})
 
 
+def q_stage_audit_observed(spark, sf):
+    """A9 without extra passes: stage counts observed while the final dataset is written."""
+    df, obs = pipeline.observed_final_dataset(raw(spark, sf), edges(spark))
+    ev.write_stage(df, scratch_path(spark, "final_observed"))
+    return local_table(spark, pipeline.observed_counts(obs),
+                       [("stage", "string"), ("position", "int"), ("n_rows", "bigint")])
+
+
 def q_sample_n(spark, sf):
     return profile.sample_rows(final(spark, sf), SAMPLE_SIZE)
 
@@ -454,6 +463,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_counts": q_yearly_counts,
     "geo_range": q_geo_range,
     "stage_audit": q_stage_audit,
+    "stage_audit_observed": q_stage_audit_observed,
     "profile": q_profile,
     "olap_top_states": q_olap_top_states,
     "olap_monthly": q_olap_monthly,
