@@ -416,9 +416,10 @@ SELECT * FROM ev WHERE "time" >= CAST({_q(_TS_LO)} AS TIMESTAMP)
     "clean_pipeline": _with("SELECT * FROM transformed"),
     "county_join": _with("SELECT * FROM with_county"),
     "county_multi_match": _with("""
-SELECT earthquake_id, CAST(count(*) AS BIGINT) AS n_counties,
-       string_agg(county, ',' ORDER BY county) AS counties
-FROM with_county WHERE county IS NOT NULL GROUP BY earthquake_id HAVING count(*) > 1"""),
+SELECT earthquake_id, CAST(count(DISTINCT county) AS BIGINT) AS n_counties,
+       string_agg(DISTINCT county, ',' ORDER BY county) AS counties
+FROM with_county WHERE county IS NOT NULL GROUP BY earthquake_id
+HAVING count(DISTINCT county) > 1"""),
     "point_in_polygon": _with(f"SELECT pkey AS id, county FROM ({_pip('ev', 'id')})"),
     "final_dataset": _with("SELECT * FROM final"),
     "staging_events": _with("SELECT * FROM staging"),

@@ -95,3 +95,12 @@ def test_not_null_gate(spark, built):
     bad = stg.limit(3).withColumn("county", F.lit(None).cast("string"))
     with pytest.raises(ValueError):
         Warehouse(spark).load_reconciled(bad)
+
+
+def test_empty_batch_loads_cleanly(spark, built):
+    wh, stg = built
+    before = {t: wh.table(t).count() for t in TABLES}
+    wh.load_batch(stg.where(F.lit(False)))
+    assert {t: wh.table(t).count() for t in TABLES} == before
+    fresh = Warehouse(spark).load_batch(stg.where(F.lit(False)))
+    assert fresh.table("earthquake_fact").count() == 0

@@ -58,29 +58,40 @@ def cell_index(polygons: DataFrame, cell_size: float = DEFAULT_CELL_SIZE) -> Dat
     * *inside*: no edge touches the cell and its centre is inside: every
       point of the cell matches, with no edge test (``full``);
     * *outside*: dropped.
+
+    The polygon is cut into row bands first (a band keeps only the edges
+    that reach it), then each band into cells, so no row ever carries a
+    polygon's full edge list once per cell: a county whose bounding box spans
+    hundreds of cells costs the edges of one band per cell, not all of them.
+    A horizontal ray from a point of the band only crosses edges of that
+    band, so the band's edges are enough for the centre test as well.
     """
     s = float(cell_size)
 
     def cell(v):
         return F.floor(v / F.lit(s)).cast("long")
 
-    cells = (polygons
-             .withColumn("cx", F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))))
-             .withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax"))))))
-    cx, cy = F.col("cx"), F.col("cy")
-    x0, x1 = (cx - _PAD) * s, (cx + 1 + _PAD) * s
+    cy = F.col("cy")
     y0, y1 = (cy - _PAD) * s, (cy + 1 + _PAD) * s
+    bands = (polygons
+             .withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))))
+             .select("polygon_id", "county", "xmin", "xmax", "cy",
+                     F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
+                              & (F.least(e["y1"], e["y2"]) <= y1)).alias("edges"))
+             .where(F.size("edges") > 0))
+    cells = bands.withColumn("cx", F.explode(F.sequence(cell(F.col("xmin")),
+                                                        cell(F.col("xmax")))))
+    cx = F.col("cx")
+    x0, x1 = (cx - _PAD) * s, (cx + 1 + _PAD) * s
     touches = F.exists("edges", lambda e: segment_touches_box(e, x0, y0, x1, y1))
     centre_in = crossings((cx + 0.5) * s, (cy + 0.5) * s, F.col("edges")) % 2 == 1
-    clipped = F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
-                       & (F.least(e["y1"], e["y2"]) <= y1)
-                       & (F.greatest(e["x1"], e["x2"]) >= x0))
+    right_of_cell = F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= x0)
     classified = cells.select("cx", "cy", "polygon_id", "county", "edges",
                               touches.alias("touches"))
     pairs = classified.select(
         "cx", "cy", "polygon_id", "county",
         (~F.col("touches") & centre_in).alias("full"),
-        F.when(F.col("touches"), clipped)
+        F.when(F.col("touches"), right_of_cell)
          .otherwise(F.array().cast(f"array<{EDGE_TYPE}>")).alias("edges"))
     return (pairs.where(F.col("full") | (F.size("edges") > 0))
             .groupBy("cx", "cy")

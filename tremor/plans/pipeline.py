@@ -100,11 +100,13 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def multi_match_report(with_county: DataFrame, key: str = "earthquake_id") -> DataFrame:
     """Events that matched more than one county: ``key, n_counties, counties``.
 
-    Aggregates only (key, county) pairs; the group per event is at most the
-    number of polygons meeting at one point.
+    (key, county) pairs are deduplicated first (map-side partial
+    aggregation), so repeated copies of one event collapse before the
+    shuffle and each collected group holds at most the polygons meeting at
+    one point.
     """
-    return (with_county.where(F.col("county").isNotNull())
-            .groupBy(key)
+    pairs = with_county.where(F.col("county").isNotNull()).select(key, "county").distinct()
+    return (pairs.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_counties"),
                  F.array_join(F.array_sort(F.collect_list("county")), ",").alias("counties"))
             .where(F.col("n_counties") > 1))
