@@ -334,9 +334,11 @@ _CATEGORY_COUNTS = "\nUNION ALL ".join(
 
 _MAG = ("round(min(mag), 6) AS mag_min, round(max(mag), 6) AS mag_max, "
         "round(avg(mag), 6) AS mag_mean, round(stddev_samp(mag), 6) AS mag_std, "
-        "count_if(mag > 5.0) AS mag_over_5, count_if(mag > 6.0) AS mag_over_6")
+        "CAST(count_if(mag > 5.0) AS BIGINT) AS mag_over_5, "
+        "CAST(count_if(mag > 6.0) AS BIGINT) AS mag_over_6")
 _DEPTH = ("round(min(depth), 6) AS depth_min, round(max(depth), 6) AS depth_max, "
-          "round(avg(depth), 6) AS depth_mean, count_if(depth < 10.0) AS depth_under_10")
+          "round(avg(depth), 6) AS depth_mean, "
+          "CAST(count_if(depth < 10.0) AS BIGINT) AS depth_under_10")
 _TIME = ("strftime(min(\"time\"), '%Y-%m-%d') AS time_start, "
          "strftime(max(\"time\"), '%Y-%m-%d') AS time_end")
 _GEO = ("min(latitude) AS lat_min, max(latitude) AS lat_max, "
