@@ -398,6 +398,15 @@ SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month,
 FROM (SELECT unnest(generate_series(date_trunc('month', min("time")),
                                     date_trunc('month', max("time")), INTERVAL 1 MONTH)) AS m
       FROM ev)"""),
+    "month_audit": _with("""
+SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month,
+       CAST(COALESCE(c.n, 0) AS BIGINT) AS n_events
+FROM (SELECT unnest(generate_series(date_trunc('month', min("time")),
+                                    date_trunc('month', max("time")), INTERVAL 1 MONTH)) AS m
+      FROM ev) s
+LEFT JOIN (SELECT year("time") AS y, month("time") AS mo, count(*) AS n FROM ev
+           WHERE "time" IS NOT NULL GROUP BY 1, 2) c
+  ON c.y = year(s.m) AND c.mo = month(s.m)"""),
     "source_filter": _with(f"""
 SELECT * FROM ev WHERE "time" >= CAST({_q(_TS_LO)} AS TIMESTAMP)
   AND "time" < CAST({_q(_TS_HI)} AS TIMESTAMP) AND mag >= {MIN_MAGNITUDE}"""),

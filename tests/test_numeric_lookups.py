@@ -51,3 +51,19 @@ def test_fixed_value_sizes():
     assert len(fv.STATE_ABBREVIATIONS) == 49 and "AL" not in fv.STATE_ABBREVIATIONS
     assert len(fv.US_STATES) == 43
     assert sum(len(v) for v in fv.US_REGIONS.values()) == 50
+
+
+def test_distance_rejects(spark):
+    df = spark.createDataFrame([("e1", "10 km"), ("e2", "5 KM"), ("e3", "7km")],
+                               "id string, offset_distance string")
+    good, bad = clean.split_distance_rejects(df)
+    assert sorted((r["id"], r["offset_distance"]) for r in good.collect()) == \
+        [("e1", 10.0), ("e3", 7.0)]
+    assert [(r["id"], r["offset_distance"]) for r in bad.collect()] == [("e2", "5 KM")]
+
+
+def test_quarantine_nulls(spark):
+    from tremor.operators.validate import quarantine_nulls
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "x int, y string")
+    ok, bad = quarantine_nulls(df, ["x", "y"])
+    assert ok.count() == 1 and bad.count() == 2

@@ -96,3 +96,11 @@ def test_geojson_polygons(spark):
     assert per == {"Alder": 4, "Birch": 6}
     layer = {r["county"]: r for r in polygon_layer(edges).collect()}
     assert (layer["Birch"]["xmin"], layer["Birch"]["xmax"]) == (5.0, 9.0)
+
+
+def test_month_audit_shows_gaps(spark, sf_small):
+    from tremor.sources.testdata import event_view
+    raw = event_view(spark, sf_small).where("NOT (year(time) = 1996 AND month(time) = 3)")
+    audit = {(r["year"], r["month"]): r["n_events"] for r in ev.month_audit(raw).collect()}
+    assert audit[(1996, 3)] == 0
+    assert sum(audit.values()) == raw.count()

@@ -111,6 +111,20 @@ def clean_distance(df: DataFrame, col: str = "offset_distance", strict: bool = T
     return df.withColumn(col, distance_km(F.col(col), strict))
 
 
+def split_distance_rejects(df: DataFrame, col: str = "offset_distance"
+                           ) -> tuple[DataFrame, DataFrame]:
+    """P10 without failing the job: ``(parsed rows, rejected rows)``.
+
+    A distance whose text does not become a number after the " km" strip
+    (for example ``"5 KM"``) goes to the reject table with its original
+    text instead of failing the whole load.
+    """
+    parsed = df.withColumn("_d", distance_km(F.col(col), strict=False))
+    good = parsed.where(F.col("_d").isNotNull()).withColumn(col, F.col("_d")).drop("_d")
+    bad = parsed.where(F.col("_d").isNull() & F.col(col).isNotNull()).drop("_d")
+    return good, bad
+
+
 def half_even_ints(df: DataFrame, *cols: str) -> DataFrame:
     """Double -> int, rounding half to even."""
     return df.withColumns({c: to_int_half_even(F.col(c)) for c in cols})

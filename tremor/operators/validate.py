@@ -47,6 +47,14 @@ def require_not_null(df: DataFrame, cols: list[str]) -> None:
         raise ValueError(f"null values in NOT NULL columns: {bad}")
 
 
+def quarantine_nulls(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """V2 alternative to failing: ``(complete rows, rows with a null in cols)``."""
+    complete = F.lit(True)
+    for c in cols:
+        complete = complete & F.col(c).isNotNull()
+    return df.where(complete), df.where(~complete)
+
+
 def range_violations(df: DataFrame, ranges: dict[str, tuple[int, int]], table: str) -> DataFrame:
     """V3: rows outside ``[lo, hi]`` per checked column, one aggregate."""
     wide = df.agg(*[F.count_if(~F.col(c).between(lo, hi)).alias(c)

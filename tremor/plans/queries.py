@@ -73,6 +73,10 @@ def q_month_spine(spark, sf):
         "year", "month", "month_start", "month_end")
 
 
+def q_month_audit(spark, sf):
+    return ev.month_audit(raw(spark, sf))
+
+
 def q_source_filter(spark, sf):
     return ev.source_filter(raw(spark, sf), *SOURCE_WINDOW, MIN_MAGNITUDE)
 
@@ -416,6 +420,7 @@ def q_source_quality(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_spine": q_month_spine,
+    "month_audit": q_month_audit,
     "source_filter": q_source_filter,
     "union_months": q_union_months,
     "stage_roundtrip": q_stage_roundtrip,
