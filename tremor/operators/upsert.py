@@ -33,15 +33,29 @@ def new_rows(candidates: DataFrame, existing: DataFrame | None, key_cols: list[s
     rows = candidates.distinct() if dedup == "distinct" else candidates.dropDuplicates(key_cols)
     if existing is None:
         return rows
-    old_keys = existing.select(*key_cols)
-    limit = broadcast_rows if broadcast_rows is not None else _broadcast_rows(rows, key_cols)
-    if limit > 0:
-        batch_keys = rows.select(*key_cols).distinct()
-        if batch_keys.count() <= limit:
-            old_keys = old_keys.join(F.broadcast(batch_keys), on=key_cols, how="left_semi")
+    old_keys = restrict_to_batch(existing.select(*key_cols), rows, key_cols, broadcast_rows)
     return rows.join(old_keys, on=key_cols, how="left_anti")
 
 
+def restrict_to_batch(table: DataFrame, batch: DataFrame, key_cols: list[str],
+                      broadcast_rows: int | None = None) -> DataFrame:
+    """Rows of a large ``table`` whose key occurs in ``batch``, found without
+    shuffling the table when the batch's distinct keys are measured to be few.
+
+    The batch keys are counted (one job over the batch); within the budget
+    they are broadcast and the table is only scanned (map-side semi join).
+    Otherwise the table is returned whole and the join that follows is a
+    regular shuffle join.
+    """
+    limit = broadcast_rows if broadcast_rows is not None else _broadcast_rows(batch, key_cols)
+    if limit <= 0:
+        return table
+    batch_keys = batch.select(*key_cols).distinct()
+    if batch_keys.count() > limit:
+        return table
+    return table.join(F.broadcast(batch_keys), on=key_cols, how="left_semi")
+
+
 def _broadcast_rows(df: DataFrame, key_cols: list[str]) -> int:
     spark = df.sparkSession
     raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).rstrip("bB")

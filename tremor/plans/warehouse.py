@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tremor import schemas as S
 from tremor.functions.numeric import to_int_half_even
 from tremor.operators.keys import SMALL_ROWS, assign_surrogate_keys, max_key
-from tremor.operators.upsert import new_rows
+from tremor.operators.upsert import new_rows, restrict_to_batch
 from tremor.operators.validate import require_not_null
 from tremor.session import list_names, scratch_path
 
@@ -124,7 +124,10 @@ class Warehouse:
                                ("magnitude_detail", magnitude_detail_rows(stg)),
                                ("seismic_metrics", seismic_metrics_rows(stg)),
                                ("data_source", data_source_rows(stg))])
-        facts = earthquake_rows(stg, self.table("location"), self.table("magnitude_detail"),
+        # A monthly batch touches few locations: find them with a scan of the
+        # location table instead of shuffling all of it into the join.
+        location = restrict_to_batch(self.table("location"), location_rows(stg), S.LOCATION_KEY)
+        facts = earthquake_rows(stg, location, self.table("magnitude_detail"),
                                 self.table("seismic_metrics"), self.table("data_source"))
         self._load_facts("earthquake", facts)
         return self.table("earthquake").join(stg.select("earthquake_id"), "earthquake_id",
@@ -153,9 +156,14 @@ class Warehouse:
             ("magnitude_type_dim", mag.select(*S.MAGNITUDE_TYPE_DIM_KEY)),
             ("data_source_dim", src.select(*S.DATA_SOURCE_DIM_KEY)),
             ("status_dim", eq.select(*S.STATUS_DIM_KEY))])
-        facts = star_fact_rows(eq, loc, mag, src, self.table("time_dim"),
-                               self.table("location_dim"), self.table("magnitude_type_dim"),
-                               self.table("data_source_dim"), self.table("status_dim"))
+        time_dim, location_dim = self.table("time_dim"), self.table("location_dim")
+        if events is not None:
+            time_dim = restrict_to_batch(time_dim, time_dim_rows(eq), S.TIME_DIM_KEY)
+            location_dim = restrict_to_batch(location_dim, loc.select(*S.LOCATION_DIM_KEY),
+                                             S.LOCATION_DIM_KEY)
+        facts = star_fact_rows(eq, loc, mag, src, time_dim, location_dim,
+                               self.table("magnitude_type_dim"), self.table("data_source_dim"),
+                               self.table("status_dim"))
         self._load_facts("earthquake_fact", facts)
 
     def load_batch(self, staging: DataFrame, star: bool = True) -> "Warehouse":
