@@ -514,6 +514,10 @@ WHERE l.region = 'West' GROUP BY l.region, l.state"""),
 SELECT l.region, l.state, l.county, {_FINALS}
 FROM earthquake_fact f JOIN location_dim l ON f.location_id = l.location_id
 WHERE l.region = 'West' AND l.state = 'California' GROUP BY l.region, l.state, l.county"""),
+    "drill_down_time": _with(f"""
+SELECT t.year, t.month, t.day, {_FINALS}
+FROM earthquake_fact f JOIN time_dim t ON f.time_id = t.time_id
+WHERE t.year = 1997 AND t.month = 3 GROUP BY t.year, t.month, t.day"""),
     "slice_dice": _with(f"""
 SELECT l.region, l.state, {_FINALS}
 FROM earthquake_fact f JOIN location_dim l ON f.location_id = l.location_id

@@ -104,3 +104,16 @@ def test_empty_batch_loads_cleanly(spark, built):
     assert {t: wh.table(t).count() for t in TABLES} == before
     fresh = Warehouse(spark).load_batch(stg.where(F.lit(False)))
     assert fresh.table("earthquake_fact").count() == 0
+
+
+def test_drill_down_to_hour(built):
+    wh, _ = built
+    fact, tdim = wh.table("earthquake_fact"), wh.table("time_dim")
+    months = olap.drill_down_time(fact, tdim, {"year": 1997}, "month").collect()
+    assert sum(r["earthquake_count"] for r in months) == \
+        fact.join(tdim.where("year = 1997"), "time_id").count()
+    m = months[0]["month"]
+    hours = olap.drill_down_time(fact, tdim, {"year": 1997, "month": m}, "hour").collect()
+    assert [r["hour"] for r in hours] == [0]
+    assert hours[0]["earthquake_count"] == [r for r in months if r["month"] == m][0][
+        "earthquake_count"]

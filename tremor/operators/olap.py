@@ -86,16 +86,32 @@ def rollup_time(fact: DataFrame, time_dim: DataFrame) -> DataFrame:
 
 def drill_down(fact: DataFrame, location_dim: DataFrame, path: dict[str, str],
                level: str) -> DataFrame:
-    """O3: fix the parent levels in ``path`` and break down by ``level``."""
-    dims = location_dim
+    """O3 (geography): fix the parent levels in ``path`` and break down by ``level``."""
+    return drill_down_dim(fact, location_dim, "location_id", path, level)
+
+
+def drill_down_dim(fact: DataFrame, dim: DataFrame, key: str, path: dict, level: str,
+                   derived: dict | None = None) -> DataFrame:
+    """O3 on any dimension: filter the dimension on ``path``, keep the facts
+    of the remaining keys (semi join), aggregate them per key, then per
+    ``level``.  ``derived`` adds computed levels to the dimension first (for
+    example the hour of ``full_timestamp``, which the time dimension does not
+    store)."""
+    dims = dim.withColumns(derived or {})
     for col, value in path.items():
         dims = dims.where(F.col(col) == value)
-    per_loc = _partials(fact.join(dims.select("location_id"), "location_id", "left_semi"),
-                        ["location_id"])
-    return (per_loc.join(dims.select("location_id", *path.keys(), level), "location_id")
+    per_key = _partials(fact.join(dims.select(key), key, "left_semi"), [key])
+    return (per_key.join(dims.select(key, *path.keys(), level), key)
             .groupBy(*path.keys(), level).agg(*_finals()))
 
 
+def drill_down_time(fact: DataFrame, time_dim: DataFrame, path: dict[str, int],
+                    level: str) -> DataFrame:
+    """O3 (time): year -> quarter -> month -> day -> hour."""
+    hour = {"hour": F.hour("full_timestamp")} if level == "hour" or "hour" in path else None
+    return drill_down_dim(fact, time_dim, "time_id", path, level, hour)
+
+
 def slice_dice(fact: DataFrame, location_dim: DataFrame, *, mag_range=None,
                depth_range=None, regions: list[str] | None = None,
                by: tuple[str, ...] = ("region", "state")) -> DataFrame:

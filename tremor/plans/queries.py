@@ -347,6 +347,12 @@ def q_drill_down_county(spark, sf):
                            {"region": "West", "state": "California"}, "county")
 
 
+def q_drill_down_time(spark, sf):
+    wh = warehouse(spark, sf)
+    return olap.drill_down_time(wh.table("earthquake_fact"), wh.table("time_dim"),
+                                {"year": 1997, "month": 3}, "day")
+
+
 def q_slice_dice(spark, sf):
     wh = warehouse(spark, sf)
     return olap.slice_dice(wh.table("earthquake_fact"), wh.table("location_dim"),
@@ -477,6 +483,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_time": q_rollup_time,
     "drill_down": q_drill_down,
     "drill_down_county": q_drill_down_county,
+    "drill_down_time": q_drill_down_time,
     "slice_dice": q_slice_dice,
     "cube_cross": q_cube_cross,
     "pivot_cross": q_pivot_cross,
