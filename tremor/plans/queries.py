@@ -8,6 +8,7 @@ share one published warehouse per (session, folder): the loads run once
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from tremor.plans.params import (BATCH_SPLIT, DENSITY_CELL_DEG, HISTOGRAM_WIDTH,
                                  SIGNIFICANT_MAGNITUDE, SOURCE_WINDOW)
 
 _WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+_WAREHOUSE_LOCK = threading.Lock()
 
 
 def raw(spark, sf) -> DataFrame:
@@ -52,10 +54,11 @@ def staging(spark, sf) -> DataFrame:
 def warehouse(spark: SparkSession, sf: str) -> Warehouse:
     """The published warehouse of ``sf`` for this session (built on first use)."""
     key = (id(spark._jsparkSession), sf)
-    wh = _WAREHOUSES.get(key)
-    if wh is None:
-        wh = Warehouse(spark).load_all(staging(spark, sf))
-        _WAREHOUSES[key] = wh
+    with _WAREHOUSE_LOCK:
+        wh = _WAREHOUSES.get(key)
+        if wh is None:
+            wh = Warehouse(spark).load_all(staging(spark, sf))
+            _WAREHOUSES[key] = wh
     return wh
 
 
