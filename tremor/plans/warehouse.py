@@ -17,17 +17,25 @@ of once per join in the reference's chain.
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremor import schemas as S
 from tremor.functions.numeric import to_int_half_even
 from tremor.operators.keys import SMALL_ROWS, assign_surrogate_keys, max_key
 from tremor.operators.upsert import new_rows, restrict_to_batch
 from tremor.operators.validate import require_not_null
-from tremor.session import list_names, scratch_path
+from tremor.session import list_names, read_text, scratch_path, write_text
+
+
+# Tables written in (event year, event month) folders inside each batch, so
+# an incremental load reads the months of its batch instead of the history.
+# Table -> timestamp column the month comes from.
+MONTH_PARTITIONED = {"earthquake": "time"}
 
 
 class Warehouse:
@@ -73,8 +81,28 @@ class Warehouse:
     def has(self, name: str) -> bool:
         return bool(self._batches(name))
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}").drop("batch")
+    def table(self, name: str, months: list[tuple[int, int]] | None = None) -> DataFrame:
+        """Current contents of table ``name``.
+
+        ``months`` reads only those (year, month) partitions of a table
+        written with ``MONTH_PARTITIONED`` (partition pruning on the folder
+        names, no other files are opened).
+        """
+        reader = self.spark.read
+        stored = read_text(self.spark, self._schema_file(name)) \
+            if name in MONTH_PARTITIONED else None
+        if stored:
+            # an empty partitioned batch has no data file to infer from
+            reader = reader.schema(T.StructType.fromJson(json.loads(stored)))
+        df = reader.parquet(f"{self.root}/{name}")
+        if name in MONTH_PARTITIONED:
+            if months is not None:
+                cond = F.lit(False)
+                for y, m in months:
+                    cond = cond | ((F.col("_year") == y) & (F.col("_month") == m))
+                df = df.where(cond)
+            df = df.drop("_year", "_month")
+        return df.drop("batch")
 
     def get(self, name: str) -> DataFrame | None:
         return self.table(name) if self.has(name) else None
@@ -86,9 +114,21 @@ class Warehouse:
         existing = self.get(name)
         if existing is not None:
             rows = rows.select(*existing.columns)
-        rows.write.mode("errorifexists").parquet(f"{self.root}/{name}/batch={nxt:05d}")
+        path = f"{self.root}/{name}/batch={nxt:05d}"
+        if name in MONTH_PARTITIONED:
+            ts = F.col(MONTH_PARTITIONED[name])
+            out = rows.withColumns({"_year": F.year(ts), "_month": F.month(ts)})
+            if existing is None:
+                full = T.StructType(out.schema.fields + [T.StructField("batch", T.IntegerType())])
+                write_text(self.spark, self._schema_file(name), json.dumps(full.jsonValue()))
+            out.write.mode("errorifexists").partitionBy("_year", "_month").parquet(path)
+        else:
+            rows.write.mode("errorifexists").parquet(path)
         return self.table(name)
 
+    def _schema_file(self, name: str) -> str:
+        return f"{self.root}/{name}/_schema.json"
+
     def _load_dimension(self, name: str, candidates: DataFrame, dedup: str = "distinct",
                         derive=None) -> DataFrame:
         id_col, key = S.KEYS[name]
@@ -130,8 +170,14 @@ class Warehouse:
         facts = earthquake_rows(stg, location, self.table("magnitude_detail"),
                                 self.table("seismic_metrics"), self.table("data_source"))
         self._load_facts("earthquake", facts)
-        return self.table("earthquake").join(stg.select("earthquake_id"), "earthquake_id",
-                                             "left_semi")
+        # The batch's stored events, read from the batch's months only.  An
+        # event stored under another month (a revised time) was star-loaded
+        # when it was first inserted, so the star load does not need it.
+        months = [(r[0], r[1]) for r in
+                  stg.select(F.year("time"), F.month("time")).distinct().collect()
+                  if r[0] is not None]
+        return self.table("earthquake", months=months).join(
+            stg.select("earthquake_id"), "earthquake_id", "left_semi")
 
     # -- star ------------------------------------------------------------------
     def load_star(self, events: DataFrame | None = None) -> None:

@@ -88,6 +88,31 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file (metadata) on any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Read a small text file written by ``write_text`` (None if absent)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -98,4 +123,5 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "list_names",
+           "write_text", "read_text",
            "shuffle_partitions", "local_path", "DEFAULT_CONF"]
