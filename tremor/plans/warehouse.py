@@ -121,7 +121,11 @@ class Warehouse:
             if existing is None:
                 full = T.StructType(out.schema.fields + [T.StructField("batch", T.IntegerType())])
                 write_text(self.spark, self._schema_file(name), json.dumps(full.jsonValue()))
-            out.write.mode("errorifexists").partitionBy("_year", "_month").parquet(path)
+            # rebalance: cluster rows by month so each month folder gets few
+            # files; AQE splits a month that is too large (a hot month) and
+            # merges small ones.
+            out.hint("rebalance", "_year", "_month") \
+               .write.mode("errorifexists").partitionBy("_year", "_month").parquet(path)
         else:
             rows.write.mode("errorifexists").parquet(path)
         return self.table(name)
@@ -160,16 +164,23 @@ class Warehouse:
         stg = staging if staging is not None else self.table("staging_events")
         if validate:
             require_not_null(stg, S.FINAL_COLUMNS)
+        # On the first load every row is new: none of the incremental
+        # narrowing below (each costs a small job) could reduce anything.
+        incremental = self.has("earthquake")
         self._load_dimensions([("location", location_rows(stg)),
                                ("magnitude_detail", magnitude_detail_rows(stg)),
                                ("seismic_metrics", seismic_metrics_rows(stg)),
                                ("data_source", data_source_rows(stg))])
         # A monthly batch touches few locations: find them with a scan of the
         # location table instead of shuffling all of it into the join.
-        location = restrict_to_batch(self.table("location"), location_rows(stg), S.LOCATION_KEY)
+        location = self.table("location")
+        if incremental:
+            location = restrict_to_batch(location, location_rows(stg), S.LOCATION_KEY)
         facts = earthquake_rows(stg, location, self.table("magnitude_detail"),
                                 self.table("seismic_metrics"), self.table("data_source"))
         self._load_facts("earthquake", facts)
+        if not incremental:
+            return self.table("earthquake")
         # The batch's stored events, read from the batch's months only.  An
         # event stored under another month (a revised time) was star-loaded
         # when it was first inserted, so the star load does not need it.
@@ -202,8 +213,9 @@ class Warehouse:
             ("magnitude_type_dim", mag.select(*S.MAGNITUDE_TYPE_DIM_KEY)),
             ("data_source_dim", src.select(*S.DATA_SOURCE_DIM_KEY)),
             ("status_dim", eq.select(*S.STATUS_DIM_KEY))])
+        incremental = self.has("earthquake_fact")
         time_dim, location_dim = self.table("time_dim"), self.table("location_dim")
-        if events is not None:
+        if events is not None and incremental:
             time_dim = restrict_to_batch(time_dim, time_dim_rows(eq), S.TIME_DIM_KEY)
             location_dim = restrict_to_batch(location_dim, loc.select(*S.LOCATION_DIM_KEY),
                                              S.LOCATION_DIM_KEY)
