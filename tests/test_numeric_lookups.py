@@ -67,3 +67,13 @@ def test_quarantine_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "x int, y string")
     ok, bad = quarantine_nulls(df, ["x", "y"])
     assert ok.count() == 1 and bad.count() == 2
+
+
+def test_lookup_tables_are_inputs(spark):
+    df = spark.createDataFrame([("QC",), ("CA",)], "state string")
+    abbr = spark.createDataFrame([("QC", "Quebec")], "abbreviation string, state_name string")
+    got = sorted(r[0] for r in clean.expand_state(df, table=abbr).collect())
+    assert got == ["CA", "Quebec"]
+    reg = spark.createDataFrame([("Quebec", "East")], "state string, region string")
+    assert clean.assign_region(spark.createDataFrame([("Quebec",)], "state string"),
+                               table=reg).first()["region"] == "East"

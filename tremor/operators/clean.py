@@ -51,12 +51,16 @@ def with_computed(df: DataFrame, cols: dict) -> DataFrame:
                      F.inline(F.array(packed)))
 
 
-def expand_state(df: DataFrame, col: str = "state", complete: bool = False) -> DataFrame:
+def expand_state(df: DataFrame, col: str = "state", complete: bool = False,
+                 table: DataFrame | None = None) -> DataFrame:
     """Trim, then replace a known abbreviation by the state name.
 
     The lookup is case-sensitive; unknown values stay (trimmed); null stays null.
+    ``table`` (``abbreviation, state_name``) replaces the fixed list; it is
+    broadcast, so it must stay a small lookup table.
     """
-    abbr = F.broadcast(lookups.abbreviations(df.sparkSession, complete)
+    table = table if table is not None else lookups.abbreviations(df.sparkSession, complete)
+    abbr = F.broadcast(table.select("abbreviation", "state_name")
                        .withColumnsRenamed({"abbreviation": "_abbr", "state_name": "_abbr_name"}))
     trimmed = df.withColumn(col, strip_ws(F.col(col)))
     joined = trimmed.join(abbr, trimmed[col] == abbr["_abbr"], "left")
@@ -64,9 +68,14 @@ def expand_state(df: DataFrame, col: str = "state", complete: bool = False) -> D
                  .drop("_abbr", "_abbr_name")
 
 
-def classify_country(df: DataFrame, col: str = "state", complete: bool = False) -> DataFrame:
-    """Add ``country, continent``; null or unrecognised -> ``Unknown``."""
-    table = F.broadcast(lookups.countries(df.sparkSession, complete)
+def classify_country(df: DataFrame, col: str = "state", complete: bool = False,
+                     table: DataFrame | None = None) -> DataFrame:
+    """Add ``country, continent``; null or unrecognised -> ``Unknown``.
+
+    ``table`` (``state, country, continent``) replaces the fixed lists.
+    """
+    table = table if table is not None else lookups.countries(df.sparkSession, complete)
+    table = F.broadcast(table.select("state", "country", "continent")
                         .withColumnsRenamed({"state": "_cstate", "country": "_country",
                                              "continent": "_continent"}))
     joined = df.join(table, strip_ws(df[col]) == table["_cstate"], "left")
@@ -92,9 +101,13 @@ def us_only(df: DataFrame) -> DataFrame:
              .where(F.col("country") == fv.UNITED_STATES)
 
 
-def assign_region(df: DataFrame, col: str = "state") -> DataFrame:
-    """Census region of the state; unmatched -> ``Non-US``."""
-    table = F.broadcast(lookups.regions(df.sparkSession)
+def assign_region(df: DataFrame, col: str = "state", table: DataFrame | None = None) -> DataFrame:
+    """Census region of the state; unmatched -> ``Non-US``.
+
+    ``table`` (``state, region``) replaces the fixed region lists.
+    """
+    table = table if table is not None else lookups.regions(df.sparkSession)
+    table = F.broadcast(table.select("state", "region")
                         .withColumnsRenamed({"state": "_rstate", "region": "_region"}))
     joined = df.join(table, df[col] == table["_rstate"], "left")
     return joined.withColumn("region", F.coalesce(F.col("_region"), F.lit(fv.NON_US))) \

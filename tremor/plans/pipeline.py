@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from tremor.operators import clean, spatial
-from tremor.schemas import FINAL_COLUMNS
+from tremor.schemas import FINAL_COLUMNS, STAGING_TYPES
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -87,8 +87,15 @@ def staging_events(raw: DataFrame, edges: DataFrame, **kw) -> DataFrame:
     before the exchange.
     """
     final = final_dataset(raw, edges, keep="smallest", **kw)
-    return first_per_key(final, ["earthquake_id"],
-                         ["time"] + [c for c in FINAL_COLUMNS if c not in ("earthquake_id", "time")])
+    one = first_per_key(final, ["earthquake_id"],
+                        ["time"] + [c for c in FINAL_COLUMNS if c not in ("earthquake_id", "time")])
+    return to_staging_types(one)
+
+
+def to_staging_types(df: DataFrame) -> DataFrame:
+    """S9 typed projection: the 27 staging columns cast to their declared types."""
+    return df.select(*[F.col(c).cast(STAGING_TYPES[c]).alias(c) if c in STAGING_TYPES
+                       else F.col(c) for c in FINAL_COLUMNS])
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

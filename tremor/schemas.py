@@ -37,6 +37,13 @@ FINAL_COLUMNS = [
     "locationSource", "magSource", "offset_distance", "offset_direction",
     "nearest_locality", "state", "county", "region",
 ]
+# Staging column types (timestamps keep the source's timestamp type).
+STAGING_TYPES = {c: "double" for c in [
+    "latitude", "longitude", "depth", "depthError", "horizontalError", "mag", "magError",
+    "magNst", "nst", "gap", "dmin", "rms", "offset_distance"]}
+STAGING_TYPES.update({c: "string" for c in [
+    "earthquake_id", "status", "type", "offset_direction", "nearest_locality", "state",
+    "county", "region", "magType", "net", "locationSource", "magSource"]})
 STAGING_KEY = ["earthquake_id"]
 # Columns the staging table declares NOT NULL.
 STAGING_NOT_NULL = ["offset_distance", "offset_direction", "nearest_locality",
