@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     # constraint propagation grow without bound; the library never relies on
     # inferred constraints.
     "spark.sql.constraintPropagation.enabled": "false",
+    # Remove key and batch checkpoints once nothing references them, so a
+    # long-running refresh does not accumulate them in the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
