@@ -58,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used
-    as is.  Only a session without it (a test) gets a fresh local folder.
+    as is; a cluster session without it is an error (a machine-local folder
+    would not survive the loss of that machine).  Only a local-mode session
+    without it (a test) gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not str(sc.master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object "
+                               "store) before running loads on a cluster")
         configured = tempfile.mkdtemp(prefix="tremor-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
