@@ -28,24 +28,18 @@ GOLDEN = [
     ("\uffff", (None, None, "\uffff", None)),
 ]
 
-# The reference grammar written with Python's re (the behaviour to match).
-_PY = re.compile(
-    r"""
-    (?:(?P<distance>\d+\s*km)\s*)?
-    (?:(?P<direction>[NSEW]{1,3})\s*of\s*)?
-    (?P<nearest>[^,]+?)
-    (?:,\s*(?P<state>[A-Za-z ]+))?
-    $""",
-    re.IGNORECASE | re.VERBOSE,
-)
+# FIXED VALUES — the place grammar for Python's re (the behaviour to match).
+PY_PATTERN = re.compile(r"(?:(\d+\s*km)\s*)?(?:([NSEW]{1,3})\s*of\s*)?([^,]+?)(?:,\s*([A-Za-z ]+))?$",
+                        re.IGNORECASE)
 
 
 def py_parse(txt):
-    m = _PY.match(txt.strip())
-    if not m:
+    """Parts as a Python ``re`` match of the stripped text gives them."""
+    m = PY_PATTERN.match(txt.strip())
+    if m is None:
         return (None, None, txt, None)
-    return (m.group("distance"), m.group("direction"), m.group("nearest").strip(),
-            m.group("state"))
+    distance, direction, nearest, state = m.groups()
+    return (distance, direction, nearest.strip(), state)
 
 
 def spark_parse(spark, texts):
