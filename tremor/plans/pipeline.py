@@ -18,17 +18,31 @@ from tremor.operators import clean, spatial
 from tremor.schemas import FINAL_COLUMNS, STAGING_TYPES
 
 
+# Input bytes per task for the CPU-heavy chain when a source must be spread.
+SPREAD_BYTES_PER_TASK = 16 * 1024 * 1024
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Guarantee enough tasks for the CPU-heavy chain (regex parse, polygon tests).
 
     A source split into many files needs nothing (returned as is).  A source
-    with fewer partitions than the cluster has cores (one big file with one
-    row group) would run the whole chain in a handful of tasks, so its rows
-    are spread round-robin first (Spark sorts before a round-robin exchange,
-    so a retried task sends every row to the same place).
+    with fewer partitions than it needs (one big file with one row group)
+    would run the whole chain in a handful of tasks, so its rows are spread
+    round-robin first (Spark sorts before a round-robin exchange, so a
+    retried task sends every row to the same place).  The target is the
+    input's estimated size over ``SPREAD_BYTES_PER_TASK`` (Catalyst's
+    estimate, no job), capped at the cluster's parallelism, so a small
+    monthly file is not cut into thousands of tiny tasks.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
+    target = min_partitions
+    if target is None:
+        cap = spark.sparkContext.defaultParallelism
+        try:
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            target = max(1, min(cap, -(-size // SPREAD_BYTES_PER_TASK)))
+        except Exception:  # noqa: BLE001 - estimate unavailable: use the cap
+            target = cap
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
