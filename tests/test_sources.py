@@ -104,3 +104,22 @@ def test_month_audit_shows_gaps(spark, sf_small):
     audit = {(r["year"], r["month"]): r["n_events"] for r in ev.month_audit(raw).collect()}
     assert audit[(1996, 3)] == 0
     assert sum(audit.values()) == raw.count()
+
+
+def test_geojson_line_delimited(spark):
+    d = tempfile.mkdtemp(prefix="tremor-geo-", dir="/tmp")
+    feats = [
+        {"type": "Feature", "properties": {"NAME": "Alder", "GEOID": "01"},
+         "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [2, 0], [2, 2], [0, 0]]]}},
+        {"type": "Feature", "properties": {"NAME": "Birch", "GEOID": "02"},
+         "geometry": {"type": "MultiPolygon", "coordinates": [
+             [[[5, 5], [6, 5], [6, 6], [5, 5]]], [[[8, 8], [9, 8], [9, 9], [8, 8]]]]}},
+    ]
+    with open(f"{d}/c.geojsonl", "w") as f:
+        for feat in feats:
+            f.write(json.dumps(feat) + "\n")
+    edges = read_geojson(spark, f"{d}/c.geojsonl", id_field="GEOID", line_delimited=True)
+    per = {r["polygon_id"]: r["count"] for r in edges.groupBy("polygon_id").count().collect()}
+    assert per == {"01": 3, "02": 6}
+    no_id = read_geojson(spark, f"{d}/c.geojsonl", line_delimited=True)
+    assert no_id.select("polygon_id").distinct().count() == 2

@@ -38,9 +38,12 @@ def _rows(df: DataFrame) -> list[dict]:
 
 
 def read_counties(spark: SparkSession, path: str) -> DataFrame:
-    """County polygons from GeoJSON (``.json``/``.geojson``) or an edge table (parquet)."""
+    """County polygons from GeoJSON (``.json``/``.geojson``), line-delimited
+    GeoJSON (``.geojsonl``/``.geojsons``/``.ndjson``) or an edge table (parquet)."""
     if path.endswith((".json", ".geojson")):
         return cty.read_geojson(spark, path)
+    if path.endswith((".geojsonl", ".geojsons", ".ndjson")):
+        return cty.read_geojson(spark, path, line_delimited=True)
     return cty.read_edges(spark, path)
 
 

@@ -47,22 +47,38 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_FEATURE = T.StructType([
+    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("geometry", T.StructType([
+        T.StructField("type", T.StringType()),
+        T.StructField("coordinates", T.StringType()),
+    ])),
+])
+
+
 def read_geojson(spark: SparkSession, path: str, name_field: str = "NAME",
-                 id_field: str | None = None) -> DataFrame:
-    """GeoJSON FeatureCollection -> edge table.
+                 id_field: str | None = None, line_delimited: bool = False) -> DataFrame:
+    """GeoJSON -> edge table.
+
+    A FeatureCollection is one JSON document, so Spark parses each file in one
+    task (fine for a county layer of a few tens of MB).  ``line_delimited``
+    reads one Feature per line instead (GeoJSON text sequences / ndjson),
+    which Spark splits across tasks for large layers.
 
     Polygon and MultiPolygon coordinates have different nesting depths, so
     the coordinates are read as JSON text and decoded per geometry type.
+    Without ``id_field`` a polygon is identified by its feature position
+    (line-delimited input: by file and offset of the line).
     """
-    schema = T.StructType([T.StructField("features", T.ArrayType(T.StructType([
-        T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("geometry", T.StructType([
-            T.StructField("type", T.StringType()),
-            T.StructField("coordinates", T.StringType()),
-        ])),
-    ])))])
-    features = (spark.read.schema(schema).option("multiLine", True).json(path)
-                .select(F.posexplode("features").alias("fid", "f")))
+    if line_delimited:
+        features = (spark.read.schema(_FEATURE).json(path)
+                    .select(F.concat_ws(":", F.input_file_name(),
+                                        F.monotonically_increasing_id().cast("string"))
+                            .alias("fid"), F.struct("properties", "geometry").alias("f")))
+    else:
+        schema = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
+        features = (spark.read.schema(schema).option("multiLine", True).json(path)
+                    .select(F.posexplode("features").alias("fid", "f")))
     poly_t = "array<array<array<double>>>"
     multi_t = "array<array<array<array<double>>>>"
     g = F.col("f.geometry")
