@@ -1,11 +1,12 @@
 """County polygon sources.
 
 Polygons enter as edges ``struct<x1, y1, x2, y2>`` in longitude/latitude
-degrees (x = longitude).  Three input forms are accepted:
+degrees (x = longitude).  Four input forms are accepted:
 
 * an edge table: ``polygon_id, county, ring, x1, y1, x2, y2`` (one row per edge);
 * a ring table: ``polygon_id, county, ring, vertices array<struct<x, y>>``;
-* a GeoJSON FeatureCollection whose features are Polygon or MultiPolygon.
+* a GeoJSON FeatureCollection whose features are Polygon or MultiPolygon;
+* line-delimited GeoJSON (one such Feature per line), split across tasks.
 
 All of them end in ``polygon_layer``: one row per polygon with its edge
 array and bounding box.  A polygon's edge list is bounded by its geometry,
