@@ -119,8 +119,7 @@ def test_fixture_counts(spark, sf_mid):
 
 def test_interior_cells_skip_edges(spark, frames):
     _, edges = frames
-    from tremor.sources.counties import polygon_layer
-    idx = spatial.cell_index(polygon_layer(edges), 0.25)
+    idx = spatial.cell_index(edges, 0.25)
     rows = idx.selectExpr("cx", "cy", "inline(polys)").collect()
     full = [r for r in rows if r["full"]]
     assert full and all(len(r["edges"]) == 0 for r in full)
@@ -132,6 +131,5 @@ def test_interior_cells_skip_edges(spark, frames):
 
 def test_index_size_is_measured(spark, frames):
     _, edges = frames
-    from tremor.sources.counties import polygon_layer
-    idx = spatial.cell_index(polygon_layer(edges), 1.0)
+    idx = spatial.cell_index(edges, 1.0)
     assert spatial.index_size_bytes(idx) > 0

@@ -2,14 +2,13 @@
 
 Plan (all DataFrame operators, no Python UDF):
 
-1. **Cell index** (built from the polygon layer only, so its size is bounded
-   by the polygon input, never by the event volume): every polygon is
-   exploded over the grid cells its bounding box covers; per cell only the
-   edges that can matter for a point of that cell are kept (edges reaching
-   the cell's row band and extending right of the cell's left side: a ray
-   towards +x from any point in the cell can only cross those).  The index
-   is grouped to one row per cell: ``cx, cy, polys array<struct<polygon_id,
-   county, edges>>``.
+1. **Cell index** (built from the polygon edges only, so its size is bounded
+   by the polygon input, never by the event volume): edges are routed to
+   the row bands they reach and grouped per (polygon, band); bands are cut
+   into cells; each (polygon, cell) pair is classified as boundary (keeps
+   the edges a ray from the cell can cross), inside (matches with no edge
+   test) or outside (dropped).  The index is grouped to one row per cell:
+   ``cx, cy, polys array<struct<polygon_id, county, full, edges>>``.
 2. **Equi-join on the cell id**: each point falls in exactly one cell, so the
    join is at most one index row per point and never multiplies the events.
    When the index is small enough (checked with a tiny aggregate over the
@@ -35,7 +34,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.functions.geometry import EDGE_TYPE, crossings, intersects, segment_touches_box
-from tremor.sources.counties import polygon_layer
 
 DEFAULT_CELL_SIZE = 1.0
 # Relative padding of a cell's band when clipping edges; clipping only
@@ -45,42 +43,50 @@ _EDGE_BYTES = 40
 _ROW_BYTES = 96
 
 
-def cell_index(polygons: DataFrame, cell_size: float = DEFAULT_CELL_SIZE) -> DataFrame:
-    """Polygon layer (``polygon_layer`` output) -> one row per grid cell.
+def cell_index(edges: DataFrame, cell_size: float = DEFAULT_CELL_SIZE) -> DataFrame:
+    """Edge table -> one row per grid cell: ``cx, cy, polys``.
 
-    Each (polygon, cell) pair of the polygon's bounding-box cells is
-    classified once, here, instead of per point:
+    Built without ever holding a polygon's whole edge list in one row: each
+    edge is sent to the row bands its y-range reaches (an explode over a
+    short integer range), edges are grouped per (polygon, band), and each
+    band is cut into the cells its edges span.  A point of a band that is
+    left or right of every band edge is outside the polygon, so cells beyond
+    the band's edges never need to be listed.
+
+    Each (polygon, cell) pair is then classified once, here, instead of per
+    point:
 
     * *boundary*: an edge touches the cell (box padded slightly, so rounding
-      can only add boundary cells): the pair keeps the edges a ray from the
-      cell can cross (edges reaching the cell's row band and extending right
-      of its left side) and points are tested exactly;
-    * *inside*: no edge touches the cell and its centre is inside: every
-      point of the cell matches, with no edge test (``full``);
+      can only add boundary cells): the pair keeps the band edges a ray from
+      the cell can cross (those extending right of its left side) and points
+      are tested exactly;
+    * *inside*: no edge touches the cell and its centre is inside (a
+      horizontal ray only crosses edges of its own band): every point of the
+      cell matches, with no edge test (``full``);
     * *outside*: dropped.
-
-    The polygon is cut into row bands first (a band keeps only the edges
-    that reach it), then each band into cells, so no row ever carries a
-    polygon's full edge list once per cell: a county whose bounding box spans
-    hundreds of cells costs the edges of one band per cell, not all of them.
-    A horizontal ray from a point of the band only crosses edges of that
-    band, so the band's edges are enough for the centre test as well.
     """
     s = float(cell_size)
-
-    def cell(v):
-        return F.floor(v / F.lit(s)).cast("long")
-
+    if "polygon_id" not in edges.columns:
+        edges = edges.withColumn("polygon_id", F.col("county"))
+    lo = F.least(F.col("y1"), F.col("y2")) / F.lit(s)
+    hi = F.greatest(F.col("y1"), F.col("y2")) / F.lit(s)
+    edge = F.struct(*[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    routed = edges.select(
+        "polygon_id", "county", edge.alias("e"),
+        F.explode(F.sequence(F.floor(lo - 1 - _PAD).cast("long"),
+                             F.floor(hi + _PAD).cast("long"))).alias("cy"))
     cy = F.col("cy")
     y0, y1 = (cy - _PAD) * s, (cy + 1 + _PAD) * s
-    bands = (polygons
-             .withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))))
-             .select("polygon_id", "county", "xmin", "xmax", "cy",
-                     F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
-                              & (F.least(e["y1"], e["y2"]) <= y1)).alias("edges"))
-             .where(F.size("edges") > 0))
-    cells = bands.withColumn("cx", F.explode(F.sequence(cell(F.col("xmin")),
-                                                        cell(F.col("xmax")))))
+    bands = (routed
+             .where((F.greatest(F.col("e.y1"), F.col("e.y2")) >= y0)
+                    & (F.least(F.col("e.y1"), F.col("e.y2")) <= y1))
+             .groupBy("polygon_id", "county", "cy")
+             .agg(F.collect_list("e").alias("edges"),
+                  F.min(F.least(F.col("e.x1"), F.col("e.x2"))).alias("xmin"),
+                  F.max(F.greatest(F.col("e.x1"), F.col("e.x2"))).alias("xmax")))
+    cells = bands.withColumn("cx", F.explode(F.sequence(
+        F.floor(F.col("xmin") / F.lit(s) - _PAD).cast("long"),
+        F.floor(F.col("xmax") / F.lit(s) + _PAD).cast("long"))))
     cx = F.col("cx")
     x0, x1 = (cx - _PAD) * s, (cx + 1 + _PAD) * s
     touches = F.exists("edges", lambda e: segment_touches_box(e, x0, y0, x1, y1))
@@ -129,7 +135,7 @@ def spatial_join(points: DataFrame, edges: DataFrame, *, lon: str = "longitude",
     """
     if keep not in ("all", "smallest"):
         raise ValueError("keep must be 'all' or 'smallest'")
-    index = cell_index(polygon_layer(edges), cell_size)
+    index = cell_index(edges, cell_size)
     spark = points.sparkSession
     if broadcast is None:
         broadcast = index_size_bytes(index) <= _broadcast_budget(spark)
