@@ -42,3 +42,14 @@ def test_olap_aggregates_before_joining(spark, sf_small):
     join_at = optimized.find("Join Inner")
     # a partial aggregate on location_id sits below the dimension join
     assert join_at > 0 and "Aggregate [location_id" in optimized[join_at:]
+
+
+def test_spread_only_when_under_split(spark):
+    from tremor.plans.pipeline import spread
+    many = spark.range(1000).repartition(16)
+    assert spread(many, 8) is many
+    one = spark.range(1000).coalesce(1)
+    assert spread(one, 8).rdd.getNumPartitions() == 8
+    # default target: Catalyst's size estimate, capped at the parallelism
+    tiny = spark.range(10).coalesce(1)
+    assert spread(tiny).rdd.getNumPartitions() == 1
