@@ -5,8 +5,8 @@ Prints one JSON line: ``{"metric": ..., "value": total_sec, "unit": "sec",
 
 Stages mirror the reference's published figures: the staging load (raw
 events -> cleaned, geocoded, one row per event, written), the 3NF load and
-the star load (both written), then typical OLAP queries over the star and
-the dataset profile.  Query results are executed in full with the ``noop``
+the star load (both written), then typical OLAP queries over the star, the
+write of the final dataset file and the dataset profile queries over it.  Query results are executed in full with the ``noop``
 sink (no collect to the driver).
 """
 
@@ -65,7 +65,13 @@ def main() -> None:
     rows["staging_events"] = wh.table("staging_events").count()
     rows["earthquake_fact"] = wh.table("earthquake_fact").count()
 
-    for name in OLAP + DATASET:
+    for name in OLAP:
+        df = Q.QUERIES[name](spark, SF_DIR)
+        _, times[name] = timed(lambda: run(df))
+    # The analysis queries read the written final dataset (S7 then S6), as the
+    # reference's analysis step reads its final file; the write is timed here.
+    _, times["final_stage_write"] = timed(lambda: Q.final_stage(spark, SF_DIR))
+    for name in DATASET:
         df = Q.QUERIES[name](spark, SF_DIR)
         _, times[name] = timed(lambda: run(df))
 
