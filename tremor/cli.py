@@ -70,12 +70,7 @@ def cmd_run(spark: SparkSession, args) -> None:
     _emit("top_states", _rows(profile.value_counts(final, "state", 10)))
     _emit("top_counties", _rows(profile.value_counts(final, "county", 10)))
     if args.warehouse:
-        # S9 from the written final stage: one row per event, earliest first,
-        # then the full row (so a border point keeps its smallest county).
-        order = ["time", "county"] + [c for c in final.columns
-                                      if c not in ("earthquake_id", "time", "county")]
-        staging = pipeline.first_per_key(final, ["earthquake_id"], order)
-        wh = Warehouse(spark, args.warehouse).load_batch(staging)
+        wh = Warehouse(spark, args.warehouse).load_batch(pipeline.staging_from_final(final))
         _emit("warehouse", {t: wh.table(t).count() for t in
                             ("staging_events", "earthquake", "earthquake_fact")})
 

@@ -106,6 +106,14 @@ def staging_events(raw: DataFrame, edges: DataFrame, **kw) -> DataFrame:
     return to_staging_types(one)
 
 
+def staging_from_final(final: DataFrame) -> DataFrame:
+    """S9 from a final dataset (file): one row per event, earliest first, then
+    the full row, so a border point keeps its smallest county."""
+    order = ["time", "county"] + [c for c in FINAL_COLUMNS
+                                  if c not in ("earthquake_id", "time", "county")]
+    return to_staging_types(first_per_key(final, ["earthquake_id"], order))
+
+
 def to_staging_types(df: DataFrame) -> DataFrame:
     """S9 typed projection: the 27 staging columns cast to their declared types."""
     return df.select(*[F.col(c).cast(STAGING_TYPES[c]).alias(c) if c in STAGING_TYPES

@@ -30,6 +30,7 @@ from tremor.plans.params import (BATCH_SPLIT, DENSITY_CELL_DEG, HISTOGRAM_WIDTH,
 _WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
 _WAREHOUSE_LOCK = threading.Lock()
 _FINAL_STAGES: dict[tuple[int, str], str] = {}
+_FINAL_STAGE_LOCK = threading.Lock()
 
 
 def raw(spark, sf) -> DataFrame:
@@ -56,7 +57,7 @@ def final_stage(spark: SparkSession, sf: str) -> DataFrame:
     file, instead of re-running the pipeline for every question.
     """
     key = (id(spark._jsparkSession), sf)
-    with _WAREHOUSE_LOCK:
+    with _FINAL_STAGE_LOCK:
         path = _FINAL_STAGES.get(key)
         if path is None:
             path = scratch_path(spark, "final_stage")
@@ -66,7 +67,8 @@ def final_stage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staging(spark, sf) -> DataFrame:
-    return pipeline.staging_events(raw(spark, sf), edges(spark))
+    """S9 loaded from the final dataset file, as the reference loads staging."""
+    return pipeline.staging_from_final(final_stage(spark, sf))
 
 
 def warehouse(spark: SparkSession, sf: str) -> Warehouse:
