@@ -1,9 +1,12 @@
 """Registered queries: one per operator of the survey, each ``(spark, sf_dir) -> DataFrame``.
 
 All of them read the driver's test tables through the stand-in event view
-(``tremor.sources.testdata``) and run over whole tables.  Warehouse queries
-share one published warehouse per (session, folder): the loads run once
-(they write tables), and each load query returns the table it produced.
+(``tremor.sources.testdata``) and run over whole tables.  As in the
+reference, the pipeline writes the final dataset file once per (session,
+folder) (``final_stage``); staging is loaded from it and the analysis
+queries read it.  Warehouse queries share one published warehouse per
+(session, folder): the loads run once (they write tables), and each load
+query returns the table it produced.
 """
 
 from __future__ import annotations
