@@ -117,3 +117,12 @@ def test_drill_down_to_hour(built):
     assert [r["hour"] for r in hours] == [0]
     assert hours[0]["earthquake_count"] == [r for r in months if r["month"] == m][0][
         "earthquake_count"]
+
+
+def test_both_staging_paths_agree(spark, sf_small):
+    from tremor.plans import pipeline as P
+    raw, edges = event_view(spark, sf_small), fixture_county_edges(spark)
+    one_plan = P.staging_events(raw, edges)
+    from_file = P.staging_from_final(P.final_dataset(raw, edges))
+    assert sorted(tuple(r) for r in one_plan.collect()) == \
+        sorted(tuple(r) for r in from_file.collect())

@@ -91,6 +91,12 @@ def final_dataset(raw: DataFrame, edges: DataFrame, *, complete: bool = False,
     return df.select(*FINAL_COLUMNS)
 
 
+# Which row of an event id staging keeps: earliest, then smallest county,
+# then the rest of the row (both staging paths use this order).
+STAGING_ORDER = ["time", "county"] + [c for c in FINAL_COLUMNS
+                                      if c not in ("earthquake_id", "time", "county")]
+
+
 def staging_events(raw: DataFrame, edges: DataFrame, **kw) -> DataFrame:
     """Typed staging table, one row per ``earthquake_id``.
 
@@ -101,17 +107,13 @@ def staging_events(raw: DataFrame, edges: DataFrame, **kw) -> DataFrame:
     before the exchange.
     """
     final = final_dataset(raw, edges, keep="smallest", **kw)
-    one = first_per_key(final, ["earthquake_id"],
-                        ["time"] + [c for c in FINAL_COLUMNS if c not in ("earthquake_id", "time")])
-    return to_staging_types(one)
+    return to_staging_types(first_per_key(final, ["earthquake_id"], STAGING_ORDER))
 
 
 def staging_from_final(final: DataFrame) -> DataFrame:
     """S9 from a final dataset (file): one row per event, earliest first, then
     the full row, so a border point keeps its smallest county."""
-    order = ["time", "county"] + [c for c in FINAL_COLUMNS
-                                  if c not in ("earthquake_id", "time", "county")]
-    return to_staging_types(first_per_key(final, ["earthquake_id"], order))
+    return to_staging_types(first_per_key(final, ["earthquake_id"], STAGING_ORDER))
 
 
 def to_staging_types(df: DataFrame) -> DataFrame:
