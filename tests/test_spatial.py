@@ -133,3 +133,14 @@ def test_index_size_is_measured(spark, frames):
     _, edges = frames
     idx = spatial.cell_index(edges, 1.0)
     assert spatial.index_size_bytes(idx) > 0
+
+
+def test_suggested_cell_size(spark, frames):
+    pts, edges = frames
+    size = spatial.suggest_cell_size(edges)
+    assert 0.01 <= size <= 5.0
+    got = {(r["i"], r["county"]) for r in
+           spatial.spatial_join(pts, edges, cell_size=size).collect() if r["county"]}
+    assert got == brute_force(POINTS, POLYS)
+    from tremor.sources.testdata import fixture_county_edges
+    assert spatial.suggest_cell_size(fixture_county_edges(spark)) == pytest.approx(1.25)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.functions.geometry import EDGE_TYPE, crossings, intersects, segment_touches_box
+from tremor.sources.counties import polygon_layer
 
 DEFAULT_CELL_SIZE = 1.0
 # Relative padding of a cell's band when clipping edges; clipping only
@@ -105,6 +106,23 @@ def cell_index(edges: DataFrame, cell_size: float = DEFAULT_CELL_SIZE) -> DataFr
                  .alias("polys")))
 
 
+def suggest_cell_size(edges: DataFrame, cells_per_polygon: int = 16,
+                      lo: float = 0.01, hi: float = 5.0) -> float:
+    """A cell size for this polygon layer (one small aggregate over it).
+
+    The median polygon's bounding box is cut into about
+    ``cells_per_polygon`` cells, so most cells of a typical polygon are
+    *inside* cells (no per-point edge test) while the index stays a few
+    rows per polygon.  Clamped to ``[lo, hi]`` degrees.
+    """
+    layer = polygon_layer(edges)
+    side = F.sqrt((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")))
+    median = layer.select(F.percentile_approx(side, 0.5).alias("m")).first()["m"]
+    if not median:
+        return float(hi)
+    return float(min(hi, max(lo, median / cells_per_polygon ** 0.5)))
+
+
 def index_size_bytes(index: DataFrame) -> int:
     """Estimated in-memory size of a cell index (one small aggregate job)."""
     per_row = F.aggregate("polys", F.lit(0).cast("long"),
