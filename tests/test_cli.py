@@ -27,7 +27,8 @@ def test_run_profile_olap(spark, sf_small, capsys):
     ev.write_months(raw, f"{base}/events")
     _geojson(f"{base}/counties.geojson")
     cli.main(["run", "--events", f"{base}/events", "--counties", f"{base}/counties.geojson",
-              "--out", f"{base}/out", "--warehouse", f"{base}/wh"], spark=spark)
+              "--out", f"{base}/out", "--warehouse", f"{base}/wh", "--cell-size", "auto"],
+             spark=spark)
     cli.main(["profile", "--final", f"{base}/out/final", "--sample-out", f"{base}/sample"],
              spark=spark)
     cli.main(["olap", "--warehouse", f"{base}/wh", "--min-year", "1998"], spark=spark)
@@ -41,3 +42,4 @@ def test_run_profile_olap(spark, sf_small, capsys):
     top = sorted((r["state"], r["earthquake_count"]) for r in by["top_states"])
     assert set(top) <= set(direct)
     assert len(by["sample_head"]) == 6
+    assert by["cell_size"] == 1.25

@@ -21,7 +21,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.operators import olap, profile
+from tremor.operators import olap, profile, spatial
 from tremor.plans import pipeline
 from tremor.plans.warehouse import Warehouse
 from tremor.session import build_session, ensure_checkpoint_dir
@@ -54,11 +54,14 @@ def cmd_run(spark: SparkSession, args) -> None:
         hi = f"{(args.last_year or 9998) + 1}-01-01"
         raw = ev.source_filter(raw, lo, hi, args.min_magnitude, sort=False)
     edges = read_counties(spark, args.counties)
+    cell_size = (spatial.suggest_cell_size(edges) if args.cell_size == "auto"
+                 else float(args.cell_size))
+    _emit("cell_size", cell_size)
     out = args.out.rstrip("/")
     transformed = pipeline.transformed_events(raw, complete=args.complete_states)
     ev.write_stage(transformed, f"{out}/transformed")
     with_county = pipeline.events_with_county(ev.read_stage(spark, f"{out}/transformed"), edges,
-                                              cell_size=args.cell_size)
+                                              cell_size=cell_size)
     ev.write_stage(with_county, f"{out}/with_county")
     final = pipeline.finalize(ev.read_stage(spark, f"{out}/with_county"))
     ev.write_stage(final, f"{out}/final")
@@ -115,7 +118,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--first-year", type=int)
     r.add_argument("--last-year", type=int)
     r.add_argument("--min-magnitude", type=float, default=0.0)
-    r.add_argument("--cell-size", type=float, default=1.0)
+    r.add_argument("--cell-size", default="1.0",
+                   help="grid cell in degrees, or 'auto' (derived from the polygon layer)")
     r.add_argument("--complete-states", action="store_true",
                    help="add the seven states and the AL abbreviation missing from the lists")
     pr = sub.add_parser("profile", help="profile and sample of a final dataset")
