@@ -51,3 +51,11 @@ def test_semi_join_prefilter_equals_plain_anti_join(spark, final_rows):
     a = sorted(r[0] for r in new_rows(cands, existing, keys, broadcast_rows=10**9).collect())
     b = sorted(r[0] for r in new_rows(cands, existing, keys, broadcast_rows=0).collect())
     assert a == b and len(a) > 0
+
+
+def test_json_records_format_timestamps(spark, final_rows):
+    import json
+    rec = profile.to_json_records(profile.sample_head(final_rows, 1)).first()["record"]
+    obj = json.loads(rec)
+    assert len(obj["time"]) == 19 and obj["time"][10] == " "      # yyyy-MM-dd HH:mm:ss
+    assert set(obj) == set(final_rows.columns)

@@ -123,3 +123,31 @@ def test_geojson_line_delimited(spark):
     assert per == {"01": 3, "02": 6}
     no_id = read_geojson(spark, f"{d}/c.geojsonl", line_delimited=True)
     assert no_id.select("polygon_id").distinct().count() == 2
+
+
+def test_union_frames_tolerates_empty_and_missing_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, place string")
+    b = spark.createDataFrame([], "id int, place string")
+    c = spark.createDataFrame([(3,)], "id int")
+    got = sorted((r["id"], r["place"]) for r in ev.union_frames([a, b, c]).collect())
+    assert got == [(1, "x"), (3, None)]
+    with pytest.raises(ValueError):
+        ev.union_frames([])
+
+
+def test_month_spine_of_data(spark, sf_small):
+    from tremor.sources.testdata import event_view
+    raw = event_view(spark, sf_small)
+    spine = ev.month_spine_of(raw).collect()
+    lo = raw.selectExpr("min(time) m").first()["m"]
+    hi = raw.selectExpr("max(time) m").first()["m"]
+    assert (spine[0]["year"], spine[0]["month"]) == (lo.year, lo.month)
+    assert (spine[-1]["year"], spine[-1]["month"]) == (hi.year, hi.month)
+    assert len(spine) == (hi.year - lo.year) * 12 + hi.month - lo.month + 1
+
+
+def test_sample_sink_is_one_file(spark):
+    import glob
+    d = tempfile.mkdtemp(prefix="tremor-sample-", dir="/tmp") + "/s"
+    ev.write_sample(spark.range(80).repartition(7), d)
+    assert len(glob.glob(f"{d}/part-*.csv")) == 1
