@@ -126,3 +126,16 @@ def test_both_staging_paths_agree(spark, sf_small):
     from_file = P.staging_from_final(P.final_dataset(raw, edges))
     assert sorted(tuple(r) for r in one_plan.collect()) == \
         sorted(tuple(r) for r in from_file.collect())
+
+
+def test_complete_states_option(spark, sf_small):
+    from tremor.plans import pipeline as P
+    raw, edges = event_view(spark, sf_small), fixture_county_edges(spark)
+    default = {r["state"] for r in P.final_dataset(raw, edges).select("state").distinct().collect()}
+    full = {r["state"] for r in P.final_dataset(raw, edges, complete=True)
+            .select("state").distinct().collect()}
+    assert not {"Ohio", "Vermont"} & default
+    assert {"Ohio", "Vermont"} <= full and default < full
+    # "AL" expands to Alabama only with the completed abbreviation table
+    al = P.final_dataset(raw.where("place LIKE '%, AL'"), edges, complete=True)
+    assert {r["state"] for r in al.select("state").distinct().collect()} <= {"Alabama"}
