@@ -4,7 +4,8 @@ Written independently of the Spark code path: plain SQL over the driver's
 views (``orders``, ``customer``), with the spatial join done by brute force
 (every point against every edge) and surrogate keys by
 ``row_number() OVER (ORDER BY natural key)``.  Only the fixed values (lookup
-lists, stand-in expressions, county polygons) are shared with the library.
+lists, stand-in expressions, county polygons) and the query parameters
+(``tremor.plans.params``) are shared with the library.
 """
 
 from __future__ import annotations
