@@ -449,6 +449,7 @@ HAVING count(DISTINCT county) > 1"""),
     "upsert_insert_only": _loc_batches(),
     "check_unique": _with(_unique_checks()),
     "check_not_null": _with(_not_null_checks()),
+    "quarantine_nulls": _with(f"SELECT * FROM ev WHERE NOT ({_NOT_NULL})"),
     "check_range": _with("""
 SELECT 'time_dim' AS table_name, 'quarter' AS column_name,
        CAST(count_if(NOT quarter BETWEEN 1 AND 4) AS BIGINT) AS violations FROM time_dim

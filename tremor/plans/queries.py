@@ -235,6 +235,12 @@ def q_check_not_null(spark, sf):
     return _union(parts)
 
 
+def q_quarantine_nulls(spark, sf):
+    """V2 alternative: the raw events a not-null gate would quarantine."""
+    _, bad = validate.quarantine_nulls(raw(spark, sf), S.RAW_COLUMNS)
+    return bad
+
+
 def q_check_range(spark, sf):
     return validate.range_violations(warehouse(spark, sf).table("time_dim"),
                                      S.TIME_DIM_RANGES, "time_dim")
@@ -484,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_insert_only": q_upsert_insert_only,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
+    "quarantine_nulls": q_quarantine_nulls,
     "check_range": q_check_range,
     "check_refs": q_check_refs,
     "category_counts": q_category_counts,
