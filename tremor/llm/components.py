@@ -1,10 +1,11 @@
 """Connected components by alternating large-star and small-star rounds.
 
 Every round is two grouped minima and two joins over the edge list; edges
-stay a table, nothing is gathered on the driver but a row count and a
-checksum, by which the fixed point is seen.  The minima are written before
-the joins, so that adaptive execution can split the shuffle of a hub that
-holds a large share of all edges.
+stay a table, and only the answer whether they form a star forest yet comes
+to the driver.  The minima of the large star are written before their join,
+so that adaptive execution can split the shuffle of a hub that holds a large
+share of all edges; the small star's joins are by the smaller side's
+neighbours, of which a node has few by then.
 """
 
 from __future__ import annotations
@@ -15,23 +16,23 @@ from pyspark.sql import functions as F
 from tremor.llm.common import cut
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)),
-                           F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node hangs on one centre and no centre hangs on another."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    node = ends.groupBy("n").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return node.where("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+def _round(edges: DataFrame) -> DataFrame:
+    both = edges.union(edges.select("v", "u"))
     least = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
-    return (both.where("v > u").join(least, "u").where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")))
-    moved = (edges.join(least, "u").where("v <> m")
+    large = (both.where("v > u").join(least, "u").where("v <> m")
+             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    moved = (large.join(low, "u").where("v <> m")
              .select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    return cut(moved.union(low).distinct())
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -39,8 +40,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     names it.  Null ends and self links are ignored."""
     edges = cut(links.where(F.col(a) != F.col(b))
                 .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    before, now = None, _signature(edges)
-    while now != before and now[0]:
-        edges = cut(_small_star(cut(_large_star(edges))))
-        before, now = now, _signature(edges)
+    while not _is_star_forest(edges):
+        edges = _round(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -6,21 +6,21 @@ representative gets ``SKETCH`` minwise tokens.  ``TREES`` independent trees
 branch the representatives recursively: a node's members are divided by the
 minwise token at the tree's next position, a second branch is added with
 probability one third, so that a pair at the threshold keeps one path on
-average.  In each node
+average.  A node whose members are all connected is finished.  Else,
 
-* every member is compared with the node's smallest one (linear in the node);
-* a node whose members are all connected by then is finished;
-* a node of at most ``SMALL`` members is compared exhaustively, leaving out
-  pairs that are connected already;
-* any other node branches on, until all positions are used, when its
-  members agree on every minwise token.
+* in a node of at most ``SMALL`` members all sketches are compared: first
+  the strongest pairs that would connect it are confirmed, then every other
+  pair whose ends are still apart;
+* in a larger node every member is compared with the smallest one (linear in
+  the node), and if that doesn't connect it, it branches on, until all
+  positions are used, when its members agree on every minwise token.
 
 Only links' connectivity is asked for, so no group of copies is expanded
 into its pairs, and no node is cut short.  Pairs that share fewer than
 ``SCREEN`` of their minwise tokens are left out (a pair at the threshold
 falls below with probability 1e-5); the others are confirmed on their full
-sets of 64-bit shingle hashes.  With twelve trees a pair at similarity 0.75
-misses all first-level nodes with probability 6e-8.
+sets of 64-bit shingle hashes.  With eight trees a pair at similarity 0.75
+misses all first-level nodes with probability 1.5e-5.
 
 Results: texts that are null, empty or only white space have an empty set
 and stand alone.  Rows with a null ``doc_id`` are returned with a null
@@ -43,8 +43,8 @@ from tremor.llm.components import components
 WORDS = 5
 PERCENT = 75
 SKETCH = 64
-TREES = 12
-SMALL = 16
+TREES = 8
+SMALL = 256
 SCREEN = 32
 _BLOCK = 4096
 _MIX = np.random.default_rng(20240531).integers(1 << 62, 1 << 63, size=SKETCH + WORDS + 1,
@@ -104,6 +104,11 @@ def _sets(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return map_rows(docs.select(key, text_col), start, schema, chunk=64)
 
 
+def _short(sketch: Column) -> Column:
+    """A sketch of 31 bits a token, for comparing."""
+    return F.transform(sketch, lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+
+
 class _Links:
     """Links confirmed so far, and the sets that confirming them needed."""
 
@@ -111,31 +116,30 @@ class _Links:
         self.docs, self.reps, self.key, self.text_col = docs, reps, key, text_col
         ids = docs.schema[key].dataType.simpleString()
         spark = docs.sparkSession
+        self.short = reps.select("rep", _short(F.col("sketch")).alias("s"))
         self.sets = spark.createDataFrame([], f"doc {ids}, shingles array<bigint>")
         self.found = spark.createDataFrame([], f"a {ids}, b {ids}")
         self.labels = spark.createDataFrame([], f"node {ids}, component {ids}")
 
-    def _screened(self, pairs: DataFrame) -> DataFrame:
-        short = self.reps.select("rep", F.transform(
-            "sketch", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("s"))
-        both = (pairs.join(short.withColumnsRenamed({"rep": "a", "s": "sa"}), "a")
-                .join(short.withColumnsRenamed({"rep": "b", "s": "sb"}), "b"))
+    def screened(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sketches agree enough."""
+        both = (pairs.join(self.short.withColumnsRenamed({"rep": "a", "s": "sa"}), "a")
+                .join(self.short.withColumnsRenamed({"rep": "b", "s": "sb"}), "b"))
         same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")),
                            F.lit(0), lambda n, x: n + x)
-        return cut(both.where(same >= SCREEN).select("a", "b"))
+        return both.where(same >= SCREEN).select("a", "b")
 
     def confirm(self, pairs: DataFrame) -> bool:
         """Judge candidate pairs on full sets; True if the components changed."""
-        pairs = self._screened(pairs.distinct())
-        if pairs.isEmpty():
-            return False
+        pairs = cut(pairs.distinct())
         ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
         missing = cut(ends.join(self.sets.select("doc"), "doc", "left_anti"))
         if not missing.isEmpty():
             texts = self.docs.select(self.key, self.text_col).join(
                 missing.withColumnRenamed("doc", self.key), self.key, "left_semi")
             # An id may stand on several texts; the representative's set is meant.
-            own = self.reps.select(F.col("rep").alias("doc"), "set_id")
+            own = self.reps.select(F.col("rep").alias("doc"), "set_id").join(
+                missing, "doc", "left_semi")
             built = (_sets(texts, self.key, self.text_col).join(own, ["doc", "set_id"], "left_semi")
                      .select("doc", "shingles").dropDuplicates(["doc"]))
             self.sets = self.sets.unionByName(cut(built))
@@ -185,14 +189,52 @@ def _open(paths: DataFrame) -> DataFrame:
     return cut(paths.join(nodes, "node"))
 
 
-def _all_pairs(small: DataFrame) -> DataFrame:
-    """Pairs within nodes of bounded size whose ends are not connected."""
-    member = F.struct("rep", "component")
-    nodes = small.groupBy("node").agg(F.array_sort(F.collect_list(member)).alias("m"))
-    pairs = F.flatten(F.transform("m", lambda x: F.transform(
-        F.filter("m", lambda y: (y["rep"] > x["rep"]) & (y["component"] != x["component"])),
-        lambda y: F.struct(x["rep"].alias("a"), y["rep"].alias("b")))))
-    return nodes.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+def node_pairs(reps: list, comps: list, sketches: np.ndarray, forest: bool) -> list[tuple[int, int]]:
+    """Pairs (by place) of a node whose sketches agree enough and that are not connected.
+
+    With ``forest`` only the strongest pairs that would connect the members.
+    """
+    same = np.empty((len(reps), len(reps)), np.int16)
+    for i in range(len(reps)):
+        same[i] = (sketches == sketches[i]).sum(axis=1)
+    number = {c: i for i, c in enumerate(dict.fromkeys(comps))}
+    comp = np.array([number[c] for c in comps])
+    i, j = np.nonzero(np.triu((same >= SCREEN) & (comp[:, None] != comp), 1))
+    if not forest:
+        return list(zip(i.tolist(), j.tolist()))
+    parent = list(range(len(number)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+    out = []
+    for k in np.argsort(-same[i, j], kind="stable").tolist():
+        a, b = find(int(comp[i[k]])), find(int(comp[j[k]]))
+        if a != b:
+            parent[a] = b
+            out.append((int(i[k]), int(j[k])))
+    return out
+
+
+def _small_pairs(small: DataFrame, links: _Links, forest: bool) -> DataFrame:
+    """Candidate pairs within nodes of at most ``SMALL`` members."""
+    member = F.struct("rep", "component", "s")
+    nodes = (small.select("node", "rep", "component").join(links.short, "rep")
+             .groupBy("node").agg(F.array_sort(F.collect_list(member)).alias("m")))
+    ids = small.schema["rep"].dataType
+    pair = T.StructType([T.StructField("a", ids), T.StructField("b", ids)])
+
+    def start():
+        def row(members):
+            reps = [m["rep"] for m in members]
+            sketches = np.array([m["s"] for m in members], np.int32)
+            found = node_pairs(reps, [m["component"] for m in members], sketches, forest)
+            return ([{"a": reps[i], "b": reps[j]} for i, j in found],)
+        return row
+    schema = T.StructType([T.StructField("pairs", T.ArrayType(pair))])
+    return (map_rows(nodes.select("m"), start, schema)
+            .select(F.explode("pairs").alias("p")).select("p.a", "p.b"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,16 +248,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     paths = (reps.withColumn("tree", tree)
              .select("tree", F.xxhash64("tree", F.get("sketch", place)).alias("node"), "rep",
                      F.col("rep").alias("component")))
+    columns = ["tree", "node", "rep", "component"]
     for level in range(1, SKETCH + 1):
         paths = _open(paths)
-        star = paths.where("component <> pivot_component").select(
+        star = paths.where(F.col("n") > SMALL).where("component <> pivot_component").select(
             F.col("pivot").alias("a"), F.col("rep").alias("b"))
-        columns = ["tree", "node", "rep", "component"]
-        if links.confirm(star):
+        first = _small_pairs(paths.where(F.col("n") <= SMALL), links, forest=True)
+        if links.confirm(first.union(links.screened(star.distinct()))):
             paths = _open(links.label(paths.select(columns)))
-        small = paths.where(F.col("n") <= SMALL)
         large = paths.where(F.col("n") > SMALL).select(columns)
-        if links.confirm(_all_pairs(small)):
+        if links.confirm(_small_pairs(paths.where(F.col("n") <= SMALL), links, forest=False)):
             large = links.label(large)
         if level == SKETCH or large.isEmpty():
             break
