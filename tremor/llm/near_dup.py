@@ -46,6 +46,8 @@ SKETCH = 64
 TREES = 8
 SMALL = 256
 SCREEN = 32
+#: Counted rows of one or two ids up to which they are broadcast (under 8 MB); else they shuffle.
+BROADCAST_ROWS = 200_000
 _BLOCK = 4096
 _MIX = np.random.default_rng(20240531).integers(1 << 62, 1 << 63, size=SKETCH + WORDS + 1,
                                                 dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -109,6 +111,11 @@ def _short(sketch: Column) -> Column:
     return F.transform(sketch, lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
 
 
+def _sized(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` of one or two ids, marked for broadcast if their counted number is small."""
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
 class _Links:
     """Links confirmed so far, and the sets that confirming them needed."""
 
@@ -129,25 +136,38 @@ class _Links:
                            F.lit(0), lambda n, x: n + x)
         return both.where(same >= SCREEN).select("a", "b")
 
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Judge candidate pairs on full sets; True if the components changed."""
+    def prepare(self, ids: DataFrame) -> None:
+        """Build the sets of the documents ``ids`` (column ``doc``) that are not there yet."""
+        missing = cut(ids.distinct().join(self.sets.select("doc"), "doc", "left_anti"))
+        n = missing.count()
+        if not n:
+            return
+        texts = self.docs.select(self.key, self.text_col).join(
+            _sized(missing, n).withColumnRenamed("doc", self.key), self.key, "left_semi")
+        # An id may stand on several texts; the representative's set is meant.
+        own = self.reps.select(F.col("rep").alias("doc"), "set_id").join(
+            _sized(missing, n), "doc", "left_semi")
+        built = (_sets(texts, self.key, self.text_col).join(own, ["doc", "set_id"], "left_semi")
+                 .select("doc", "shingles").dropDuplicates(["doc"]))
+        self.sets = self.sets.unionByName(cut(built))
+
+    def confirm(self, pairs: DataFrame, later: DataFrame | None = None) -> bool:
+        """Judge candidate pairs on full sets; True if the components changed.
+
+        ``later`` names documents (``doc``) whose sets further levels may need; they are
+        built in the same pass over the texts.
+        """
         pairs = cut(pairs.distinct())
-        ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-        missing = cut(ends.join(self.sets.select("doc"), "doc", "left_anti"))
-        if not missing.isEmpty():
-            texts = self.docs.select(self.key, self.text_col).join(
-                missing.withColumnRenamed("doc", self.key), self.key, "left_semi")
-            # An id may stand on several texts; the representative's set is meant.
-            own = self.reps.select(F.col("rep").alias("doc"), "set_id").join(
-                missing, "doc", "left_semi")
-            built = (_sets(texts, self.key, self.text_col).join(own, ["doc", "set_id"], "left_semi")
-                     .select("doc", "shingles").dropDuplicates(["doc"]))
-            self.sets = self.sets.unionByName(cut(built))
-        sets = self.sets
-        both = (pairs.join(sets.withColumnsRenamed({"doc": "a", "shingles": "sa"}), "a")
-                .join(sets.withColumnsRenamed({"doc": "b", "shingles": "sb"}), "b"))
+        n = pairs.count()
+        if not n:
+            return False
+        ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
+        self.prepare(ends if later is None else ends.union(later))
+        few = _sized(pairs, n)
+        sa = self.sets.join(few, F.col("doc") == F.col("a")).select("a", "b", F.col("shingles").alias("sa"))
+        sb = self.sets.join(few, F.col("doc") == F.col("b")).select("a", "b", F.col("shingles").alias("sb"))
         shared = F.size(F.array_intersect("sa", "sb"))
-        linked = cut(both.withColumn("i", shared)
+        linked = cut(sa.join(sb, ["a", "b"]).withColumn("i", shared)
                      .where(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i")))
                      .select("a", "b"))
         if linked.isEmpty():
@@ -254,7 +274,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
         star = paths.where(F.col("n") > SMALL).where("component <> pivot_component").select(
             F.col("pivot").alias("a"), F.col("rep").alias("b"))
         first = _small_pairs(paths.where(F.col("n") <= SMALL), links, forest=True)
-        if links.confirm(first.union(links.screened(star.distinct()))):
+        members = paths.where(F.col("n") > SMALL).select(F.col("rep").alias("doc"))
+        if links.confirm(first.union(links.screened(star.distinct())), members):
             paths = _open(links.label(paths.select(columns)))
         large = paths.where(F.col("n") > SMALL).select(columns)
         if links.confirm(_small_pairs(paths.where(F.col("n") <= SMALL), links, forest=False)):
