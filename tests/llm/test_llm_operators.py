@@ -268,9 +268,10 @@ def test_near_duplicates_equal_brute_force(make, seed):
     assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute_components(texts)
 
 
-def test_near_duplicates_large_node_without_links(make):
+def test_near_duplicates_large_node_without_links(make, monkeypatch):
     """Documents that share a passage, too many for a small node, with a few links among them."""
     rnd = random.Random(8)
+    monkeypatch.setattr(near_dup, "SMALL", 8)          # so that nodes branch on
     passage = " ".join(f"p{i}" for i in range(60))
     texts = [passage + " " + " ".join(f"u{i}x{k}" for k in range(45)) for i in range(60)]
     texts += [t.replace("x44", "y") for t in texts[:20]]

@@ -44,7 +44,7 @@ WORDS = 5
 PERCENT = 75
 SKETCH = 64
 TREES = 8
-SMALL = 256
+SMALL = 1024
 SCREEN = 32
 #: Counted rows of one or two ids up to which they are broadcast (under 8 MB); else they shuffle.
 BROADCAST_ROWS = 200_000
@@ -269,6 +269,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
              .select("tree", F.xxhash64("tree", F.get("sketch", place)).alias("node"), "rep",
                      F.col("rep").alias("component")))
     columns = ["tree", "node", "rep", "component"]
+    reps_left = reps
     for level in range(1, SKETCH + 1):
         paths = _open(paths)
         star = paths.where(F.col("n") > SMALL).where("component <> pivot_component").select(
@@ -282,7 +283,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
             large = links.label(large)
         if level == SKETCH or large.isEmpty():
             break
-        paths = _branch(large, reps, level)
+        # Only members of open nodes go on, so only their sketches do.
+        reps_left = cut(reps_left.join(large.select("rep").distinct(), "rep", "left_semi"))
+        links.short = reps_left.select("rep", _short(F.col("sketch")).alias("s"))
+        paths = _branch(large, reps_left, level)
     labelled = (reps.select("set_id", "rep")
                 .join(links.labels.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("set_id", F.coalesce("component", "rep").alias("component")))
