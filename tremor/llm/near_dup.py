@@ -18,7 +18,7 @@ average.  A node whose members are all connected is finished.  Else,
 Only links' connectivity is asked for, so no group of copies is expanded
 into its pairs, and no node is cut short.  Pairs that share fewer than
 ``SCREEN`` of their minwise tokens are left out (a pair at the threshold
-falls below with probability 1e-5); the others are confirmed on their full
+falls below with probability 1e-4); the others are confirmed on their full
 sets of 64-bit shingle hashes.  With eight trees a pair at similarity 0.75
 misses all first-level nodes with probability 1.5e-5.
 
@@ -42,10 +42,10 @@ from tremor.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-SKETCH = 64
+SKETCH = 128
 TREES = 8
 SMALL = 1024
-SCREEN = 32
+SCREEN = 77
 #: Counted rows of one or two ids up to which they are broadcast (under 8 MB); else they shuffle.
 BROADCAST_ROWS = 200_000
 _BLOCK = 4096
@@ -78,19 +78,25 @@ def minwise(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def _split(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens whole, for the trees' first level, and the low 32 bits of all."""
+    return tokens[:TREES].view(np.int64), tokens.astype(np.uint32).view(np.int32)
+
+
 def _sketches(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     def start():
         def row(k, text):
             values = shingle_set(text)
             if not len(values):
-                return k, 0, None, None
+                return k, 0, None, None, None
             return (k, len(values), xxhash.xxh3_128_digest(values.tobytes()),
-                    minwise(values).view(np.int64))
+                    *_split(minwise(values)))
         return row
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType),
                            T.StructField("n_shingles", T.LongType()),
                            T.StructField("set_id", T.BinaryType()),
-                           T.StructField("sketch", T.ArrayType(T.LongType()))])
+                           T.StructField("first", T.ArrayType(T.LongType())),
+                           T.StructField("sketch", T.ArrayType(T.IntegerType()))])
     return map_rows(docs.select(key, text_col), start, schema)
 
 
@@ -106,11 +112,6 @@ def _sets(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return map_rows(docs.select(key, text_col), start, schema, chunk=64)
 
 
-def _short(sketch: Column) -> Column:
-    """A sketch of 31 bits a token, for comparing."""
-    return F.transform(sketch, lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
-
-
 def _sized(rows: DataFrame, n: int) -> DataFrame:
     """``rows`` of one or two ids, marked for broadcast if their counted number is small."""
     return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
@@ -123,7 +124,7 @@ class _Links:
         self.docs, self.reps, self.key, self.text_col = docs, reps, key, text_col
         ids = docs.schema[key].dataType.simpleString()
         spark = docs.sparkSession
-        self.short = reps.select("rep", _short(F.col("sketch")).alias("s"))
+        self.short = reps.select("rep", F.col("sketch").alias("s"))
         self.sets = spark.createDataFrame([], f"doc {ids}, shingles array<bigint>")
         self.found = spark.createDataFrame([], f"a {ids}, b {ids}")
         self.labels = spark.createDataFrame([], f"node {ids}, component {ids}")
@@ -183,13 +184,11 @@ class _Links:
                 .withColumn("component", F.coalesce("component", "rep")))
 
 
-def _position(tree: Column, level: int) -> Column:
-    """Position of a tree's next minwise token; an odd stride visits every one once."""
-    return F.pmod(tree + F.lit(level) * (2 * tree + 1), F.lit(SKETCH))
-
-
 def _branch(open_paths: DataFrame, reps: DataFrame, level: int) -> DataFrame:
-    """Divide open nodes by their next minwise token, one in three on two tokens."""
+    """Divide open nodes by their next minwise token, one in three on two tokens.
+
+    A tree visits the positions by an odd stride from its own, each one once.
+    """
     second = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(3)) == 0
     steps = F.when(second, F.array(F.lit(level), F.lit(level + SKETCH // 2))).otherwise(
         F.array(F.lit(level)))
@@ -242,6 +241,9 @@ def _small_pairs(small: DataFrame, links: _Links, forest: bool) -> DataFrame:
     member = F.struct("rep", "component", "s")
     nodes = (small.select("node", "rep", "component").join(links.short, "rep")
              .groupBy("node").agg(F.array_sort(F.collect_list(member)).alias("m")))
+    # Trees often hold the same members in a node; one of them is enough.
+    same = F.xxhash64(F.transform("m", lambda x: x["rep"]))
+    nodes = nodes.groupBy(same.alias("k"), F.size("m").alias("n")).agg(F.first("m").alias("m"))
     ids = small.schema["rep"].dataType
     pair = T.StructType([T.StructField("a", ids), T.StructField("b", ids)])
 
@@ -261,12 +263,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of every row of ``docs``."""
     rows = cut(_sketches(docs, key, text_col))
     reps = cut(rows.where("set_id is not null and doc_id is not null").groupBy("set_id")
-               .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")))
+               .agg(F.min("doc_id").alias("rep"), F.first("first").alias("first"),
+                    F.first("sketch").alias("sketch")))
     links = _Links(docs, reps, key, text_col)
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    place = _position(F.col("tree"), 0)
     paths = (reps.withColumn("tree", tree)
-             .select("tree", F.xxhash64("tree", F.get("sketch", place)).alias("node"), "rep",
+             .select("tree", F.xxhash64("tree", F.get("first", "tree")).alias("node"), "rep",
                      F.col("rep").alias("component")))
     columns = ["tree", "node", "rep", "component"]
     reps_left = reps
@@ -285,7 +287,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
             break
         # Only members of open nodes go on, so only their sketches do.
         reps_left = cut(reps_left.join(large.select("rep").distinct(), "rep", "left_semi"))
-        links.short = reps_left.select("rep", _short(F.col("sketch")).alias("s"))
+        links.short = reps_left.select("rep", F.col("sketch").alias("s"))
         paths = _branch(large, reps_left, level)
     labelled = (reps.select("set_id", "rep")
                 .join(links.labels.withColumnRenamed("node", "rep"), "rep", "left")
