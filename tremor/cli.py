@@ -49,10 +49,9 @@ def read_counties(spark: SparkSession, path: str) -> DataFrame:
 
 def cmd_run(spark: SparkSession, args) -> None:
     raw = ev.read_events_csv(spark, args.events)
-    if args.first_year or args.last_year:
-        lo = f"{args.first_year or 1900}-01-01"
-        hi = f"{(args.last_year or 9998) + 1}-01-01"
-        raw = ev.source_filter(raw, lo, hi, args.min_magnitude, sort=False)
+    lo = f"{args.first_year}-01-01" if args.first_year else None
+    hi = f"{args.last_year + 1}-01-01" if args.last_year else None
+    raw = ev.source_filter(raw, lo, hi, args.min_magnitude, sort=False)
     edges = read_counties(spark, args.counties)
     cell_size = (spatial.suggest_cell_size(edges) if args.cell_size == "auto"
                  else float(args.cell_size))

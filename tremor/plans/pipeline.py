@@ -62,10 +62,10 @@ def events_with_county(transformed: DataFrame, edges: DataFrame, **spatial_kw) -
 def finalize(with_county: DataFrame, strict: bool = True) -> DataFrame:
     """Finalisation stage (P1, P8, P6, P9, P10) over the county stage output.
 
-    After P1 at the cleaning stage only ``county`` can still be null, so the
-    row filter is that one predicate (same rows as a whole-row null check).
+    A row with a null in any column is dropped, whatever stage file it was
+    read from.
     """
-    df = with_county.where(F.col("county").isNotNull())
+    df = clean.drop_incomplete(with_county)
     df = clean.assign_region(df)
     df = clean.drop_columns(df, "continent", "country", "polygon_id")
     df = clean.us_regions_only(df)

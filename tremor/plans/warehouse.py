@@ -29,6 +29,7 @@ from tremor.functions.numeric import to_int_half_even
 from tremor.operators.keys import SMALL_ROWS, assign_surrogate_keys, max_key
 from tremor.operators.upsert import new_rows, restrict_to_batch
 from tremor.operators.validate import require_not_null
+from tremor.plans.pipeline import STAGING_ORDER, first_per_key
 from tremor.session import list_names, read_text, scratch_path, write_text
 
 
@@ -150,8 +151,13 @@ class Warehouse:
 
     # -- staging ---------------------------------------------------------------
     def load_staging(self, staging: DataFrame) -> DataFrame:
-        """Append new staging rows (insert-only on ``earthquake_id``)."""
-        return self._load_facts("staging_events", staging)
+        """Append new staging rows (insert-only on ``earthquake_id``).
+
+        Of rows that repeat an id in one batch the first in ``STAGING_ORDER`` is
+        taken, however the batch is partitioned.
+        """
+        first = first_per_key(staging, ["earthquake_id"], STAGING_ORDER)
+        return self._load_facts("staging_events", first)
 
     # -- 3NF -------------------------------------------------------------------
     def load_reconciled(self, staging: DataFrame | None = None,
@@ -229,13 +235,16 @@ class Warehouse:
 
         The batch is checkpointed first (shared checkpoint folder): every load
         below reads it several times, and the checkpoint computes the
-        pipeline once and survives executor loss.  All rows of the batch (not
-        only the ones new to staging) feed the 3NF load, so a batch that
+        pipeline once and survives executor loss.  The 3NF load reads the
+        batch's ids back from the published staging table, so a revised
+        event keeps its first version in every layer, and a batch that
         failed half-way completes when it is run again.
         """
         stg = staging.checkpoint(eager=True)
         self.load_staging(stg)
-        events = self.load_reconciled(stg)
+        published = self.table("staging_events").join(
+            stg.select("earthquake_id").distinct(), "earthquake_id", "left_semi")
+        events = self.load_reconciled(published)
         if star:
             self.load_star(events)
         return self

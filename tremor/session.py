@@ -8,6 +8,7 @@ UTC for every session this module builds.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -68,7 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not str(sc.master).startswith("local"):
+        if not re.match(r"local(\[|$)", str(sc.master)):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object "
                                "store) before running loads on a cluster")
         configured = tempfile.mkdtemp(prefix="tremor-ckpt-", dir="/tmp")

@@ -109,19 +109,22 @@ def month_audit(events: DataFrame, time_col: str = "time") -> DataFrame:
             .select("year", "month", F.coalesce("n", F.lit(0)).cast("long").alias("n_events")))
 
 
-def source_filter(events: DataFrame, start: str, end_exclusive: str,
+def source_filter(events: DataFrame, start: str | None, end_exclusive: str | None,
                   min_magnitude: float = 0.0, time_col: str = "time",
                   sort: bool = True) -> DataFrame:
-    """S3: ``start <= time < end_exclusive`` and ``mag >= min_magnitude``.
+    """S3: ``start <= time < end_exclusive`` and ``mag >= min_magnitude``; a bound may be absent.
 
     Comparisons are on the column's own type, so a parquet source receives
     the predicate as a pushed filter.  ``sort`` orders by time like the
     event service does.
     """
     t = F.col(time_col)
-    out = events.where((t >= F.lit(start).cast(events.schema[time_col].dataType))
-                       & (t < F.lit(end_exclusive).cast(events.schema[time_col].dataType))
-                       & (F.col("mag") >= F.lit(float(min_magnitude))))
+    kind = events.schema[time_col].dataType
+    out = events.where(F.col("mag") >= F.lit(float(min_magnitude)))
+    if start is not None:
+        out = out.where(t >= F.lit(start).cast(kind))
+    if end_exclusive is not None:
+        out = out.where(t < F.lit(end_exclusive).cast(kind))
     return out.orderBy(time_col, "id") if sort else out
 
 
