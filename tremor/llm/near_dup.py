@@ -16,10 +16,10 @@ average.  A node whose members are all connected is finished.  Else,
   positions are used, when its members agree on every minwise token.
 
 Only links' connectivity is asked for, so no group of copies is expanded
-into its pairs, and no node is cut short.  Pairs that share fewer than
-``SCREEN`` of their minwise tokens are left out (a pair at the threshold
-falls below with probability 1e-4); the others are confirmed on their full
-sets of 64-bit shingle hashes.  With eight trees a pair at similarity 0.75
+into its pairs, and no node is cut short.  A sketch holds one byte of each
+token.  Pairs that share fewer than ``SCREEN`` of them are left out (a pair
+at the threshold falls below with probability 1e-4); the others are
+confirmed on their full sets of 64-bit shingle hashes.  With eight trees a pair at similarity 0.75
 misses all first-level nodes with probability 1.5e-5.
 
 Results: texts that are null, empty or only white space have an empty set
@@ -42,13 +42,14 @@ from tremor.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-SKETCH = 128
+SKETCH = 512
 TREES = 8
-SMALL = 1024
-SCREEN = 77
+SMALL = 4096
+SCREEN = 348
 #: Counted rows of one or two ids up to which they are broadcast (under 8 MB); else they shuffle.
 BROADCAST_ROWS = 200_000
-_BLOCK = 4096
+_BLOCK = 256
+_ROWS = 64               # members compared with all others of a node at a time
 _MIX = np.random.default_rng(20240531).integers(1 << 62, 1 << 63, size=SKETCH + WORDS + 1,
                                                 dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -78,9 +79,9 @@ def minwise(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _split(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first tokens whole, for the trees' first level, and the low 32 bits of all."""
-    return tokens[:TREES].view(np.int64), tokens.astype(np.uint32).view(np.int32)
+def _split(tokens: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The first tokens whole, for the trees' first level, and a byte of each."""
+    return tokens[:TREES].view(np.int64), (tokens >> np.uint64(32)).astype(np.uint8).tobytes()
 
 
 def _sketches(docs: DataFrame, key: str, text_col: str) -> DataFrame:
@@ -96,7 +97,7 @@ def _sketches(docs: DataFrame, key: str, text_col: str) -> DataFrame:
                            T.StructField("n_shingles", T.LongType()),
                            T.StructField("set_id", T.BinaryType()),
                            T.StructField("first", T.ArrayType(T.LongType())),
-                           T.StructField("sketch", T.ArrayType(T.IntegerType()))])
+                           T.StructField("sketch", T.BinaryType())])
     return map_rows(docs.select(key, text_col), start, schema)
 
 
@@ -133,9 +134,15 @@ class _Links:
         """Pairs whose sketches agree enough."""
         both = (pairs.join(self.short.withColumnsRenamed({"rep": "a", "s": "sa"}), "a")
                 .join(self.short.withColumnsRenamed({"rep": "b", "s": "sb"}), "b"))
-        same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")),
-                           F.lit(0), lambda n, x: n + x)
-        return both.where(same >= SCREEN).select("a", "b")
+
+        def start():
+            def row(a, b, sa, sb):
+                same = np.frombuffer(sa, np.uint8) == np.frombuffer(sb, np.uint8)
+                return a, b, int(same.sum()) >= SCREEN
+            return row
+        schema = T.StructType([pairs.schema["a"], pairs.schema["b"],
+                               T.StructField("agree", T.BooleanType())])
+        return map_rows(both.select("a", "b", "sa", "sb"), start, schema).where("agree").select("a", "b")
 
     def prepare(self, ids: DataFrame) -> None:
         """Build the sets of the documents ``ids`` (column ``doc``) that are not there yet."""
@@ -194,7 +201,8 @@ def _branch(open_paths: DataFrame, reps: DataFrame, level: int) -> DataFrame:
         F.array(F.lit(level)))
     at = open_paths.withColumn("step", F.explode(steps)).join(reps.select("rep", "sketch"), "rep")
     place = F.pmod(F.col("tree") + F.col("step") * (2 * F.col("tree") + 1), F.lit(SKETCH))
-    return at.select("tree", F.xxhash64("node", place, F.get("sketch", place)).alias("node"),
+    token = F.substring("sketch", place + 1, F.lit(1))
+    return at.select("tree", F.xxhash64("node", place, token).alias("node"),
                      "rep", "component")
 
 
@@ -208,32 +216,75 @@ def _open(paths: DataFrame) -> DataFrame:
     return cut(paths.join(nodes, "node"))
 
 
-def node_pairs(reps: list, comps: list, sketches: np.ndarray, forest: bool) -> list[tuple[int, int]]:
-    """Pairs (by place) of a node whose sketches agree enough and that are not connected.
+def _agreeing(tokens: np.ndarray, rows: int) -> np.ndarray:
+    """Tokens that each of the first ``rows`` members shares with every member.
 
-    With ``forest`` only the strongest pairs that would connect the members.
+    ``tokens`` has a row per minwise order, so each step runs over neighbours in memory.
     """
-    same = np.empty((len(reps), len(reps)), np.int16)
-    for i in range(len(reps)):
-        same[i] = (sketches == sketches[i]).sum(axis=1)
-    number = {c: i for i, c in enumerate(dict.fromkeys(comps))}
-    comp = np.array([number[c] for c in comps])
-    i, j = np.nonzero(np.triu((same >= SCREEN) & (comp[:, None] != comp), 1))
-    if not forest:
-        return list(zip(i.tolist(), j.tolist()))
-    parent = list(range(len(number)))
+    shared = np.zeros((rows, tokens.shape[1]), np.uint16)
+    same = np.empty(shared.shape, np.bool_)
+    for lo in range(0, len(tokens), 128):              # counts that fit a byte
+        part = np.zeros(shared.shape, np.uint8)
+        for t in tokens[lo:lo + 128]:
+            np.equal(t[:rows, None], t, out=same)
+            part += same.view(np.uint8)
+        shared += part
+    return shared
+
+
+def strongest_forest(a: np.ndarray, b: np.ndarray, strength: np.ndarray, n: int) -> np.ndarray:
+    """Places of the pairs ``(a, b)`` of a maximum spanning forest over ``n`` components.
+
+    In each round every component takes its strongest pair, the first of equals.
+    """
+    at = np.argsort(-strength.astype(np.int16), kind="stable")
+    a, b = a[at], b[at]
+    parent = list(range(n))
 
     def find(x):
         while parent[x] != x:
             parent[x] = x = parent[parent[x]]
         return x
     out = []
-    for k in np.argsort(-same[i, j], kind="stable").tolist():
-        a, b = find(int(comp[i[k]])), find(int(comp[j[k]]))
-        if a != b:
-            parent[a] = b
-            out.append((int(i[k]), int(j[k])))
-    return out
+    while len(at):
+        place = np.arange(len(at))[::-1]
+        best, other = np.full(n, len(at)), np.full(n, len(at))
+        best[a[::-1]] = place                          # of repeated indexes the last, least one stays
+        other[b[::-1]] = place
+        taken = np.unique(np.minimum(best, other))
+        for k in taken[taken < len(at)].tolist():
+            x, y = find(int(a[k])), find(int(b[k]))
+            if x != y:
+                parent[x] = y
+                out.append(int(at[k]))
+        root = np.array([find(x) for x in range(n)], a.dtype)
+        a, b = root[a], root[b]
+        apart = a != b
+        a, b, at = a[apart], b[apart], at[apart]
+    return np.array(out, np.int64)
+
+
+def node_pairs(comps: list, sketches: np.ndarray, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (by place) of a node whose sketches agree enough and that are not connected.
+
+    With ``forest`` only the strongest pairs that would connect the members.
+    """
+    number = {c: i for i, c in enumerate(dict.fromkeys(comps))}
+    comp = np.array([number[c] for c in comps], np.int32)
+    tokens = np.ascontiguousarray(sketches.T)
+    left, right, strength = [], [], []
+    for lo in range(0, len(comp), _ROWS):
+        shared = _agreeing(tokens[:, lo:], min(_ROWS, len(comp) - lo))
+        apart = comp[lo:lo + _ROWS, None] != comp[lo:]
+        i, j = np.nonzero(np.triu((shared >= SCREEN) & apart, 1))
+        left.append((i + lo).astype(np.int32))
+        right.append((j + lo).astype(np.int32))
+        strength.append(shared[i, j])
+    i, j = np.concatenate(left), np.concatenate(right)
+    if forest:
+        k = strongest_forest(comp[i], comp[j], np.concatenate(strength), len(number))
+        i, j = i[k], j[k]
+    return i, j
 
 
 def _small_pairs(small: DataFrame, links: _Links, forest: bool) -> DataFrame:
@@ -244,19 +295,18 @@ def _small_pairs(small: DataFrame, links: _Links, forest: bool) -> DataFrame:
     # Trees often hold the same members in a node; one of them is enough.
     same = F.xxhash64(F.transform("m", lambda x: x["rep"]))
     nodes = nodes.groupBy(same.alias("k"), F.size("m").alias("n")).agg(F.first("m").alias("m"))
-    ids = small.schema["rep"].dataType
-    pair = T.StructType([T.StructField("a", ids), T.StructField("b", ids)])
+    ids = T.ArrayType(small.schema["rep"].dataType)
 
     def start():
         def row(members):
             reps = [m["rep"] for m in members]
-            sketches = np.array([m["s"] for m in members], np.int32)
-            found = node_pairs(reps, [m["component"] for m in members], sketches, forest)
-            return ([{"a": reps[i], "b": reps[j]} for i, j in found],)
+            sketches = np.frombuffer(b"".join([m["s"] for m in members]), np.uint8).reshape(-1, SKETCH)
+            i, j = node_pairs([m["component"] for m in members], sketches, forest)
+            return [reps[x] for x in i.tolist()], [reps[x] for x in j.tolist()]
         return row
-    schema = T.StructType([T.StructField("pairs", T.ArrayType(pair))])
-    return (map_rows(nodes.select("m"), start, schema)
-            .select(F.explode("pairs").alias("p")).select("p.a", "p.b"))
+    schema = T.StructType([T.StructField("a", ids), T.StructField("b", ids)])
+    return (map_rows(nodes.select("m"), start, schema, chunk=4)
+            .select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
