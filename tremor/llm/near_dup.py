@@ -171,11 +171,11 @@ class _Links:
             return False
         ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
         self.prepare(ends if later is None else ends.union(later))
-        few = _sized(pairs, n)
-        sa = self.sets.join(few, F.col("doc") == F.col("a")).select("a", "b", F.col("shingles").alias("sa"))
-        sb = self.sets.join(few, F.col("doc") == F.col("b")).select("a", "b", F.col("shingles").alias("sb"))
-        shared = F.size(F.array_intersect("sa", "sb"))
-        linked = cut(sa.join(sb, ["a", "b"]).withColumn("i", shared)
+        # Only one end's set moves with each pair; the other is met where its document is.
+        held = self.sets.join(_sized(pairs, n), F.col("doc") == F.col("a")).select(
+            "a", "b", F.col("shingles").alias("sa"))
+        both = held.join(self.sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
+        linked = cut(both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
                      .where(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i")))
                      .select("a", "b"))
         if linked.isEmpty():
@@ -287,25 +287,52 @@ def node_pairs(comps: list, sketches: np.ndarray, forest: bool) -> tuple[np.ndar
     return i, j
 
 
+def first_meetings(i: np.ndarray, j: np.ndarray, node: int, nodes: list[list]) -> np.ndarray:
+    """Which pairs' ends, by place, share no node before ``node``; ``nodes`` has each member's."""
+    new = np.ones(len(i), bool)
+    before = [[x for x in held if x < node] for held in nodes]
+    for k in range(max(map(len, before), default=0)):
+        # Members' k-th earlier node against all earlier nodes of the other end.
+        has = np.array([len(held) > k for held in before])
+        at = np.array([held[k] if len(held) > k else 0 for held in before], np.int64)
+        for m in range(max(map(len, before))):
+            there = np.array([len(held) > m for held in before])
+            other = np.array([held[m] if len(held) > m else 0 for held in before], np.int64)
+            new &= ~(has[i] & there[j] & (at[i] == other[j]))
+    return new
+
+
 def _small_pairs(small: DataFrame, links: _Links, forest: bool) -> DataFrame:
-    """Candidate pairs within nodes of at most ``SMALL`` members."""
-    member = F.struct("rep", "component", "s")
-    nodes = (small.select("node", "rep", "component").join(links.short, "rep")
-             .groupBy("node").agg(F.array_sort(F.collect_list(member)).alias("m")))
+    """Candidate pairs within nodes of at most ``SMALL`` members.
+
+    Without ``forest`` a pair comes once, from the first of the nodes that its ends share.
+    """
+    member = F.struct("rep", "component", "s", "nodes")
+    paths = small.select("node", "rep", "component")
+    if forest:
+        paths = paths.withColumn("nodes", F.array().cast("array<bigint>"))
+    else:
+        held = paths.groupBy("rep").agg(F.sort_array(F.collect_set("node")).alias("nodes"))
+        paths = paths.join(held, "rep")
+    nodes = (paths.join(links.short, "rep").groupBy("node")
+             .agg(F.array_sort(F.collect_list(member)).alias("m")))
     # Trees often hold the same members in a node; one of them is enough.
     same = F.xxhash64(F.transform("m", lambda x: x["rep"]))
-    nodes = nodes.groupBy(same.alias("k"), F.size("m").alias("n")).agg(F.first("m").alias("m"))
+    nodes = nodes.groupBy(same.alias("k"), F.size("m").alias("n")).agg(
+        F.min("node").alias("node"), F.first("m").alias("m"))
     ids = T.ArrayType(small.schema["rep"].dataType)
 
     def start():
-        def row(members):
+        def row(node, members):
             reps = [m["rep"] for m in members]
             sketches = np.frombuffer(b"".join([m["s"] for m in members]), np.uint8).reshape(-1, SKETCH)
             i, j = node_pairs([m["component"] for m in members], sketches, forest)
+            new = first_meetings(i, j, node, [m["nodes"] for m in members])
+            i, j = i[new], j[new]
             return [reps[x] for x in i.tolist()], [reps[x] for x in j.tolist()]
         return row
     schema = T.StructType([T.StructField("a", ids), T.StructField("b", ids)])
-    return (map_rows(nodes.select("m"), start, schema, chunk=4)
+    return (map_rows(nodes.select("node", "m"), start, schema, chunk=4)
             .select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b"))
 
 
