@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from tremor.llm import (bpe, components, decontam, fingerprint, licenses, near_dup, quality,
@@ -280,6 +281,32 @@ def test_near_duplicates_large_node_without_links(make, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute_components(texts)
 
 
+def test_node_pairs_once_and_strongest_forest():
+    """Every pair of agreeing members comes once over all nodes; the forest weighs as much as Kruskal's."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 256, near_dup.SKETCH).astype(np.uint8)
+    sketches = np.where(rng.random((150, near_dup.SKETCH)) < 0.82, base, rng.integers(
+        0, 256, (150, near_dup.SKETCH))).astype(np.uint8)
+    same = (sketches[:, None] == sketches[None]).sum(-1)
+    want = set(zip(*[x.tolist() for x in np.nonzero(np.triu(same >= near_dup.SCREEN, 1))]))
+    members = {node: sorted(rng.choice(150, 90, replace=False).tolist()) for node in (-7, 0, 5, 12)}
+    seen = []
+    for node, at in members.items():
+        i, j = near_dup.node_pairs(at, sketches[at], False)
+        new = near_dup.first_meetings(i, j, node, [
+            sorted(x for x in members if m in members[x]) for m in at])
+        seen += [(at[x], at[y]) for x, y in zip(i[new].tolist(), j[new].tolist())]
+    assert len(seen) == len(set(seen))
+    assert set(seen) == {p for p in want if any(p[0] in m and p[1] in m for m in members.values())}
+    root, weight = list(range(150)), 0
+    for x, y in sorted(want, key=lambda p: -same[p]):
+        if root[x] != root[y]:
+            weight += same[x, y]
+            root = [root[y] if r == root[x] else r for r in root]
+    i, j = near_dup.node_pairs(list(range(150)), sketches, True)
+    assert weight == same[i, j].sum()
+
+
 def test_near_duplicates_odd_ids(make):
     docs = make([(None, "a b c d e f", "", "", 1), (5, "a b c d e f", "", "", 1), (5, "a b c d e f", "", "", 1),
                  (3, "x y", "", "", 1), (None, None, "", "", None)], DOCS)

@@ -174,7 +174,8 @@ class _Links:
         # Only one end's set moves with each pair; the other is met where its document is.
         held = self.sets.join(_sized(pairs, n), F.col("doc") == F.col("a")).select(
             "a", "b", F.col("shingles").alias("sa"))
-        both = held.join(self.sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
+        ends = self.sets.join(_sized(pairs.select(F.col("b").alias("doc")), n), "doc", "left_semi")
+        both = held.join(ends.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
         linked = cut(both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
                      .where(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i")))
                      .select("a", "b"))
