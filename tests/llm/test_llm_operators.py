@@ -281,6 +281,28 @@ def test_near_duplicates_large_node_without_links(make, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute_components(texts)
 
 
+def test_branching_keeps_pairs_at_the_threshold(spark):
+    """Planted pairs at 0.75 and 0.80 still meet after many levels, in whatever tree."""
+    rng = np.random.default_rng(12)
+    n = 400
+    rows, paths = [], []
+    for i in range(n):
+        a = rng.integers(0, 256, near_dup.SKETCH).astype(np.uint8)
+        same = rng.random(near_dup.SKETCH) < (0.75 if i < n // 2 else 0.80)
+        b = np.where(same, a, a + np.uint8(1)).astype(np.uint8)
+        rows += [(2 * i, a.tobytes()), (2 * i + 1, b.tobytes())]
+        paths += [(t, i * near_dup.TREES + t, r, r) for t in range(near_dup.TREES)
+                  if rng.random() < same.mean() for r in (2 * i, 2 * i + 1)]
+    reps = spark.createDataFrame(rows, "rep long, sketch binary").cache()
+    at = spark.createDataFrame(paths, "tree int, node long, rep long, component long")
+    for _ in range(8):
+        at = near_dup._branch(at, reps)
+        shared = at.groupBy("node").count().where("count > 1").select("node")
+        at = near_dup.cut(at.join(shared, "node").select("tree", "node", "rep", "component"))
+    met = {r["rep"] // 2 for r in at.select("rep").distinct().collect()}
+    assert len(met) >= n - 2
+
+
 def test_node_pairs_once_and_strongest_forest():
     """Every pair of agreeing members comes once over all nodes; the forest weighs as much as Kruskal's."""
     rng = np.random.default_rng(4)
