@@ -339,6 +339,17 @@ def test_near_duplicates_odd_ids(make):
     assert near_dup.near_duplicates(docs.where("doc_id < 0")).count() == 0
 
 
+def test_near_duplicates_one_id_on_many_texts(make):
+    """Each text is judged by its own set, though id 1 is the smallest of several."""
+    def words(c, n=30):
+        return " ".join(f"{c}{i}" for i in range(n))
+    rows = [(1, words("a")), (1, words("b")), (1, words("c")), (7, words("c", 29) + " x"),
+            (8, words("b", 29) + " x"), (9, words("a", 29) + " x"), (6, words("d")), (1, words("e"))]
+    docs = make([(i, t, "", "", 1) for i, t in rows], DOCS)
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(docs).collect())
+    assert got == [(1, 1)] * 4 + [(6, 6), (7, 1), (8, 1), (9, 1)]
+
+
 # ---------------------------------------------------------------- op 8
 
 def test_sharding_balances_every_source(make):

@@ -1,7 +1,8 @@
 """Operator 7: near-duplicates by a chosen-path set similarity join.
 
 Documents with equal shingle sets are first collapsed into one
-representative (a grouped minimum, however large the group).  Each
+representative, named by a 64-bit hash of the set and not by an id, which may
+stand on several sets (a grouped minimum, however large the group).  Each
 representative gets ``SKETCH`` minwise tokens.  ``TREES`` independent trees
 branch the representatives recursively: a node's members are divided twice,
 by the minwise tokens at two positions that the node's own hash names, so
@@ -16,6 +17,8 @@ Else,
   the node), and if that doesn't connect it, it branches on until its parts
   are small or connected, however many levels that takes.
 
+A component takes its smallest ``doc_id`` for a name once all links are found.
+
 Only links' connectivity is asked for, so no group of copies is expanded
 into its pairs, and no node is cut short.  A sketch holds one byte of each
 token.  Pairs that share fewer than ``SCREEN`` of them are left out (a pair
@@ -105,16 +108,15 @@ def _sketches(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return map_rows(docs.select(key, text_col), start, schema)
 
 
-def _sets(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+def _sets(docs: DataFrame, text_col: str) -> DataFrame:
     def start():
-        def row(k, text):
+        def row(text):
             values = shingle_set(text)
-            return (k, xxhash.xxh3_128_digest(values.tobytes()), values.view(np.int64))
+            return xxhash.xxh3_128_digest(values.tobytes()), values.view(np.int64)
         return row
-    schema = T.StructType([T.StructField("doc", docs.schema[key].dataType),
-                           T.StructField("set_id", T.BinaryType()),
+    schema = T.StructType([T.StructField("set_id", T.BinaryType()),
                            T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return map_rows(docs.select(key, text_col), start, schema, chunk=64)
+    return map_rows(docs.select(text_col), start, schema, chunk=64)
 
 
 def _sized(rows: DataFrame, n: int) -> DataFrame:
@@ -127,12 +129,11 @@ class _Links:
 
     def __init__(self, docs: DataFrame, reps: DataFrame, key: str, text_col: str):
         self.docs, self.reps, self.key, self.text_col = docs, reps, key, text_col
-        ids = docs.schema[key].dataType.simpleString()
         spark = docs.sparkSession
         self.short = reps.select("rep", F.col("sketch").alias("s"))
-        self.sets = spark.createDataFrame([], f"doc {ids}, shingles array<bigint>")
-        self.found = spark.createDataFrame([], f"a {ids}, b {ids}")
-        self.labels = spark.createDataFrame([], f"node {ids}, component {ids}")
+        self.sets = spark.createDataFrame([], "rep bigint, shingles array<bigint>")
+        self.found = spark.createDataFrame([], "a bigint, b bigint")
+        self.labels = spark.createDataFrame([], "node bigint, component bigint")
 
     def screened(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sketches agree enough."""
@@ -148,38 +149,37 @@ class _Links:
                                T.StructField("agree", T.BooleanType())])
         return map_rows(both.select("a", "b", "sa", "sb"), start, schema).where("agree").select("a", "b")
 
-    def prepare(self, ids: DataFrame) -> None:
-        """Build the sets of the documents ``ids`` (column ``doc``) that are not there yet."""
-        missing = cut(ids.distinct().join(self.sets.select("doc"), "doc", "left_anti"))
+    def prepare(self, reps: DataFrame) -> None:
+        """Build the sets of the representatives ``reps`` (column ``rep``) that are not there yet."""
+        missing = cut(reps.distinct().join(self.sets.select("rep"), "rep", "left_anti"))
         n = missing.count()
         if not n:
             return
-        texts = self.docs.select(self.key, self.text_col).join(
-            _sized(missing, n).withColumnRenamed("doc", self.key), self.key, "left_semi")
-        # An id may stand on several texts; the representative's set is meant.
-        own = self.reps.select(F.col("rep").alias("doc"), "set_id").join(
-            _sized(missing, n), "doc", "left_semi")
-        built = (_sets(texts, self.key, self.text_col).join(own, ["doc", "set_id"], "left_semi")
-                 .select("doc", "shingles").dropDuplicates(["doc"]))
+        own = self.reps.select("rep", "set_id", "head").join(_sized(missing, n), "rep", "left_semi")
+        heads = own.select(F.col("head").alias(self.key)).distinct()
+        texts = self.docs.select(self.key, self.text_col).join(_sized(heads, n), self.key, "left_semi")
+        # An id may stand on several texts; the representatives' sets are meant.
+        built = (_sets(texts, self.text_col).join(_sized(own.select("rep", "set_id"), n), "set_id")
+                 .select("rep", "shingles").dropDuplicates(["rep"]))
         self.sets = self.sets.unionByName(cut(built))
 
     def confirm(self, pairs: DataFrame, later: DataFrame | None = None) -> bool:
         """Judge candidate pairs on full sets; True if the components changed.
 
-        ``later`` names documents (``doc``) whose sets further levels may need; they are
+        ``later`` names representatives whose sets further levels may need; they are
         built in the same pass over the texts.
         """
         pairs = cut(pairs.distinct())
         n = pairs.count()
         if not n:
             return False
-        ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
+        ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
         self.prepare(ends if later is None else ends.union(later))
         # Only one end's set moves with each pair; the other is met where its document is.
-        held = self.sets.join(_sized(pairs, n), F.col("doc") == F.col("a")).select(
+        held = self.sets.join(_sized(pairs, n), F.col("rep") == F.col("a")).select(
             "a", "b", F.col("shingles").alias("sa"))
-        ends = self.sets.join(_sized(pairs.select(F.col("b").alias("doc")), n), "doc", "left_semi")
-        both = held.join(ends.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
+        ends = self.sets.join(_sized(pairs.select(F.col("b").alias("rep")), n), "rep", "left_semi")
+        both = held.join(ends.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
         linked = cut(both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
                      .where(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i")))
                      .select("a", "b"))
@@ -339,12 +339,12 @@ def _small_pairs(small: DataFrame, links: _Links, forest: bool) -> DataFrame:
             .select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of every row of ``docs``."""
-    rows = cut(_sketches(docs, key, text_col))
+def _grouped(rows: DataFrame, docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """``set_id``, ``component`` and the component's smallest id ``head`` of every distinct set."""
     reps = cut(rows.where("set_id is not null and doc_id is not null").groupBy("set_id")
-               .agg(F.min("doc_id").alias("rep"), F.first("first").alias("first"),
-                    F.first("sketch").alias("sketch")))
+               .agg(F.min("doc_id").alias("head"), F.first("first").alias("first"),
+                    F.first("sketch").alias("sketch"))
+               .withColumn("rep", F.xxhash64("set_id")))
     links = _Links(docs, reps, key, text_col)
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     paths = (reps.withColumn("tree", tree)
@@ -357,7 +357,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
         star = paths.where(F.col("n") > SMALL).where("component <> pivot_component").select(
             F.col("pivot").alias("a"), F.col("rep").alias("b"))
         first = _small_pairs(paths.where(F.col("n") <= SMALL), links, forest=True)
-        members = paths.where(F.col("n") > SMALL).select(F.col("rep").alias("doc"))
+        members = paths.where(F.col("n") > SMALL).select("rep")
         if links.confirm(first.union(links.screened(star.distinct())), members):
             paths = _open(links.label(paths.select(columns)))
         large = paths.where(F.col("n") > SMALL).select(columns)
@@ -370,11 +370,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
         links.short = reps_left.select("rep", F.col("sketch").alias("s"))
         # Few paths are open after the first division: two levels a pass from then on.
         paths = _branch(large, reps_left, min(level, 2))
-    labelled = (reps.select("set_id", "rep")
-                .join(links.labels.withColumnRenamed("node", "rep"), "rep", "left")
-                .select("set_id", F.coalesce("component", "rep").alias("component")))
-    joined = rows.select("doc_id", "n_shingles", "set_id").join(labelled, "set_id", "left")
-    component = F.coalesce("component", "doc_id")
+    centres = links.labels.select("component").distinct()
+    linked = links.labels.union(centres.select("component", "component")).withColumnRenamed("node", "rep")
+    heads = cut(linked.join(reps.select("rep", "head"), "rep").groupBy("component")
+                .agg(F.min("head").alias("least")))
+    named = linked.join(_sized(heads, heads.count()), "component")
+    return (reps.select("set_id", "rep", "head").join(named, "rep", "left")
+            .select("set_id", F.coalesce("component", "rep").alias("component"),
+                    F.coalesce("least", "head").alias("head")))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of every row of ``docs``."""
+    rows = cut(_sketches(docs, key, text_col))
+    joined = rows.select("doc_id", "n_shingles", "set_id").join(
+        _grouped(rows, docs, key, text_col), "set_id", "left")
+    component = F.coalesce("head", "doc_id")
     return joined.select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
