@@ -350,6 +350,32 @@ def test_near_duplicates_one_id_on_many_texts(make):
     assert got == [(1, 1)] * 4 + [(6, 6), (7, 1), (8, 1), (9, 1)]
 
 
+def test_keep_first_leaves_one_row_a_group(make, spark):
+    """The pipeline's stage against brute force, with repeated ids, repeated rows and null ids."""
+    import corpus_pipeline
+
+    def words(c, n=30):
+        return " ".join(f"{c}{i}" for i in range(n))
+    rows = [(5, words("x")), (5, words("y")), (3, words("y", 29) + " z"), (6, words("x", 29) + " z"),
+            (8, words("v")), (8, words("v")), (8, words("v")), (9, words("v").upper()),
+            (2, words("w")), (2, words("w", 29) + " z"), (4, None), (4, None), (4, " "), (4, "q"),
+            (None, words("x")), (None, words("x")), (None, None)]
+    docs = make([(i, t, "en", "", 1) for i, t in rows], DOCS)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dup_stage(spark, docs, "").collect()]
+    sets = {t: shingles(t) for _, t in rows}
+    groups = []
+    for row in sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], str(r[1]))):
+        a = sets[row[1]]
+        hits = [g for g in groups if a and any(
+            100 * len(a & sets[t]) >= 75 * len(a | sets[t]) for _, t in g)]
+        groups = [g for g in groups if g not in hits] + [sum(hits, [row])]
+    alone = [r for r in got if r[0] is not None]
+    assert len(alone) == len(groups) and got.count((None, words("x"))) == 2 and (None, None) in got
+    for g in groups:
+        kept = [r for r in alone if r in g]
+        assert len(kept) == 1 and kept[0][0] == min(i for i, _ in g)
+
+
 # ---------------------------------------------------------------- op 8
 
 def test_sharding_balances_every_source(make):

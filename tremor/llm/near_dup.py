@@ -91,21 +91,23 @@ def _split(tokens: np.ndarray) -> tuple[np.ndarray, bytes]:
     return tokens[:TREES].view(np.int64), (tokens >> np.uint64(32)).astype(np.uint8).tobytes()
 
 
-def _sketches(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+def _sketches(docs: DataFrame, key: str, text_col: str, *more: str) -> DataFrame:
+    """Set and sketch of every row, with the columns ``more`` as they are."""
     def start():
-        def row(k, text):
+        def row(k, text, *rest):
             values = shingle_set(text)
             if not len(values):
-                return k, 0, None, None, None
+                return k, 0, None, None, None, *rest
             return (k, len(values), xxhash.xxh3_128_digest(values.tobytes()),
-                    *_split(minwise(values)))
+                    *_split(minwise(values)), *rest)
         return row
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType),
                            T.StructField("n_shingles", T.LongType()),
                            T.StructField("set_id", T.BinaryType()),
                            T.StructField("first", T.ArrayType(T.LongType())),
-                           T.StructField("sketch", T.BinaryType())])
-    return map_rows(docs.select(key, text_col), start, schema)
+                           T.StructField("sketch", T.BinaryType()),
+                           *[docs.schema[c] for c in more]])
+    return map_rows(docs.select(key, text_col, *more), start, schema)
 
 
 def _sets(docs: DataFrame, text_col: str) -> DataFrame:
@@ -395,11 +397,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
 def keep_first(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each near-duplicate group: the smallest id's.
 
-    Rows without an id are kept.  Rows that repeat an id are kept once per
-    text that heads a group.
+    Rows without an id are kept.  Where the smallest id stands on several texts of the
+    group, the one with the smallest hash stays.  Texts without words stand alone, once
+    per id and text; of rows that repeat an id and text the one with the smallest other
+    columns stays.
     """
-    found = near_duplicates(docs, key, text_col)
-    away = (found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_away"))
-            .distinct())
-    left = docs.join(away, docs[key] == F.col("_away"), "left_anti")
-    return left
+    marked = docs.withColumn("_text", F.xxhash64(text_col))
+    rows = cut(_sketches(marked, key, text_col, "_text"))
+    seen = cut(rows.where("doc_id is not null").groupBy("doc_id", "_text")
+               .agg(F.first("set_id").alias("set_id"), F.count(F.lit(1)).alias("n")))
+    member = seen.join(_grouped(rows, docs, key, text_col), "set_id").select(
+        "component", F.struct("doc_id", "_text").alias("row"))
+    first = cut(member.groupBy("component").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("n"))
+                .where("n > 1").drop("n"))
+    away = cut(member.join(_sized(first, first.count()), "component").where("row <> least")
+               .select(F.col("row.doc_id").alias(key), F.col("row._text").alias("_text")))
+    left = marked.join(_sized(away, away.count()), [key, "_text"], "left_anti")
+    again = cut(seen.where("n > 1").select(F.col("doc_id").alias(key), "_text"))
+    n = again.count()
+    if n:
+        again = _sized(again, n)
+        once = (left.join(again, [key, "_text"], "left_semi").groupBy(key, "_text")
+                .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+        left = left.join(again, [key, "_text"], "left_anti").select(*docs.columns).unionByName(once)
+    return left.select(*docs.columns)
