@@ -218,6 +218,18 @@ def test_every_known_sentence_has_an_anchor():
     assert len(set(licenses.sentence_table().values())) == len(licenses.SENTENCES)
 
 
+def test_every_grant_verb_name_and_copyright_sign_counts(make):
+    verbs = ("Licensed", "Released", "Distributed", "Made available", "Available", "Published", "Provided")
+    texts = [f"{v} under GPL 2" for v in verbs] + [f"Released under {n}." for n in licenses.NAMES]
+    texts += ["Code released under CC BY-SA 4.0.", "Released under the GPL v3."]
+    want = [["GPL-2.0"]] * len(verbs) + [[n] for n in licenses.NAMES.values()] + [["CC-BY-SA-4.0"], ["GPL-3.0"]]
+    assert scanned(make, texts) == want
+    signs = licenses.scan(documents(make, ["\u00a9 2021 Jane Doe", "(c) 2021 Jane Doe", "(C) 2021"])).collect()
+    assert [r["sentences"] for r in signs] == [["Copyright"]] * 3
+    for piece in licenses.known_pieces():
+        assert any(a in piece for a in licenses.ANCHORS), piece
+
+
 # ---------------------------------------------------------------- op 7
 
 def shingles(text):

@@ -24,8 +24,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Words of which every known sentence has one.
-ANCHORS = ("licen", "copyright", "permission", "warrant", "redistribut", "liab", "merchantab")
+# Words of which every known sentence has one, a grant's "under" among them.
+ANCHORS = ("licen", "copyright", "permission", "warrant", "redistribut", "liab", "merchantab",
+           "under", "(c)", "©")
 
 # Normalised names of licences as used in grants.
 NAMES = {
@@ -144,6 +145,11 @@ def sentence_table() -> dict[str, str]:
     return out
 
 
+def known_pieces() -> list[str]:
+    """Normalised sentences that name an identifier on their own."""
+    return list(sentence_table())
+
+
 def _lookup(table: dict[str, str], key: Column) -> Column:
     items = [F.lit(x) for pair in table.items() for x in pair]
     return F.try_element_at(F.create_map(*items), key)
