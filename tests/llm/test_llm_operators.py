@@ -230,6 +230,49 @@ def test_every_grant_verb_name_and_copyright_sign_counts(make):
         assert any(a in piece for a in licenses.ANCHORS), piece
 
 
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL_HEADER = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_copyright_and_spdx_take_only_their_line(make):
+    mit = MIT_TEXT.split("\n\n")[-1]
+    texts = ["Copyright 2020 Foo Inc\nLicensed under the MIT License.",
+             "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: ISC",
+             "// SPDX-License-Identifier: Zlib\n" + mit, "Copyright (c) 2020 Foo\n" + mit]
+    assert scanned(make, texts) == [["MIT"], ["ISC", "MIT"], ["MIT", "Zlib"], ["MIT"]]
+
+
+def test_published_apache_and_gpl_headers(make):
+    texts = [APACHE_HEADER, "# Copyright 2020 Foo\n" + re.sub("(?m)^", "# ", APACHE_HEADER),
+             GPL_HEADER.format(":", ",", 3), GPL_HEADER.format(";", ";", 2), GPL_HEADER.format(";", ";", 3),
+             " * " + GPL_HEADER.format(";", ",", 2).replace("\n", "\n * ")]
+    assert scanned(make, texts) == [["Apache-2.0"], ["Apache-2.0"], ["GPL-3.0"], ["GPL-2.0"], ["GPL-3.0"],
+                                    ["GPL-2.0"]]
+    left = licenses.scan(documents(make, texts)).collect()
+    assert [r["unmatched"] for r in left] == [""] * 6
+
+
 # ---------------------------------------------------------------- op 7
 
 def shingles(text):

@@ -6,8 +6,9 @@ identifier; the identifiers in order of the text are then matched against
 ordered licence rules, each of which consumes what it matches, so a more
 specific rule comes before a more general one.
 
-A sentence may be wrapped over lines: it is looked up whole first, then, if
-unknown, line by line.  Everything is a row expression; no text is moved.
+A line with an SPDX tag and a line that begins as a copyright notice end the
+sentence before them and are looked up apart.  Any other sentence may be
+wrapped over lines: it is looked up whole first, then, if unknown, line by line.  Everything is a row expression; no text is moved.
 Texts without any of the ``ANCHORS`` skip the work: every known sentence has
 one of them.
 
@@ -94,6 +95,17 @@ SENTENCES = {
     "All rights reserved, no license is granted.": "NoLicense",
 }
 
+# Pieces of the published GPL notices and the identifiers they map to.
+_GPL_TERMS = ("you can redistribute it and/or modify it under the terms of the GNU General Public License "
+              "as published by the Free Software Foundation")
+NOTICES = {
+    _GPL_TERMS + ", either version 3 of the License, or (at your option) any later version.": "Grant:GPL-3.0",
+    _GPL_TERMS + ", either version 2 of the License, or (at your option) any later version.": "Grant:GPL-2.0",
+    _GPL_TERMS + ";": "GplTerms",
+    "either version 3 of the License, or (at your option) any later version.": "GplEither3",
+    "either version 2 of the License, or (at your option) any later version.": "GplEither2",
+}
+
 # Ordered rules over identifier sequences; each consumes its match.
 RULES = (
     ("MIT", r"(?:MitTitle,)?(?:Copyright,)*MitGrant,MitNotice,MitAsIs,MitLiability,"),
@@ -103,6 +115,8 @@ RULES = (
     ("ISC", r"(?:Copyright,)*IscGrant,"),
     ("GPL-3.0", r"(?:Copyright,)*Grant:GPL-3\.0,(?:GplWarranty,)(?:GplSee,)?(?:GplReceived,)?"),
     ("GPL-2.0", r"(?:Copyright,)*Grant:GPL-2\.0,(?:GplWarranty,)(?:GplSee,)?(?:GplReceived,)?"),
+    ("GPL-3.0", r"(?:Copyright,)*GplTerms,GplEither3,(?:GplWarranty,)?(?:GplSee,)?(?:GplReceived,)?"),
+    ("GPL-2.0", r"(?:Copyright,)*GplTerms,GplEither2,(?:GplWarranty,)?(?:GplSee,)?(?:GplReceived,)?"),
     ("MIT", r"MitTitle,"),
     ("NoLicense", r"NoLicense,"),
 )
@@ -110,6 +124,8 @@ GRANT = (r"^(?:this (?:work|file|software|project|program|code|library|document|
          r" |it is |code )?(?:dual )?(?:licensed|released|distributed|made available|available|published"
          r"|provided) under (?:the )?(?:terms (?:of|and conditions of) )?(?:the )?")
 STOP = "\x01"
+# Lines that stand for themselves: a copyright notice, an SPDX tag.
+OWN_LINE = (r"(?im)^([ \t]*(?:(?:copyright|\(c\)|©)[ \t]*)+[0-9]{4}.*|.*spdx-licen[sc]e-identifier:.*)$")
 
 
 def _normal(text: Column) -> Column:
@@ -147,7 +163,12 @@ def sentence_table() -> dict[str, str]:
 
 def known_pieces() -> list[str]:
     """Normalised sentences that name an identifier on their own."""
-    return list(sentence_table())
+    return [*sentence_table(), *notice_table()]
+
+
+def notice_table() -> dict[str, str]:
+    """Normalised piece of a published notice to identifier."""
+    return {normal(text): name for text, name in NOTICES.items()}
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
@@ -159,12 +180,14 @@ def identifier(sentence: Column) -> Column:
     """Identifier of one sentence, null if it is not known."""
     s = _normal(sentence)
     spdx = F.regexp_extract(sentence, r"(?i)spdx-licen[sc]e-identifier:\s*([A-Za-z0-9.+-]+)", 1)
-    granted = F.regexp_replace(F.regexp_replace(s, GRANT, ""), r"\b(?:license|or later|only) ?", "")
+    # '(the "License")' after a name defines a word.
+    plain = F.regexp_replace(s, " the license$", "")
+    granted = F.regexp_replace(F.regexp_replace(plain, GRANT, ""), r"\b(?:license|or later|only) ?", "")
     name = _lookup(NAMES, F.regexp_replace(granted, "^ +| +$", ""))
     return (F.when(spdx != "", F.concat(F.lit("Spdx:"), spdx))
             .when(s.rlike(GRANT) & name.isNotNull(), F.concat(F.lit("Grant:"), name))
             .when(s.rlike(r"^(?:copyright )+[0-9]{4}"), F.lit("Copyright"))
-            .otherwise(_lookup(sentence_table(), F.regexp_replace(s, r"^(?:[0-9]+|[a-z])\.? ", ""))))
+            .otherwise(_lookup({**sentence_table(), **notice_table()}, F.regexp_replace(s, r"^(?:[0-9]+|[a-z])\.? ", ""))))
 
 
 def identifiers(text: Column) -> Column:
@@ -174,7 +197,8 @@ def identifiers(text: Column) -> Column:
     for a in ANCHORS:
         may = low.contains(a) if may is None else may | low.contains(a)
     bare = F.regexp_replace(text, r"(?m)^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|<!--|rem )[ \t]?", "")
-    marked = F.regexp_replace(F.regexp_replace(bare, r"\n[ \t]*\r?\n", STOP), r"(?<!dentifier)([.;:!?])\s+", "$1" + STOP)
+    apart = F.regexp_replace(bare, OWN_LINE, STOP + "$1" + STOP)
+    marked = F.regexp_replace(F.regexp_replace(apart, r"\n[ \t]*\r?\n", STOP), r"(?<!dentifier)([.;:!?])\s+", "$1" + STOP)
     keep = F.filter(F.split(marked, STOP), lambda s: s != "")
     # A sentence unknown as a whole is looked up line by line.
     found = F.transform(keep, lambda s: F.when(
