@@ -147,6 +147,15 @@ def test_quality_is_repeatable_and_takes_empty_tables(make):
     assert kept.columns == docs.columns and 50 <= kept.count() <= 62
 
 
+def test_training_sees_every_feature(make, monkeypatch):
+    """A sampled document trains with all the words that it is scored by."""
+    seen = []
+    monkeypatch.setattr(quality, "fit_scorer", lambda rows, **_: seen.extend(rows))
+    text = " ".join(f"word{i}" for i in range(1500))
+    quality.fit(documents(make, [text]))
+    assert len(seen[0][0]) == len(quality.features(quality.shape(text))[0]) > 1500
+
+
 def test_em_recovers_planted_accuracies():
     rnd = random.Random(4)
     true = [0.9, 0.8, 0.95, 0.7, 0.85]

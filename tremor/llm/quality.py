@@ -28,7 +28,6 @@ from tremor.llm.common import map_rows
 
 DIMENSIONS = 1 << 16
 SAMPLE = 6000            # expected size of the training sample, in documents
-FEATURES = 400           # distinct hashed features that a sampled document trains with
 EM_ROUNDS = 100
 START_WEIGHT = 5.0       # of a bad vote at the start: labellers call few documents bad
 EPOCHS = 60
@@ -195,9 +194,6 @@ def fit(docs: DataFrame, key: str = "doc_id", text_col: str = "text", sample: in
         def row(t):
             seen = shape(t)
             at, x = features(seen)
-            if len(at) > FEATURES:
-                keep = np.argsort(-x, kind="stable")[:FEATURES]
-                at, x = at[keep], x[keep]
             return votes(seen), at.tolist(), x.tolist()
         return row
     schema = T.StructType([T.StructField("pattern", T.StringType()),
