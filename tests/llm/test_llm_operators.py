@@ -147,6 +147,15 @@ def test_quality_is_repeatable_and_takes_empty_tables(make):
     assert kept.columns == docs.columns and 50 <= kept.count() <= 62
 
 
+def test_training_sample_is_bounded_whatever_the_ids(make):
+    """One id or null on most rows neither fills nor empties the sample; repeated rows are one."""
+    rows = [(None if i % 2 else 1, f"text {i}", "", "", 1) for i in range(300)] + [(2, "same", "", "", 1)] * 100
+    drawn = quality.draw(make(rows, DOCS), "doc_id", "text", 40).collect()
+    assert len(drawn) == 40 and len({r["text"] for r in drawn}) == 40
+    every = {r["text"]: r["n"] for r in quality.draw(make(rows, DOCS), "doc_id", "text", 1000).collect()}
+    assert len(every) == 301 and every["same"] == 100 and every["text 7"] == 1
+
+
 def test_training_sees_every_feature(make, monkeypatch):
     """A sampled document trains with all the words that it is scored by."""
     seen = []

@@ -6,8 +6,8 @@
    (at most 3 to the number of labellers, whatever the corpus) estimates
    each labeller's accuracy on either class, and so the probability that a
    pattern is good.  No gold label is used.
-3. Posterior labels of a bounded sample (``SAMPLE`` documents expected, the
-   smallest id hashes) train a logistic scorer over hashed features, which then
+3. Posterior labels of a bounded sample (the ``SAMPLE`` smallest hashes of id
+   and text, each weighted by the rows that repeat it) train a logistic scorer over hashed features, which then
    scores every document; ``score >= 0.5`` keeps it.
 
 Results: null, empty and blank texts have no words; every labeller abstains
@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremor.llm.common import map_rows
+from tremor.llm.common import cut, map_rows
 
 DIMENSIONS = 1 << 16
-SAMPLE = 6000            # expected size of the training sample, in documents
+SAMPLE = 6000            # size of the training sample, in distinct documents
 EM_ROUNDS = 100
 START_WEIGHT = 5.0       # of a bad vote at the start: labellers call few documents bad
 EPOCHS = 60
@@ -144,8 +144,12 @@ def fit_votes(patterns: dict[str, int], rounds: int = EM_ROUNDS) -> tuple[dict[s
     return dict(zip(names, q)), accuracy
 
 
-def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = EPOCHS) -> np.ndarray:
-    """Weights (bias last) of a logistic scorer on soft labels, by full-batch Adagrad."""
+def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = EPOCHS,
+               times: list[int] | None = None) -> np.ndarray:
+    """Weights (bias last) of a logistic scorer on soft labels, by full-batch Adagrad.
+
+    ``times`` says how many rows each of ``rows`` stands for (one, if not given).
+    """
     w = np.zeros(DIMENSIONS + 1)
     if not rows:
         return w
@@ -154,8 +158,9 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = E
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     y = np.array([r[2] for r in rows])
     # Either class weighs the same, however rare it is.
-    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-    importance = y / share + (1 - y) / (1 - share)
+    many = np.ones(len(rows)) if times is None else np.array(times, float)
+    share = np.clip((y * many).sum() / many.sum(), 1e-3, 1 - 1e-3)
+    importance = many * (y / share + (1 - y) / (1 - share))
     importance /= importance.sum()
     g2 = np.full(DIMENSIONS + 1, 1e-8)
     for _ in range(epochs):
@@ -179,6 +184,20 @@ class Model:
         self.posterior, self.accuracy, self.weights = posterior, accuracy, weights
 
 
+def draw(docs: DataFrame, key: str, text_col: str, sample: int) -> DataFrame:
+    """Text and number of rows ``n`` of the ``sample`` distinct documents of the smallest hashes."""
+    hashed = docs.select(text_col, F.xxhash64(key, text_col, F.lit("quality sample")).alias("_draw"))
+    counted = cut(hashed.groupBy("_draw").agg(F.count(F.lit(1)).alias("n")))
+    total = counted.count()
+    # Half as many again as wanted are sorted, not the whole table in one task.
+    share = min(1.0, 1.5 * sample / max(1, total))
+    below = counted if share == 1.0 else counted.where(
+        F.col("_draw") < int(-(1 << 63) + share * (1 << 64)))
+    few = F.broadcast(cut(below.orderBy("_draw").limit(sample)))
+    return (hashed.join(few, "_draw").groupBy("_draw")
+            .agg(F.first(text_col).alias(text_col), F.first("n").alias("n")).select(text_col, "n"))
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on ``docs``: vote patterns of all rows, the scorer on a bounded sample."""
     pattern = T.StructType([T.StructField("pattern", T.StringType())])
@@ -186,24 +205,22 @@ def fit(docs: DataFrame, key: str = "doc_id", text_col: str = "text", sample: in
                .groupBy("pattern").count().collect())            # at most 3 ** labellers rows
     patterns = {r["pattern"]: r["count"] for r in counted if set(r["pattern"]) != {"-"}}
     posterior, accuracy = fit_votes(patterns)
-    total = sum(r["count"] for r in counted)
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit("quality sample")), F.lit(1 << 30))
-    drawn = docs.where(draw < int((1 << 30) * min(1.0, sample / max(1, total))))
+    drawn = draw(docs, key, text_col, sample)
 
     def start():
-        def row(t):
+        def row(t, n):
             seen = shape(t)
             at, x = features(seen)
-            return votes(seen), at.tolist(), x.tolist()
+            return n, votes(seen), at.tolist(), x.tolist()
         return row
-    schema = T.StructType([T.StructField("pattern", T.StringType()),
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("pattern", T.StringType()),
                            T.StructField("at", T.ArrayType(T.IntegerType())),
                            T.StructField("x", T.ArrayType(T.FloatType()))])
-    rows = map_rows(drawn.select(text_col), start, schema).collect()
-    train = [(np.array(r["at"], np.int64), np.array(r["x"]), posterior[r["pattern"]])
+    rows = map_rows(drawn, start, schema).collect()
+    train = [(np.array(r["at"], np.int64), np.array(r["x"]), posterior[r["pattern"]], r["n"])
              for r in rows if r["pattern"] in posterior]
-    train.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes()))
-    return Model(posterior, accuracy, fit_scorer(train))
+    train.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[3]))
+    return Model(posterior, accuracy, fit_scorer([r[:3] for r in train], times=[r[3] for r in train]))
 
 
 def classify(docs: DataFrame, model: Model, key: str = "doc_id", text_col: str = "text",
