@@ -165,6 +165,23 @@ def test_training_sees_every_feature(make, monkeypatch):
     assert len(seen[0][0]) == len(quality.features(quality.shape(text))[0]) > 1500
 
 
+def test_toxic_documents_of_good_quality_are_rejected(make):
+    good, bad = corpus()
+    rnd = random.Random(2)
+
+    def toxic(text):
+        words = text.split()
+        for _ in range(max(3, len(words) // 25)):
+            words.insert(rnd.randrange(len(words)), rnd.choice(["idiot", "stupid,", "Scum", "pathetic", "moron"]))
+        return " ".join(words)
+    docs = documents(make, good[40:] + [toxic(t) for t in good[:40]] + bad[:60])
+    model = quality.fit(docs)
+    fresh = corpus(340)[0][300:]
+    got = {r["doc_id"]: r["kept"] for r in quality.classify(
+        documents(make, fresh + [toxic(t) for t in fresh]), model).collect()}
+    assert all(got[i] for i in range(40)) and not any(got[40 + i] for i in range(40))
+
+
 def test_em_recovers_planted_accuracies():
     rnd = random.Random(4)
     true = [0.9, 0.8, 0.95, 0.7, 0.85]

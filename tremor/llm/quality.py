@@ -8,7 +8,10 @@
    pattern is good.  No gold label is used.
 3. Posterior labels of a bounded sample (the ``SAMPLE`` smallest hashes of id
    and text, each weighted by the rows that repeat it) train a logistic scorer over hashed features, which then
-   scores every document; ``score >= 0.5`` keeps it.
+   scores every document.
+4. A second set of labellers votes on abusive words (clean 1, abusive 0); the same
+   expectation-maximisation and a second scorer give every document a clean score.
+   A document is kept if both scores are at least 0.5.
 
 Results: null, empty and blank texts have no words; every labeller abstains
 on them and they are rejected (``score`` 0).  Repeated rows get equal scores; ids are
@@ -18,6 +21,8 @@ are kept by ``keep_good`` and ignored by ``classify``.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,6 +44,14 @@ nicht ein eine mit von den le la les et un une des est que pour dans pas qui el
 se no es su de""".split())
 _STOP = np.unique(np.fromiter((xxhash.xxh32_intdigest(v) for w in STOP_WORDS
                                for v in (w, w.capitalize(), w.upper())), np.uint64))
+# Abusive words, by kind.
+INSULTS = """idiot idiots moron morons loser losers clown clowns scum trash imbecile bastard bitch asshole
+trottel dummkopf arschloch abschaum versager connard salaud ordure crétin idiota imbécil cabrón escoria
+payaso basura""".split()
+CONTEMPT = """stupid pathetic worthless disgusting dumb filthy despicable dumm widerlich erbärmlich wertlos
+ekelhaft stupide minable débile dégoûtant pathétique estúpido estúpida patético asqueroso""".split()
+_ABUSE = re.compile(r"\b(?:%s)\b" % "|".join(INSULTS + CONTEMPT))
+_INSULTS = frozenset(INSULTS)
 _UPPER, _LOWER = slice(65, 91), slice(97, 123)
 _SYMBOLS = np.frombuffer(b"#*|$%&!@~^<>{}=+_\\", np.uint8)
 
@@ -56,6 +69,10 @@ class Shape:
         lines = [x for x in text.split("\n") if x and not x.isspace()]
         trios = h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:]
         stop = np.isin(self.hashes, _STOP, assume_unique=True)
+        abuse = _ABUSE.findall(text.lower())
+        insults = sum(w in _INSULTS for w in abuse)
+        self.abuse = {"insults": insults / n, "contempt": (len(abuse) - insults) / n,
+                      "abuse": len(abuse) / n, "abuse_kinds": len(set(abuse))}
         self.stats = {
             "words": n,
             "symbols": int(byte[_SYMBOLS].sum()) / n,
@@ -99,6 +116,21 @@ def votes(seen: Shape | None) -> str:
         [f(seen.stats) for f in LABELLERS.values()])
 
 
+# Labellers of abuse: a vote against needs more than a word quoted in passing.
+CLEAN_LABELLERS = {
+    "insults": lambda s: _vote(s["insults"] == 0, s["insults"] > 0.004),
+    "contempt": lambda s: _vote(s["contempt"] == 0, s["contempt"] > 0.004),
+    "abuse": lambda s: _vote(s["abuse"] < 0.002, s["abuse"] > 0.008),
+    "abuse_kinds": lambda s: _vote(s["abuse_kinds"] == 0, s["abuse_kinds"] > 1),
+}
+
+
+def clean_votes(seen: Shape | None) -> str:
+    """One character a labeller of abuse, in order."""
+    return "-" * len(CLEAN_LABELLERS) if seen is None else "".join(
+        [f(seen.abuse) for f in CLEAN_LABELLERS.values()])
+
+
 #: Bins of each statistic: feature "statistic is in bin i".
 BINS = {
     "words": np.array([5, 10, 20, 50, 100, 200, 500, 1000, 5000]),
@@ -106,8 +138,12 @@ BINS = {
     **{k: np.array([0.01, 0.02, 0.05, 0.08, 0.12, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97])
        for k in ("symbols", "upper", "kinds", "top", "trio", "stop", "same_lines", "ends")},
 }
+ABUSE_BINS = {
+    **{k: np.array([1e-9, 0.002, 0.004, 0.008, 0.015, 0.03, 0.1]) for k in ("insults", "contempt", "abuse")},
+    "abuse_kinds": np.array([1, 2, 3, 5]),
+}
 _BIN_AT = {k: np.array([xxhash.xxh32_intdigest(f"{k}:{i}") % DIMENSIONS for i in range(len(v) + 1)])
-           for k, v in BINS.items()}
+           for k, v in {**BINS, **ABUSE_BINS}.items()}
 _BIN_WEIGHT = 0.3
 
 
@@ -120,6 +156,15 @@ def features(seen: Shape | None) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([seen.counts / seen.words, np.full(len(bins), _BIN_WEIGHT)]))
 
 
+def clean_features(seen: Shape | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of abuse and their weights: words by share, and binned statistics."""
+    if seen is None:
+        return np.empty(0, np.int64), np.empty(0)
+    bins = [_BIN_AT[k][np.searchsorted(v, seen.abuse[k], side="right")] for k, v in ABUSE_BINS.items()]
+    return (np.concatenate([(seen.hashes % np.uint64(DIMENSIONS)).astype(np.int64), bins]),
+            np.concatenate([seen.counts / seen.words, np.full(len(bins), 1.0)]))
+
+
 def fit_votes(patterns: dict[str, int], rounds: int = EM_ROUNDS) -> tuple[dict[str, float], np.ndarray]:
     """Posterior of the good class per pattern, and ``accuracy[labeller, class, vote]``.
 
@@ -128,12 +173,13 @@ def fit_votes(patterns: dict[str, int], rounds: int = EM_ROUNDS) -> tuple[dict[s
     names = sorted(patterns)
     if not names:
         return {}, np.zeros((len(LABELLERS), 2, 2))
+    width = len(names[0])
     count = np.array([patterns[p] for p in names], float)
     vote = np.array([["01-".index(c) for c in p] for p in names])
     hot = np.eye(3)[vote][:, :, :2]                              # pattern, labeller, vote
     good, bad = (vote == 1).sum(1), (vote == 0).sum(1)
     q = (good + 1.0) / (good + START_WEIGHT * bad + 1.5)         # start: a weighted majority
-    accuracy = np.zeros((len(LABELLERS), 2, 2))
+    accuracy = np.zeros((width, 2, 2))
     for _ in range(rounds):
         for y, w in ((0, count * (1 - q)), (1, count * q)):
             seen = np.einsum("p,plv->lv", w, hot) + 1.0
@@ -177,11 +223,20 @@ def score(seen: Shape | None, w: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-(x @ w[at] + w[-1])))) if len(at) else 0.0
 
 
+def clean_score(seen: Shape | None, w: np.ndarray) -> float:
+    at, x = clean_features(seen)
+    return float(1 / (1 + np.exp(-(x @ w[at] + w[-1])))) if len(at) else 0.0
+
+
 class Model:
-    """A fitted classifier: pattern posteriors, labeller accuracies, scorer weights."""
+    """A fitted classifier: pattern posteriors, labeller accuracies, weights of both scorers."""
+
+    def __init__(self, posterior: dict[str, float], accuracy: np.ndarray, weights: np.ndarray,
+                 clean: np.ndarray):
+        self.posterior, self.accuracy, self.weights, self.clean = posterior, accuracy, weights, clean
 
-    def __init__(self, posterior: dict[str, float], accuracy: np.ndarray, weights: np.ndarray):
-        self.posterior, self.accuracy, self.weights = posterior, accuracy, weights
+    def keeps(self, seen: Shape | None, threshold: float) -> bool:
+        return score(seen, self.weights) >= threshold and clean_score(seen, self.clean) >= threshold
 
 
 def draw(docs: DataFrame, key: str, text_col: str, sample: int) -> DataFrame:
@@ -200,39 +255,58 @@ def draw(docs: DataFrame, key: str, text_col: str, sample: int) -> DataFrame:
 
 def fit(docs: DataFrame, key: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on ``docs``: vote patterns of all rows, the scorer on a bounded sample."""
-    pattern = T.StructType([T.StructField("pattern", T.StringType())])
-    counted = (map_rows(docs.select(text_col), lambda: lambda t: (votes(shape(t)),), pattern)
-               .groupBy("pattern").count().collect())            # at most 3 ** labellers rows
-    patterns = {r["pattern"]: r["count"] for r in counted if set(r["pattern"]) != {"-"}}
-    posterior, accuracy = fit_votes(patterns)
+    def both(t):
+        seen = shape(t)
+        return votes(seen), clean_votes(seen)
+    names = T.StructType([T.StructField("pattern", T.StringType()), T.StructField("clean", T.StringType())])
+    counted = (map_rows(docs.select(text_col), lambda: both, names)
+               .groupBy("pattern", "clean").count().collect())   # at most 3 ** (labellers of both) rows
+    fitted = []
+    for name in ("pattern", "clean"):
+        patterns: dict[str, int] = {}
+        for r in counted:
+            if set(r[name]) != {"-"}:
+                patterns[r[name]] = patterns.get(r[name], 0) + r["count"]
+        fitted.append(fit_votes(patterns))
+    (posterior, accuracy), (clean, _) = fitted
     drawn = draw(docs, key, text_col, sample)
 
     def start():
         def row(t, n):
             seen = shape(t)
             at, x = features(seen)
-            return n, votes(seen), at.tolist(), x.tolist()
+            clean_at, clean_x = clean_features(seen)
+            # The words of both are the same and come first.
+            words = len(at) - len(BINS) if seen else 0
+            return (n, *both(t), at.tolist(), x.tolist(), clean_at[words:].tolist(), clean_x[words:].tolist())
         return row
-    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("pattern", T.StringType()),
-                           T.StructField("at", T.ArrayType(T.IntegerType())),
-                           T.StructField("x", T.ArrayType(T.FloatType()))])
+    schema = T.StructType([T.StructField("n", T.LongType()), *names.fields,
+                           *[T.StructField(c, T.ArrayType(t)) for c, t in (
+                               ("at", T.IntegerType()), ("x", T.FloatType()),
+                               ("clean_at", T.IntegerType()), ("clean_x", T.FloatType()))]])
     rows = map_rows(drawn, start, schema).collect()
     train = [(np.array(r["at"], np.int64), np.array(r["x"]), posterior[r["pattern"]], r["n"])
              for r in rows if r["pattern"] in posterior]
-    train.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[3]))
-    return Model(posterior, accuracy, fit_scorer([r[:3] for r in train], times=[r[3] for r in train]))
+    train_clean = [(np.array(r["at"][:-len(BINS)] + r["clean_at"], np.int64),
+                    np.array(r["x"][:-len(BINS)] + r["clean_x"]), clean[r["clean"]], r["n"])
+                   for r in rows if r["clean"] in clean]
+    weights = []
+    for t in (train, train_clean):
+        t.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[3]))
+        weights.append(fit_scorer([r[:3] for r in t], times=[r[3] for r in t]))
+    return Model(posterior, accuracy, *weights)
 
 
 def classify(docs: DataFrame, model: Model, key: str = "doc_id", text_col: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
     """``key``, ``votes``, ``posterior`` (null where no labeller voted), ``score``, ``kept``."""
-    posterior, weights = model.posterior, model.weights
+    posterior = model.posterior
 
     def start():
         def row(k, t):
             seen = shape(t)
-            v, s = votes(seen), score(seen, weights)
-            return k, v, posterior.get(v), s, s >= threshold
+            v, s = votes(seen), score(seen, model.weights)
+            return k, v, posterior.get(v), s, model.keeps(seen, threshold)
         return row
     schema = T.StructType([docs.schema[key], T.StructField("votes", T.StringType()),
                            T.StructField("posterior", T.DoubleType()),
@@ -244,12 +318,12 @@ def classify(docs: DataFrame, model: Model, key: str = "doc_id", text_col: str =
 def keep_good(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
               threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier fitted on them keeps."""
-    weights = fit(docs, key, text_col).weights
+    model = fit(docs, key, text_col)
     i = docs.columns.index(text_col)
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            keep = [score(shape(t), weights) >= threshold for t in b.column(i).to_pylist()]
+            keep = [model.keeps(shape(t), threshold) for t in b.column(i).to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
