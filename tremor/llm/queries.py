@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import (bpe, decontam, fingerprint, licenses, near_dup, quality, secret_scan,
-                        sharding, token_count, url_filter)
+from tremor.llm import (bpe, conversation, decontam, fingerprint, licenses, manifest, near_dup,
+                        quality, secret_scan, sharding, token_count, toxicity, url_filter)
 from tremor.llm.common import table
 
 
@@ -96,6 +96,33 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontam.contaminated().alias("contaminated"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    given = table(spark, sf_dir, "conversations")
+    rows = conversation.damage(given)
+    return conversation.with_digest(rows, conversation.plan(rows, given))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, proof and root of every document; some proofs start at a tampered leaf."""
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    tampered = F.when(chosen, manifest.leaf_hash(n_chars=F.col("n_chars") + 1))
+    made = manifest.manifest(docs, tampered)
+    start = F.coalesce("changed_leaf", "leaf")
+    return made.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.array_join(F.transform("path", lambda p: p["sibling"]), ""), 256).alias("proof_sha256"),
+        manifest.fold(start, F.col("path")).alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's five stages over ``documents``."""
     import corpus_pipeline
@@ -104,4 +131,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_quality, op3_bpe, op4_licenses, op5_secrets, op6_token_counts,
-    op7_near_dup, op8_sharding, op9_fingerprints, op10_decontamination, pipeline)}
+    op7_near_dup, op8_sharding, op9_fingerprints, op10_decontamination, op11_conversations,
+    op12_manifest, op13_toxicity, pipeline)}
