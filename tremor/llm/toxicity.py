@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from math import log1p
 
@@ -58,20 +58,23 @@ SECOND_PERSON = frozenset((
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
                            "@": "a", "$": "s", "!": "i", "|": "l", "*": None, ".": None, "-": None})
 
+# All patterns take time in proportion to the text, however long a token is.
 _WORD = re.compile(r"[^\W\d_]+")
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
-_SHOUT = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{3,}\b")
 _MARKS = re.compile(r"[!?]{2,}")
 _SIGNS = re.compile(r"[#$%&*@~^|<>]")
-_MASKED = re.compile(r"[^\W\d_]+(?:[@$*!|.0-9-]+[^\W\d_]+)+")
+_MASKED = re.compile(r"[^\W\d_][@$*!|0-9.-]+[^\W\d_]")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"\b(?:[^\W\d_][ .\-]){3,}[^\W\d_]\b")
+_SPACED = re.compile(r"(?<!\S)(?:[^\W\d_] ){3,}[^\W\d_](?!\S)")
 
+# Counted per token (capitals: letters), in this order, then over the whole text.
+_COUNTED = ("capitals", "shouts", "exclamations", "questions", "marks", "signs", "masked",
+            "masked_hits")
+_ONE_CAPITAL = (1,) + (0,) * (len(_COUNTED) - 1)
 FEATURES = (
     "strong_density", "hit_density", "weight_density", "top_weight", "units", "hits",
-    "you_near", "you_close_share", "you_rate", "capitals", "shouts", "exclamations",
-    "questions", "marks", "signs", "masked", "masked_hits", "stretched", "spaced",
-    "words", "word_length", "distinct", "top_share")
+    "you_near", "you_close_share", "you_rate", *_COUNTED, "stretched", "spaced", "words", "word_length",
+    "distinct", "top_share")
 
 
 @dataclass
@@ -96,60 +99,86 @@ def _units(word: str) -> Iterable[str]:
         yield "^" + word[:n]
 
 
-def _weigher(lexicon: dict[str, float]) -> Callable[[str], float]:
-    known: dict[str, float] = {}
+def _cached(f: Callable, size: int = 100_000) -> Callable:
+    """``f`` of a string, remembered for short strings up to a number of them."""
+    known: dict[str, object] = {}
 
-    def weight(word: str) -> float:
-        w = known.get(word)
-        if w is None:
-            w = max((lexicon.get(u, 0.0) for u in _units(word)), default=0.0)
-            if len(known) < 100_000 and len(word) <= 40:
-                known[word] = w
-        return w
-    return weight
+    def look(x):
+        made = known.get(x)
+        if made is None:
+            made = f(x)
+            if len(known) < size and len(x) <= 40:
+                known[x] = made
+        return made
+    return look
+
+
+def _featurer(lexicon: dict[str, float]) -> Callable[[str | None], list[float]]:
+    heads = {u.lstrip("^")[:3] for u in lexicon}
+    units = _cached(lambda word: max(lexicon.get(u, 0.0) for u in _units(word)))
 
+    def weight(word: str) -> float:
+        return units(word) if word[:3] in heads else 0.0
+
+    def shape(token: str) -> tuple[Sequence[str], tuple | None]:
+        """The token's words, and its counts where any is not zero."""
+        plain = token.rstrip(",.;:")
+        if plain.isalpha():
+            if plain.islower():
+                return (plain,), None
+            if plain[1:].islower():
+                return (plain.lower(),), _ONE_CAPITAL
+        capitals = len(_CAPITAL.findall(token))
+        masked = _MASKED.search(token) is not None
+        opened = _WORD.findall(token.lower().translate(LOOKALIKE)) if masked else ()
+        counts = (capitals, capitals > 2 and token.isupper(), token.count("!"), token.count("?"),
+                  len(_MARKS.findall(token)), len(_SIGNS.findall(token)), masked,
+                  any(weight(w) > 0 for w in opened))
+        return _WORD.findall(token.lower()), counts if any(counts) else None
 
-def _featurer(weight: Callable[[str], float]) -> Callable[[str | None], list[float]]:
     def features(text):
-        text = text or ""
-        words = _WORD.findall(text.lower())
-        if not words:
+        tokens = (text or "").split()
+        counts, sums, letters = Counter(), [0] * len(_COUNTED), 0
+        for token, n in Counter(tokens).items():
+            words, odd = shape(token)
+            for word in words:
+                counts[word] += n
+            if odd:
+                sums = [s + n * x for s, x in zip(sums, odd)]
+        if not counts:
             return [0.0] * len(FEATURES)
-        n, counts = len(words), Counter(words)
+        n = sum(counts.values())
         found = {w: x for w, x in ((w, weight(w)) for w in counts) if x > 0}
-        hits = sum(counts[w] for w in found)
-        you = [i for i, w in enumerate(words) if w in SECOND_PERSON]
-        near, close = 0.0, 0
-        if found and you:
-            last, gaps = None, {}
-            for order, step in ((range(n), 1), (range(n - 1, -1, -1), -1)):
-                last = None
-                for i in order:
-                    if words[i] in SECOND_PERSON:
-                        last = i
-                    if words[i] in found and last is not None:
-                        gaps[i] = min(gaps.get(i, n), (i - last) * step)
-            near = 1.0 / (1 + min(gaps.values()))
-            close = sum(g <= 5 for g in gaps.values())
-        masked = _MASKED.findall(text)
-        opened = [m.lower().translate(LOOKALIKE) for m in masked]
+        hits, you = sum(counts[w] for w in found), sum(counts[w] for w in SECOND_PERSON)
+        letters = sum(len(w) * k for w, k in counts.items())
+        near, close = _nearness([w for t in tokens for w in shape(t)[0]], found) if hits and you else (0.0, 0)
         return [
             sum(counts[w] for w, x in found.items() if x >= 2) / n, hits / n,
             sum(counts[w] * x for w, x in found.items()) / n, max(found.values(), default=0.0),
-            log1p(len(found)), log1p(hits), near, close / max(hits, 1), len(you) / n,
-            len(_CAPITAL.findall(text)) / len(text), len(_SHOUT.findall(text)) / n,
-            text.count("!") / n, text.count("?") / n, len(_MARKS.findall(text)) / n,
-            len(_SIGNS.findall(text)) / n, len(masked) / n,
-            sum(weight(m) > 0 for m in opened) / n, len(_STRETCHED.findall(text)) / n,
-            len(_SPACED.findall(text)) / n, log1p(n), sum(map(len, words)) / n,
-            len(counts) / n, max(counts.values()) / n]
+            log1p(len(found)), log1p(hits), near, close / max(hits, 1), you / n,
+            sums[0] / letters, *[s / n for s in sums[1:]],
+            len(_STRETCHED.findall(text)) / n, len(_SPACED.findall(text)) / n,
+            log1p(n), letters / n, len(counts) / n, max(counts.values()) / n]
     return features
 
 
+def _nearness(words: list[str], found: dict[str, float]) -> tuple[float, int]:
+    """1 / (1 + least distance of a hit to a second person), and hits within 5 words of one."""
+    gaps: dict[int, int] = {}
+    for order in (range(len(words)), range(len(words) - 1, -1, -1)):
+        last = None
+        for i in order:
+            if words[i] in SECOND_PERSON:
+                last = i
+            if last is not None and words[i] in found:
+                gaps[i] = min(gaps.get(i, len(words)), abs(i - last))
+    return 1.0 / (1 + min(gaps.values())), sum(g <= 5 for g in gaps.values())
+
+
 def _with_features(docs: DataFrame, lexicons: list[dict[str, float]], keep: list[str]) -> DataFrame:
     """``keep`` and ``features``; a column ``fold`` names the lexicon of a row."""
     def start():
-        made = [_featurer(_weigher(x)) for x in lexicons]
+        made = [_featurer(x) for x in lexicons]
 
         def row(text, fold, *rest):
             return (*rest, made[fold](text))
