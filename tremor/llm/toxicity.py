@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from math import log1p
 
@@ -56,25 +56,23 @@ SECOND_PERSON = frozenset((
     "vuestro vuestra").split())
 # FIXED VALUES: signs that stand for letters.
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
-                           "@": "a", "$": "s", "!": "i", "|": "l", "*": None, ".": None, "-": None})
+                           "@": "a", "$": "s", "!": "i", "|": "l", "*": None})
 
-# All patterns take time in proportion to the text, however long a token is.
 _WORD = re.compile(r"[^\W\d_]+")
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
+_SHOUT = re.compile(r"[A-ZÀ-ÖØ-Þ]{3,}")
 _MARKS = re.compile(r"[!?]{2,}")
 _SIGNS = re.compile(r"[#$%&*@~^|<>]")
-_MASKED = re.compile(r"[^\W\d_][@$*!|0-9.-]+[^\W\d_]")
-_STRETCHED = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:[^\W\d_] ){3,}[^\W\d_](?!\S)")
-
-# Counted per token (capitals: letters), in this order, then over the whole text.
-_COUNTED = ("capitals", "shouts", "exclamations", "questions", "marks", "signs", "masked",
-            "masked_hits")
-_ONE_CAPITAL = (1,) + (0,) * (len(_COUNTED) - 1)
+_MASKED = re.compile(r"[@$*!|0-9]+[^\W\d_]")
+_INNER = re.compile(r"(?<=[^\W\d_])[@$*!|0-9]+(?=[^\W\d_])")
+_STRETCHED = re.compile(r"(.)\1\1")
+_SPACED = re.compile(r" [^\W\d_] [^\W\d_] [^\W\d_] [^\W\d_]\b")
+
 FEATURES = (
     "strong_density", "hit_density", "weight_density", "top_weight", "units", "hits",
-    "you_near", "you_close_share", "you_rate", *_COUNTED, "stretched", "spaced", "words", "word_length",
-    "distinct", "top_share")
+    "you_near", "you_close_share", "you_rate", "capitals", "shouts", "exclamations",
+    "questions", "marks", "signs", "masked", "masked_hits", "stretched", "spaced", "words",
+    "word_length", "distinct", "top_share")
 
 
 @dataclass
@@ -115,50 +113,35 @@ def _cached(f: Callable, size: int = 100_000) -> Callable:
 
 def _featurer(lexicon: dict[str, float]) -> Callable[[str | None], list[float]]:
     heads = {u.lstrip("^")[:3] for u in lexicon}
-    units = _cached(lambda word: max(lexicon.get(u, 0.0) for u in _units(word)))
-
-    def weight(word: str) -> float:
-        return units(word) if word[:3] in heads else 0.0
-
-    def shape(token: str) -> tuple[Sequence[str], tuple | None]:
-        """The token's words, and its counts where any is not zero."""
-        plain = token.rstrip(",.;:")
-        if plain.isalpha():
-            if plain.islower():
-                return (plain,), None
-            if plain[1:].islower():
-                return (plain.lower(),), _ONE_CAPITAL
-        capitals = len(_CAPITAL.findall(token))
-        masked = _MASKED.search(token) is not None
-        opened = _WORD.findall(token.lower().translate(LOOKALIKE)) if masked else ()
-        counts = (capitals, capitals > 2 and token.isupper(), token.count("!"), token.count("?"),
-                  len(_MARKS.findall(token)), len(_SIGNS.findall(token)), masked,
-                  any(weight(w) > 0 for w in opened))
-        return _WORD.findall(token.lower()), counts if any(counts) else None
+    weight = _cached(lambda word: max(lexicon.get(u, 0.0) for u in _units(word)))
 
     def features(text):
-        tokens = (text or "").split()
-        counts, sums, letters = Counter(), [0] * len(_COUNTED), 0
-        for token, n in Counter(tokens).items():
-            words, odd = shape(token)
-            for word in words:
-                counts[word] += n
-            if odd:
-                sums = [s + n * x for s, x in zip(sums, odd)]
-        if not counts:
+        words = _WORD.findall((text or "").lower())
+        if not words:
             return [0.0] * len(FEATURES)
-        n = sum(counts.values())
-        found = {w: x for w, x in ((w, weight(w)) for w in counts) if x > 0}
+        n, counts, letters = len(words), Counter(words), sum(map(len, words))
+        met = [w for w in counts if w[:3] in heads]
+        found = {w: x for w, x in zip(met, map(weight, met)) if x > 0}
         hits, you = sum(counts[w] for w in found), sum(counts[w] for w in SECOND_PERSON)
-        letters = sum(len(w) * k for w, k in counts.items())
-        near, close = _nearness([w for t in tokens for w in shape(t)[0]], found) if hits and you else (0.0, 0)
+        near, close = _nearness(words, found) if hits and you else (0.0, 0)
+        masked = [text[max(0, m.start() - 20):m.end() + 20].lower() for m in _MASKED.finditer(text)
+                  if m.start() and text[m.start() - 1].isalpha()]
         return [
             sum(counts[w] for w, x in found.items() if x >= 2) / n, hits / n,
             sum(counts[w] * x for w, x in found.items()) / n, max(found.values(), default=0.0),
             log1p(len(found)), log1p(hits), near, close / max(hits, 1), you / n,
-            sums[0] / letters, *[s / n for s in sums[1:]],
-            len(_STRETCHED.findall(text)) / n, len(_SPACED.findall(text)) / n,
+            len(_CAPITAL.findall(text)) / letters, len(_SHOUT.findall(text)) / n,
+            text.count("!") / n, text.count("?") / n, len(_MARKS.findall(text)) / n,
+            len(_SIGNS.findall(text)) / n, len(masked) / n,
+            sum(_opened(m) for m in masked) / n,
+            sum(map(str.isalpha, _STRETCHED.findall(text))) / n, len(_SPACED.findall(text)) / n,
             log1p(n), letters / n, len(counts) / n, max(counts.values()) / n]
+
+    def _opened(around: str) -> bool:
+        """Whether a hit stands behind the signs near a masked place."""
+        clear = _INNER.sub(lambda m: m[0].translate(LOOKALIKE), around)
+        new = set(_WORD.findall(clear)) - set(_WORD.findall(around))
+        return any(w[:3] in heads and weight(w) > 0 for w in new)
     return features
 
 
@@ -265,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: int = TRAIN) -> Model:
     if min(bad, good) < LEAST:
         return Model({}, share=share)
     lexicons = learn_lexicon(rows)
-    made = _with_features(rows, lexicons, ["doc_id", "toxic", "calibrates"])
+    made = cut(_with_features(rows, lexicons, ["doc_id", "toxic", "calibrates"]))
     # ``train`` rows of a few numbers: one partition in a fixed order makes fits repeatable
     data = cut(made.select("calibrates", F.col("toxic").cast("double").alias("label"),
                            array_to_vector("features").alias("features"), "doc_id")
