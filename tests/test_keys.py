@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tremor.operators.keys import assign_surrogate_keys
+from tremor.operators.keys import assign_surrogate_keys, number_keys
 
 
 def _keys(n=500, seed=7):
@@ -18,14 +18,14 @@ def _keys(n=500, seed=7):
 def test_dense_and_ordered(spark, in_parts, n_parts):
     rows = _keys()
     df = spark.createDataFrame(rows, "a string, b double, c int").repartition(in_parts)
-    for small in (None, 10_000):
-        out = assign_surrogate_keys(df, ["a", "b", "c"], "k", start=100,
-                                    num_partitions=n_parts, small_rows=small)
+    for n in (n_parts, None):
+        out, highest = number_keys(df, ["a", "b", "c"], "k", start=100, num_partitions=n)
         got = sorted((r["k"], (r["a"], r["b"], r["c"])) for r in out.collect())
         assert got == [(100 + i + 1, key) for i, key in enumerate(rows)]
+        assert highest == 100 + len(rows)
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "a string")
     assert assign_surrogate_keys(df, ["a"], "k").count() == 0
-    assert assign_surrogate_keys(df, ["a"], "k", small_rows=None).count() == 0
+    assert number_keys(df, ["a"], "k", start=7)[1] == 7

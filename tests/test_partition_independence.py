@@ -48,8 +48,8 @@ def test_semi_join_prefilter_equals_plain_anti_join(spark, final_rows):
     keys = ["earthquake_id"]
     existing = final_rows.where("mag < 3").select(*keys)
     cands = final_rows.select(*keys)
-    a = sorted(r[0] for r in new_rows(cands, existing, keys, broadcast_rows=10**9).collect())
-    b = sorted(r[0] for r in new_rows(cands, existing, keys, broadcast_rows=0).collect())
+    a = sorted(r[0] for r in new_rows(cands, existing, keys, broadcast_bytes=10**9).collect())
+    b = sorted(r[0] for r in new_rows(cands, existing, keys, broadcast_bytes=0).collect())
     assert a == b and len(a) > 0
 
 

@@ -19,10 +19,17 @@ def test_salted_shuffle_spatial_join_equals_broadcast(spark, sf_mid):
     assert len(ra) == 6659
 
 
-def test_range_partitioned_keys_equal_window_keys(spark, sf_small):
-    stg = pipeline.staging_events(event_view(spark, sf_small), fixture_county_edges(spark))
+def test_many_key_ranges_equal_few(spark, sf_small):
+    stg = pipeline.staging_events(event_view(spark, sf_small), fixture_county_edges(spark)).checkpoint()
     small = Warehouse(spark).load_all(stg)
-    big = Warehouse(spark, key_small_rows=None, parallel=1).load_all(stg)
+    saved = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = Warehouse(spark, parallel=1).load_all(stg)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", saved)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for name in ("location", "seismic_metrics", "time_dim", "location_dim", "earthquake",
                  "earthquake_fact"):
         assert _rows(small.table(name)) == _rows(big.table(name)), name

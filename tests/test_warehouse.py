@@ -1,5 +1,7 @@
 """Warehouse invariants: idempotent insert-only loads, clean checks, 1:1 joins."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +161,91 @@ def test_revised_redelivery_leaves_no_unreferenced_rows(spark, sf_small, tmp_pat
         assert {t: wh.table(t).count() for t in tables} == first
         seen.append(sorted(map(str, wh.table("staging_events").collect())))
     assert seen[0] == seen[1]
+
+
+def _contents(wh):
+    return {t: sorted(map(str, wh.table(t).collect())) for t in TABLES}
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.fixture(scope="module")
+def two_batches(spark, built, tmp_path_factory):
+    """A few events, the folder after the first of two batches, the tables after both."""
+    _, stg = built
+    few = stg.orderBy("earthquake_id").limit(80).checkpoint()
+    early = few.where(F.year("time") < 1997)
+    root = tmp_path_factory.mktemp("wh")
+    Warehouse(spark, str(root / "early")).load_batch(early)
+    shutil.copytree(root / "early", root / "clean")
+    return few, root, _contents(Warehouse(spark, str(root / "clean")).load_batch(few))
+
+
+@pytest.mark.parametrize("stop", ["after_staging", "half_dimension", "before_star", "half_fact",
+                                  "before_manifest"])
+def test_batch_that_dies_leaves_nothing_and_runs_again(spark, two_batches, tmp_path, monkeypatch, stop):
+    """A rerun equals one clean load, keys included; readers never see the dead batch."""
+    from tremor.plans import warehouse as W
+    stg, source, clean = two_batches
+    root = str(tmp_path / "dying")
+    shutil.copytree(source / "early", root)
+    before = _contents(Warehouse.open(spark, root))
+
+    def die(*a, **k):
+        raise Stopped
+    with monkeypatch.context() as m:
+        real = Warehouse.append
+        if stop == "after_staging":
+            m.setattr(Warehouse, "load_reconciled", die)
+        elif stop == "before_star":
+            m.setattr(Warehouse, "load_star", die)
+        elif stop == "before_manifest":
+            m.setattr(W, "publish_text", die)
+        else:
+            victim = "seismic_metrics" if stop == "half_dimension" else "earthquake_fact"
+
+            def half(self, name, rows, highest=None):
+                if name == victim:          # some files of the folder are there, then the end
+                    real(self, name, rows.limit(5), highest)
+                    raise Stopped
+                return real(self, name, rows, highest)
+            m.setattr(Warehouse, "append", half)
+        with pytest.raises(Stopped):
+            Warehouse.open(spark, root).load_batch(stg)
+    assert _contents(Warehouse.open(spark, root)) == before
+    again = Warehouse.open(spark, root).load_batch(stg)
+    assert _contents(again) == _contents(Warehouse.open(spark, root)) == clean
+
+
+def test_second_writer_fails_to_publish(spark, built, tmp_path):
+    _, stg = built
+    one, two = (Warehouse(spark, str(tmp_path / "wh")) for _ in range(2))
+    with pytest.raises(Exception, match="publish|exist"):
+        with two.batch():
+            two.append("status_dim", stg.select("status", "type").distinct())
+            one.load_staging(stg.limit(20))
+    assert Warehouse.open(spark, one.root).has("staging_events")
+    assert not Warehouse.open(spark, one.root).has("status_dim")
+
+
+def test_a_batch_reads_only_the_months_of_its_ids(built):
+    wh, stg = built
+    few = stg.where("year(time) = 1997 AND month(time) = 3").checkpoint()
+    months = wh.stored_months(few)
+    assert months == [(1997, 3)]
+    plan = wh.staged(few, months)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "event_year" in plan.split("PartitionFilters: [")[1][:120]
+    files = wh.table("earthquake_fact", months).inputFiles()
+    assert files and all("event_year=1997/event_month=3" in f for f in files)
+    assert len(files) < len(wh.table("earthquake_fact").inputFiles())
+    # a revised time does not hide the stored month
+    moved = few.withColumn("time", F.col("time") + F.expr("INTERVAL 400 DAYS"))
+    assert wh.stored_months(moved) == [(1997, 3)]
+
+
+def test_keys_start_after_the_stored_highest(built):
+    wh, _ = built
+    for name, (id_col, _) in S.KEYS.items():
+        assert wh.highest_key(name) == wh.table(name).agg(F.max(id_col)).first()[0], name

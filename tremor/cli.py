@@ -92,7 +92,8 @@ def cmd_profile(spark: SparkSession, args) -> None:
 
 def cmd_olap(spark: SparkSession, args) -> None:
     wh = Warehouse.open(spark, args.warehouse)
-    fact, loc, tim = wh.table("earthquake_fact"), wh.table("location_dim"), wh.table("time_dim")
+    fact = wh.table("earthquake_fact", with_month=True)
+    loc, tim = wh.table("location_dim"), wh.table("time_dim")
     _emit("top_states", _rows(olap.top_states(fact, loc)))
     _emit("monthly_trend", _rows(olap.monthly_trend(fact, tim)))
     _emit("region_activity", _rows(olap.region_activity(fact, loc, tim, args.min_year)))

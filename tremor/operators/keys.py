@@ -1,76 +1,72 @@
 """Surrogate keys (W1): dense integers in natural-key order, at any scale.
 
 A global ``row_number() OVER (ORDER BY key)`` would pull the whole table
-into one task.  Instead:
+into one task.  Instead, and for every size alike:
 
 1. range-partition the (distinct) natural keys and sort inside partitions,
-   so partition *i* holds keys smaller than partition *i+1*;
-2. checkpoint that result to the shared checkpoint folder, so its partition
-   layout is fixed (range sampling is not repeatable on recompute, and the
-   checkpoint also survives executor loss);
-3. tag rows with ``monotonically_increasing_id`` (partition index in the
-   upper bits, position in the lower 33 bits);
-4. count rows per partition (one small aggregate: one row per partition),
-   turn counts into offsets with a window over those few rows and broadcast
-   them (size bounded by the partition count, not the data);
-5. key = start + offset(partition) + position + 1.
-
-The result does not depend on the input partitioning: keys follow the
-natural-key order, so repeated runs and different cluster sizes agree.
-
-Small inputs take a shorter path: the new keys are counted first (one job)
-and, when the count is within ``small_rows``, numbered by one ordered window
-in a single task.  That task's size is bounded by the measured count, the
-same way a broadcast is bounded by a checked size; anything larger goes
-through the range-partitioned path above.
+   so partition *i* holds keys smaller than partition *i+1*; adaptive
+   execution picks the number of partitions from the measured bytes;
+2. write that result once to the shared folder with each row's
+   ``monotonically_increasing_id`` (partition index in the upper bits,
+   position in the lower 33): the layout is now a fact on storage and cannot
+   change under a recompute (range sampling is not repeatable);
+3. count rows per partition (one row per partition) and turn the counts into
+   offsets;
+4. key = start + offset(partition) + position + 1.
+
+The keys follow the natural-key order, so they do not depend on the input
+partitioning, and repeated runs and different cluster sizes agree.  The
+number of keys, and with it the highest one, comes out of step 3: nobody has
+to scan the table for its maximum afterwards.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.session import ensure_checkpoint_dir, shuffle_partitions
+from tremor.functions.tables import local_table
+from tremor.session import scratch_path
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-SMALL_ROWS = 200_000
-# Target rows per range partition on the scalable path (natural keys are a
-# few hundred bytes at most, so a partition stays in the hundreds of MB).
-ROWS_PER_PARTITION = 2_000_000
+def write_ordered(df: DataFrame, order: list[str], num_partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``, written once, with ``_mid`` and ``_pid``."""
+    spark = df.sparkSession
+    cols = [F.col(c).asc() for c in order]
+    placed = df.repartitionByRange(num_partitions, *cols) if num_partitions \
+        else df.repartitionByRange(*cols)
+    path = scratch_path(spark, "ranks")
+    placed.sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id()) \
+        .write.parquet(path)
+    return spark.read.parquet(path).withColumn("_pid", F.shiftright("_mid", _POS_BITS))
 
 
-def assign_surrogate_keys(df: DataFrame, key_cols: list[str], id_col: str,
-                          start: int = 0, num_partitions: int | None = None,
-                          small_rows: int | None = SMALL_ROWS) -> DataFrame:
-    """Add ``id_col`` = start + rank of the natural key (dense, 1-based).
+def number_keys(df: DataFrame, key_cols: list[str], id_col: str, start: int = 0,
+                num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` with ``id_col`` = start + rank of the natural key (dense, 1-based), and the highest.
 
-    ``df`` must already be distinct on ``key_cols``.  ``small_rows=None``
-    always takes the range-partitioned path.
+    ``df`` must already be distinct on ``key_cols``.
     """
-    rows = df.count() if small_rows is not None or num_partitions is None else None
-    if small_rows is not None and rows <= small_rows:
-        order = Window.orderBy(*[F.col(c).asc() for c in key_cols])
-        key = F.lit(int(start)) + F.row_number().over(order)
-        return df.select(key.cast("long").alias(id_col), *df.columns)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or max(shuffle_partitions(spark), -(-rows // ROWS_PER_PARTITION))
-    ordered = (df.repartitionByRange(n, *[F.col(c).asc() for c in key_cols])
-               .sortWithinPartitions(*key_cols)
-               .checkpoint(eager=True))
-    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()) \
-                    .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    tagged = write_ordered(df, key_cols, num_partitions)
+    counts = [tuple(r) for r in tagged.groupBy("_pid").agg(F.count(F.lit(1))).orderBy("_pid").collect()]
+    sums = list(accumulate((n for _, n in counts), initial=0))
+    offsets = local_table(df.sparkSession, [(p, b) for (p, _), b in zip(counts, sums)],
+                          [("_pid", "bigint"), ("_before", "bigint")])
+    # one row per partition: bounded by the partition count, not by the data
     keyed = tagged.join(F.broadcast(offsets), "_pid")
-    key: Column = (F.lit(int(start)) + F.col("_off")
-                   + F.col("_mid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(1))
-    return keyed.select(key.cast("long").alias(id_col), *df.columns)
+    key = F.lit(int(start)) + F.col("_before") + F.col("_mid").bitwiseAND(F.lit(_POS_MASK)) + 1
+    return keyed.select(key.cast("long").alias(id_col), *df.columns), int(start) + sums[-1]
+
+
+def assign_surrogate_keys(df: DataFrame, key_cols: list[str], id_col: str, start: int = 0,
+                          num_partitions: int | None = None) -> DataFrame:
+    """``number_keys`` without the highest key."""
+    return number_keys(df, key_cols, id_col, start, num_partitions)[0]
 
 
 def max_key(df: DataFrame | None, id_col: str) -> int:

@@ -13,7 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.operators.quantiles import exact_quantiles
+
 MEASURE = "magnitude"
+# Event month columns of a fact read with its folders.
+MONTH = ["event_year", "event_month"]
+QUARTILES = {"q_min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "q_max": 1.0}
 
 
 def _partials(df: DataFrame, keys: list[str], measure: str = MEASURE,
@@ -33,6 +38,20 @@ def _finals(round_to: int = 6) -> list[Column]:
             F.sum("_big").cast("long").alias("major_earthquakes")]
 
 
+def _per_month(fact: DataFrame, time_dim: DataFrame, keys: list[str]) -> DataFrame:
+    """Partial measures per ``keys, year, month``.
+
+    A fact that knows its event month (``Warehouse.table(with_month=True)``:
+    the folder it is stored in) needs no time join at all.  Otherwise it is
+    aggregated per time key first.
+    """
+    if set(MONTH) <= set(fact.columns):
+        named = fact.withColumnsRenamed(dict(zip(MONTH, ("year", "month"))))
+        return _partials(named, [*keys, "year", "month"])
+    return (_partials(fact, [*keys, "time_id"])
+            .join(time_dim.select("time_id", "year", "month"), "time_id"))
+
+
 def top_states(fact: DataFrame, location_dim: DataFrame, k: int = 10) -> DataFrame:
     """A11 + C6: events per state, top ``k`` (ties by state name)."""
     per_loc = fact.groupBy("location_id").agg(F.count(F.lit(1)).alias("_n"))
@@ -43,8 +62,7 @@ def top_states(fact: DataFrame, location_dim: DataFrame, k: int = 10) -> DataFra
 
 def monthly_trend(fact: DataFrame, time_dim: DataFrame) -> DataFrame:
     """Events and mean magnitude per (year, month), in calendar order."""
-    per_t = _partials(fact, ["time_id"])
-    per_m = (per_t.join(time_dim.select("time_id", "year", "month"), "time_id")
+    per_m = (_per_month(fact, time_dim, [])
              .groupBy("year", "month")
              .agg(F.sum("_n").cast("long").alias("earthquake_count"),
                   F.round(F.sum("_s") / F.sum("_n"), 6).alias("avg_magnitude")))
@@ -54,10 +72,18 @@ def monthly_trend(fact: DataFrame, time_dim: DataFrame) -> DataFrame:
 def region_activity(fact: DataFrame, location_dim: DataFrame, time_dim: DataFrame,
                     min_year: int = 2020, threshold: float = 5.0) -> DataFrame:
     """A13 + P14: per region count, mean, max and count above ``threshold``
-    for events from ``min_year`` on."""
-    times = time_dim.where(F.col("year") >= min_year).select("time_id")
-    recent = fact.join(times, "time_id", "left_semi")
-    per_loc = _partials(recent, ["location_id"], threshold=threshold)
+    for events from ``min_year`` on.
+
+    With the event month at hand the year prunes folders; without it the fact
+    is aggregated per (location, time) before it meets the time dimension.
+    """
+    if set(MONTH) <= set(fact.columns):
+        per_loc = _partials(fact.where(F.col(MONTH[0]) >= min_year), ["location_id"],
+                            threshold=threshold)
+    else:
+        times = time_dim.where(F.col("year") >= min_year).select("time_id")
+        per_loc = _partials(fact, ["location_id", "time_id"], threshold=threshold) \
+            .join(times, "time_id", "left_semi")
     return (per_loc.join(location_dim.select("location_id", "region"), "location_id")
             .groupBy("region")
             .agg(F.sum("_n").cast("long").alias("total_earthquakes"),
@@ -92,22 +118,27 @@ def drill_down(fact: DataFrame, location_dim: DataFrame, path: dict[str, str],
 
 def drill_down_dim(fact: DataFrame, dim: DataFrame, key: str, path: dict, level: str,
                    derived: dict | None = None) -> DataFrame:
-    """O3 on any dimension: filter the dimension on ``path``, keep the facts
-    of the remaining keys (semi join), aggregate them per key, then per
-    ``level``.  ``derived`` adds computed levels to the dimension first (for
-    example the hour of ``full_timestamp``, which the time dimension does not
-    store)."""
+    """O3 on any dimension: aggregate the facts per key, join the dimension
+    rows that lie on ``path``, then aggregate per ``level``.  ``derived`` adds
+    computed levels to the dimension first (for example the hour of
+    ``full_timestamp``, which the time dimension does not store)."""
     dims = dim.withColumns(derived or {})
     for col, value in path.items():
         dims = dims.where(F.col(col) == value)
-    per_key = _partials(fact.join(dims.select(key), key, "left_semi"), [key])
-    return (per_key.join(dims.select(key, *path.keys(), level), key)
+    return (_partials(fact, [key]).join(dims.select(key, *path.keys(), level), key)
             .groupBy(*path.keys(), level).agg(*_finals()))
 
 
 def drill_down_time(fact: DataFrame, time_dim: DataFrame, path: dict[str, int],
                     level: str) -> DataFrame:
-    """O3 (time): year -> quarter -> month -> day -> hour."""
+    """O3 (time): year -> quarter -> month -> day -> hour.
+
+    A year or month on the path prunes the folders of a fact that knows its
+    event month.
+    """
+    for column, name in zip(MONTH, ("year", "month")):
+        if column in fact.columns and name in path:
+            fact = fact.where(F.col(column) == path[name])
     hour = {"hour": F.hour("full_timestamp")} if level == "hour" or "hour" in path else None
     return drill_down_dim(fact, time_dim, "time_id", path, level, hour)
 
@@ -228,9 +259,8 @@ def monthly_change(fact: DataFrame, location_dim: DataFrame, time_dim: DataFrame
     The window runs over the aggregated (region, year, month) table, whose
     size is regions x months, never over events.
     """
-    per = _partials(fact, ["location_id", "time_id"])
-    monthly = (per.join(location_dim.select("location_id", "region"), "location_id")
-               .join(time_dim.select("time_id", "year", "month"), "time_id")
+    monthly = (_per_month(fact, time_dim, ["location_id"])
+               .join(location_dim.select("location_id", "region"), "location_id")
                .groupBy("region", "year", "month")
                .agg(F.sum("_n").cast("long").alias("earthquake_count")))
     w = Window.partitionBy("region").orderBy("year", "month")
@@ -242,21 +272,14 @@ def monthly_change(fact: DataFrame, location_dim: DataFrame, time_dim: DataFrame
                           .alias("change_ratio"))
 
 
-def magnitude_quantiles(fact: DataFrame, location_dim: DataFrame,
-                        accuracy: int = 1_000_000) -> DataFrame:
-    """Box-plot quantiles of magnitude per region.
+def magnitude_quantiles(fact: DataFrame, location_dim: DataFrame) -> DataFrame:
+    """Box-plot quantiles of magnitude per region, exact at any size.
 
-    ``percentile_approx`` keeps a bounded sketch per group, never the whole
-    group; it is exact while a group has fewer values than ``accuracy``.
+    The fact is counted per (location, magnitude) before the dimension join.
     """
-    joined = fact.select("location_id", "magnitude") \
-                 .join(location_dim.select("location_id", "region"), "location_id")
-    qs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    names = ["q_min", "q1", "median", "q3", "q_max"]
-    p = F.percentile_approx("magnitude", qs, accuracy)
-    return (joined.groupBy("region").agg(p.alias("_q"), F.count(F.lit(1)).alias("n"))
-            .select("region", F.col("n").cast("long").alias("n"),
-                    *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]))
+    per_loc = fact.groupBy("location_id", "magnitude").agg(F.count(F.lit(1)).alias("_n"))
+    joined = per_loc.join(location_dim.select("location_id", "region"), "location_id")
+    return exact_quantiles(joined, ["region"], "magnitude", QUARTILES, weight="_n")
 
 
 def source_quality(earthquake: DataFrame, data_source: DataFrame,

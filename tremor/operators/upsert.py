@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.operators.keys import assign_surrogate_keys, max_key
+from tremor.session import broadcast_budget, measured_bytes
 
 
 def new_rows(candidates: DataFrame, existing: DataFrame | None, key_cols: list[str],
-             dedup: str = "distinct", broadcast_rows: int | None = None) -> DataFrame:
+             dedup: str = "distinct", broadcast_bytes: int | None = None) -> DataFrame:
     """Candidate rows whose key is not yet present.
 
     ``dedup="distinct"`` is ``SELECT DISTINCT`` over all candidate columns
@@ -24,8 +25,8 @@ def new_rows(candidates: DataFrame, existing: DataFrame | None, key_cols: list[s
 
     A left anti join can only broadcast its right side, so a plain anti join
     of a small batch against a large table shuffles the whole table on every
-    load.  When the batch's distinct keys are measured to be few
-    (``broadcast_rows``, default from the broadcast threshold), the existing
+    load.  When the batch's distinct keys are measured to be few bytes
+    (``broadcast_bytes``, default the broadcast threshold), the existing
     keys are first reduced by a semi join against the *broadcast batch keys*
     (a scan, no shuffle of the table); the anti join then runs against that
     small remainder.
@@ -33,52 +34,30 @@ def new_rows(candidates: DataFrame, existing: DataFrame | None, key_cols: list[s
     rows = candidates.distinct() if dedup == "distinct" else candidates.dropDuplicates(key_cols)
     if existing is None:
         return rows
-    old_keys = restrict_to_batch(existing.select(*key_cols), rows, key_cols, broadcast_rows)
+    old_keys = restrict_to_batch(existing.select(*key_cols), rows, key_cols, broadcast_bytes)
     return rows.join(old_keys, on=key_cols, how="left_anti")
 
 
 def restrict_to_batch(table: DataFrame, batch: DataFrame, key_cols: list[str],
-                      broadcast_rows: int | None = None) -> DataFrame:
+                      broadcast_bytes: int | None = None) -> DataFrame:
     """Rows of a large ``table`` whose key occurs in ``batch``, found without
-    shuffling the table when the batch's distinct keys are measured to be few.
+    shuffling the table when the batch's distinct keys are measured to be small.
 
-    The batch keys are counted (one job over the batch); within the budget
-    they are broadcast and the table is only scanned (map-side semi join).
-    Otherwise the table is returned whole and the join that follows is a
-    regular shuffle join.
+    The bytes of the batch's distinct keys are summed (one job over the
+    batch); within the budget they are broadcast and the table is only
+    scanned (map-side semi join).  Otherwise the table is returned whole and
+    the join that follows is a regular shuffle join.
     """
-    limit = broadcast_rows if broadcast_rows is not None else _broadcast_rows(batch, key_cols)
+    limit = broadcast_bytes if broadcast_bytes is not None \
+        else broadcast_budget(table.sparkSession)
     if limit <= 0:
         return table
     batch_keys = batch.select(*key_cols).distinct()
-    if batch_keys.count() > limit:
+    if measured_bytes(batch_keys) > limit:
         return table
     return table.join(F.broadcast(batch_keys), on=key_cols, how="left_semi")
 
 
-def _broadcast_rows(df: DataFrame, key_cols: list[str]) -> int:
-    spark = df.sparkSession
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).rstrip("bB")
-    try:
-        budget = int(raw)
-    except ValueError:
-        budget = 10 * 1024 * 1024
-    if budget <= 0:
-        return 0
-    row_bytes = sum(_field_bytes(df.schema[c].dataType) for c in key_cols) + 16
-    return budget // row_bytes
-
-
-def _field_bytes(dtype) -> int:
-    """Rough in-memory size of one value (strings: a typical short label)."""
-    name = dtype.typeName()
-    if name in ("string", "binary"):
-        return 32
-    if name in ("integer", "float", "date"):
-        return 4
-    return 8
-
-
 def insert_only(candidates: DataFrame, existing: DataFrame | None, key_cols: list[str],
                 id_col: str | None = None, dedup: str = "distinct") -> tuple[DataFrame, DataFrame]:
     """Returns ``(table_after_insert, inserted_rows)``.

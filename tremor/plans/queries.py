@@ -214,6 +214,46 @@ def q_upsert_insert_only(spark, sf):
     return wh.table("location")
 
 
+def _star_rows(wh: Warehouse) -> DataFrame:
+    """The star by natural keys: fact rows with their time and place, and their 3NF metrics."""
+    events = wh.table("earthquake").select("earthquake_id", "updated", "seismic_metrics_id")
+    metrics = wh.table("seismic_metrics").select("seismic_metrics_id", "gap")
+    places = wh.table("location_dim").select("location_id", "state", "county", "latitude", "longitude")
+    return (wh.table("earthquake_fact")
+            .join(places, "location_id")
+            .join(wh.table("time_dim").select("time_id", "full_timestamp"), "time_id")
+            .join(events.join(metrics, "seismic_metrics_id"), "earthquake_id")
+            .select("earthquake_id", "full_timestamp", "updated", "state", "county", "latitude",
+                    "longitude", "magnitude", "depth", "gap"))
+
+
+def _revised(stg: DataFrame) -> DataFrame:
+    """The same events as delivered again after a review."""
+    later = F.expr("INTERVAL 40 DAYS")
+    return stg.withColumns({"mag": F.col("mag") + 1, "gap": F.col("gap") + 1,
+                            "updated": F.col("updated") + later, "time": F.col("time") + later})
+
+
+def q_upsert_revised(spark, sf):
+    """Events before the split, then every event in a revised version.
+
+    What is stored keeps its first version in every layer, even where the
+    revised time lies in another month; the rest comes in revised.
+    """
+    stg = staging(spark, sf)
+    wh = Warehouse(spark)
+    wh.load_batch(stg.where(F.col("time") < F.lit(BATCH_SPLIT).cast(stg.schema["time"].dataType)))
+    wh.load_batch(_revised(stg))
+    return _star_rows(wh)
+
+
+def q_upsert_duplicates(spark, sf):
+    """A2: one delivery that holds every event twice, the second time revised."""
+    stg = staging(spark, sf)
+    wh = Warehouse(spark).load_batch(_revised(stg).unionByName(stg))
+    return _star_rows(wh)
+
+
 def q_check_unique(spark, sf):
     wh = warehouse(spark, sf)
     checks = [("staging_events", S.STAGING_KEY)]
@@ -348,12 +388,12 @@ def q_olap_top_states(spark, sf):
 
 def q_olap_monthly(spark, sf):
     wh = warehouse(spark, sf)
-    return olap.monthly_trend(wh.table("earthquake_fact"), wh.table("time_dim"))
+    return olap.monthly_trend(wh.table("earthquake_fact", with_month=True), wh.table("time_dim"))
 
 
 def q_olap_regions(spark, sf):
     wh = warehouse(spark, sf)
-    return olap.region_activity(wh.table("earthquake_fact"), wh.table("location_dim"),
+    return olap.region_activity(wh.table("earthquake_fact", with_month=True), wh.table("location_dim"),
                                 wh.table("time_dim"), min_year=OLAP_MIN_YEAR)
 
 
@@ -381,7 +421,7 @@ def q_drill_down_county(spark, sf):
 
 def q_drill_down_time(spark, sf):
     wh = warehouse(spark, sf)
-    return olap.drill_down_time(wh.table("earthquake_fact"), wh.table("time_dim"),
+    return olap.drill_down_time(wh.table("earthquake_fact", with_month=True), wh.table("time_dim"),
                                 {"year": 1997, "month": 3}, "day")
 
 
@@ -441,7 +481,7 @@ def q_completeness(spark, sf):
 
 def q_monthly_change(spark, sf):
     wh = warehouse(spark, sf)
-    return olap.monthly_change(wh.table("earthquake_fact"), wh.table("location_dim"),
+    return olap.monthly_change(wh.table("earthquake_fact", with_month=True), wh.table("location_dim"),
                                wh.table("time_dim"))
 
 
@@ -488,6 +528,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_status_dim": _t("status_dim"),
     "load_fact": _t("earthquake_fact"),
     "upsert_insert_only": q_upsert_insert_only,
+    "upsert_revised": q_upsert_revised,
+    "upsert_duplicates": q_upsert_duplicates,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
     "quarantine_nulls": q_quarantine_nulls,

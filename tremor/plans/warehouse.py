@@ -1,11 +1,16 @@
 """Warehouse loads: staging -> 3NF store (W3-W7) -> star schema.
 
-Every load is insert-only (``tremor.operators.upsert``) and every table is
-*published*: written to a new folder under the shared checkpoint folder and
-read back before anything depends on it.  That fixes surrogate keys (they
-cannot change under a recompute), cuts lineage, and lets a second batch read
-the current version while writing the next one (Spark cannot overwrite a
-table it is reading).
+Every load is insert-only (``tremor.operators.upsert``).  An insert writes its
+new rows as one more folder of its table; what a batch wrote becomes visible
+all at once, when the batch's *manifest* is published as its last step.  A
+manifest names, for every table, the folders that count, the stored schema and
+the highest surrogate key.  Readers open only what the last manifest names,
+so a batch that dies half-way leaves nothing behind that anyone reads: its
+folders are written over when the batch is run again.
+
+Events are stored by event month, and ``event_month`` (U2's index) knows the
+month of every stored id.  A batch therefore scans the ids of that index, and
+of the event tables only the months that hold its ids.
 
 Join strategy: dimension tables that grow with the events (location,
 time) are never forced into a broadcast; AQE converts a join to a broadcast
@@ -18,7 +23,11 @@ of once per join in the reference's chain.
 from __future__ import annotations
 
 import json
+import re
+import threading
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from copy import deepcopy
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,36 +35,155 @@ from pyspark.sql import types as T
 
 from tremor import schemas as S
 from tremor.functions.numeric import to_int_half_even
-from tremor.operators.keys import SMALL_ROWS, assign_surrogate_keys, max_key
+from tremor.operators.keys import number_keys
 from tremor.operators.upsert import new_rows, restrict_to_batch
 from tremor.operators.validate import require_not_null
 from tremor.plans.pipeline import STAGING_ORDER, first_per_key
-from tremor.session import list_names, read_text, scratch_path, write_text
+from tremor.session import list_names, publish_text, read_text, scratch_path
 
 
-# Tables written in (event year, event month) folders inside each batch, so
-# an incremental load reads the months of its batch instead of the history.
-# Table -> timestamp column the month comes from.
-MONTH_PARTITIONED = {"earthquake": "time"}
+# Tables stored in (event year, event month) folders, so a batch reads the
+# months it needs instead of the history.  Table -> timestamp column the month
+# comes from; a column with a leading underscore is not stored.
+MONTH_PARTITIONED = {"staging_events": "time", "earthquake": "time", "earthquake_fact": "_time"}
+MONTH = ["event_year", "event_month"]
+
+Months = list[tuple[int, int]]
 
 
 class Warehouse:
     """A set of published tables under one root folder.
 
-    Table ``t`` is the folder ``<root>/t`` holding one sub-folder
-    ``batch=NNNNN`` per insert; the layout on storage is the whole state, so a
-    restarted job (or the streaming refresh) re-opens a warehouse from its
-    root alone.  An insert writes only its new rows as one more batch folder:
-    a load never rewrites, or reads while overwriting, what is there.
+    ``<root>/<table>/batch=NNNNN/`` holds the rows of one insert,
+    ``<root>/_manifest/NNNNN.json`` what batch NNNNN left as the state of all
+    tables.  The layout on storage is the whole state, so a restarted job (or
+    the streaming refresh) re-opens a warehouse from its root alone.  One
+    writer at a time: a second one fails when it publishes its manifest.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, parallel: int = 4,
-                 key_small_rows: int | None = SMALL_ROWS):
+    def __init__(self, spark: SparkSession, root: str | None = None, parallel: int = 4):
         self.spark = spark
         self.root = (root or scratch_path(spark, "warehouse")).rstrip("/")
         self.parallel = max(int(parallel), 1)
-        self.key_small_rows = key_small_rows
+        self._open: dict | None = None          # state of the batch being written
+        self._known: tuple[str, dict] | None = None
+        self._lock = threading.Lock()
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> "Warehouse":
+        return cls(spark, root)
+
+    # -- state -----------------------------------------------------------------
+    def _committed(self) -> dict:
+        """State that the last published manifest describes."""
+        names = sorted(n for n in list_names(self.spark, f"{self.root}/_manifest")
+                       if re.fullmatch(r"\d+\.json", n))
+        if not names:
+            return {"batch": -1, "next": 0, "tables": {}}
+        if self._known is None or self._known[0] != names[-1]:
+            text = read_text(self.spark, f"{self.root}/_manifest/{names[-1]}")
+            self._known = (names[-1], json.loads(text))
+        return self._known[1]
+
+    def _state(self) -> dict:
+        return self._open if self._open is not None else self._committed()
+
+    @contextmanager
+    def batch(self):
+        """Everything appended inside becomes visible together, at the end.
+
+        Inside, this object sees what it has appended.  After an error the
+        tables are what they were; batches nest, the outermost one publishes.
+        """
+        if self._open is not None:
+            yield self
+            return
+        self._open = deepcopy(self._committed())
+        self._open["batch"] += 1
+        try:
+            yield self
+            publish_text(self.spark, f"{self.root}/_manifest/{self._open['batch']:05d}.json",
+                         json.dumps(self._open))
+        finally:
+            self._open = None
+
+    def has(self, name: str) -> bool:
+        return name in self._state()["tables"]
+
+    def highest_key(self, name: str) -> int:
+        """Highest surrogate key of a dimension (0 before its first load)."""
+        return self._state()["tables"].get(name, {}).get("highest", 0)
+
+    def table(self, name: str, months: Months | None = None, with_month: bool = False) -> DataFrame:
+        """Current contents of table ``name``.
 
+        ``months`` reads only those (year, month) folders of a table of
+        ``MONTH_PARTITIONED`` (partition pruning on the folder names, no other
+        files are opened); ``with_month`` keeps ``event_year, event_month``.
+        """
+        entry = self._state()["tables"].get(name)
+        if entry is None:
+            raise KeyError(f"table {name} has not been loaded")
+        return self._read(name, entry["folders"], months, with_month)
+
+    def _read(self, name: str, folders: list[int], months: Months | None = None,
+              with_month: bool = False) -> DataFrame:
+        schema = T.StructType.fromJson(self._state()["tables"][name]["schema"])
+        df = (self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+              .parquet(*[f"{self.root}/{name}/batch={n:05d}" for n in folders]))
+        if months is not None and name in MONTH_PARTITIONED:
+            by_year: dict[int, list[int]] = {}
+            for y, m in months:
+                by_year.setdefault(y, []).append(m)
+            cond = F.lit(False)
+            for y, ms in by_year.items():
+                cond = cond | ((F.col(MONTH[0]) == y) & F.col(MONTH[1]).isin(ms))
+            df = df.where(cond)
+        return df.drop("batch") if with_month else df.drop("batch", *MONTH)
+
+    def get(self, name: str, months: Months | None = None) -> DataFrame | None:
+        return self.table(name, months) if self.has(name) else None
+
+    def append(self, name: str, rows: DataFrame, highest: int | None = None) -> DataFrame:
+        """Write ``rows`` as a new folder of table ``name``; returns those rows as stored."""
+        with self.batch():
+            state = self._state()
+            entry = state["tables"].get(name)
+            if name in MONTH_PARTITIONED:
+                ts = MONTH_PARTITIONED[name]
+                rows = rows.withColumns({MONTH[0]: F.year(ts), MONTH[1]: F.month(ts)})
+                rows = rows.drop(ts) if ts.startswith("_") else rows
+            if entry is None:
+                fields = [T.StructField(f.name, f.dataType) for f in rows.schema.fields]
+                schema = T.StructType([*fields, T.StructField("batch", T.IntegerType())])
+                entry = {"folders": [], "schema": schema.jsonValue()}
+            rows = rows.select(*[f["name"] for f in entry["schema"]["fields"] if f["name"] != "batch"])
+            with self._lock:
+                number = state["next"]
+                state["next"] += 1
+            # No manifest names this folder yet: what a dead batch left in it goes.
+            path = f"{self.root}/{name}/batch={number:05d}"
+            if name in MONTH_PARTITIONED:
+                # rebalance: cluster rows by month so each month folder gets few
+                # files; AQE splits a month that is too large (a hot month) and
+                # merges small ones.
+                rows.hint("rebalance", *MONTH) \
+                    .write.mode("overwrite").partitionBy(*MONTH).parquet(path)
+            else:
+                rows.write.mode("overwrite").parquet(path)
+            with self._lock:
+                entry["folders"].append(number)
+                if highest is not None:
+                    entry["highest"] = highest
+                state["tables"][name] = entry
+            return self._read(name, [number])
+
+    def _months_of(self, rows: DataFrame, *cols) -> Months:
+        """Distinct (year, month) of ``rows``: as many as the calendar has, not as the data has."""
+        return sorted({(r[0], r[1]) for r in rows.select(*cols).distinct().collect()
+                       if r[0] is not None})
+
+    # -- loads -----------------------------------------------------------------
     def _load_dimensions(self, loads: list[tuple]) -> None:
         """Load independent dimensions as concurrent Spark jobs.
 
@@ -71,182 +199,136 @@ class Warehouse:
             for fut in [pool.submit(self._load_dimension, *args) for args in loads]:
                 fut.result()
 
-    @classmethod
-    def open(cls, spark: SparkSession, root: str) -> "Warehouse":
-        return cls(spark, root)
-
-    def _batches(self, name: str) -> list[str]:
-        return sorted(n for n in list_names(self.spark, f"{self.root}/{name}")
-                      if n.startswith("batch="))
-
-    def has(self, name: str) -> bool:
-        return bool(self._batches(name))
-
-    def table(self, name: str, months: list[tuple[int, int]] | None = None) -> DataFrame:
-        """Current contents of table ``name``.
-
-        ``months`` reads only those (year, month) partitions of a table
-        written with ``MONTH_PARTITIONED`` (partition pruning on the folder
-        names, no other files are opened).
-        """
-        reader = self.spark.read
-        stored = read_text(self.spark, self._schema_file(name)) \
-            if name in MONTH_PARTITIONED else None
-        if stored:
-            # an empty partitioned batch has no data file to infer from
-            reader = reader.schema(T.StructType.fromJson(json.loads(stored)))
-        df = reader.parquet(f"{self.root}/{name}")
-        if name in MONTH_PARTITIONED:
-            if months is not None:
-                cond = F.lit(False)
-                for y, m in months:
-                    cond = cond | ((F.col("_year") == y) & (F.col("_month") == m))
-                df = df.where(cond)
-            df = df.drop("_year", "_month")
-        return df.drop("batch")
-
-    def get(self, name: str) -> DataFrame | None:
-        return self.table(name) if self.has(name) else None
-
-    def append(self, name: str, rows: DataFrame) -> DataFrame:
-        """Write ``rows`` as a new batch folder of table ``name``."""
-        batches = self._batches(name)
-        nxt = int(batches[-1].split("=")[1]) + 1 if batches else 0
-        existing = self.get(name)
-        if existing is not None:
-            rows = rows.select(*existing.columns)
-        path = f"{self.root}/{name}/batch={nxt:05d}"
-        if name in MONTH_PARTITIONED:
-            ts = F.col(MONTH_PARTITIONED[name])
-            out = rows.withColumns({"_year": F.year(ts), "_month": F.month(ts)})
-            if existing is None:
-                full = T.StructType(out.schema.fields + [T.StructField("batch", T.IntegerType())])
-                write_text(self.spark, self._schema_file(name), json.dumps(full.jsonValue()))
-            # rebalance: cluster rows by month so each month folder gets few
-            # files; AQE splits a month that is too large (a hot month) and
-            # merges small ones.
-            out.hint("rebalance", "_year", "_month") \
-               .write.mode("errorifexists").partitionBy("_year", "_month").parquet(path)
-        else:
-            rows.write.mode("errorifexists").parquet(path)
-        return self.table(name)
-
-    def _schema_file(self, name: str) -> str:
-        return f"{self.root}/{name}/_schema.json"
-
     def _load_dimension(self, name: str, candidates: DataFrame, dedup: str = "distinct",
-                        derive=None) -> DataFrame:
+                        derive=None) -> None:
         id_col, key = S.KEYS[name]
-        existing = self.get(name)
-        fresh = new_rows(candidates, existing, key, dedup)
-        fresh = assign_surrogate_keys(fresh, key, id_col, start=max_key(existing, id_col),
-                                      small_rows=self.key_small_rows)
+        fresh = new_rows(candidates, self.get(name), key, dedup)
+        keyed, highest = number_keys(fresh, key, id_col, start=self.highest_key(name))
         if derive is not None:
-            fresh = derive(fresh)
-        return self.append(name, fresh)
+            keyed = derive(keyed)
+        self.append(name, keyed, highest)
 
-    def _load_facts(self, name: str, candidates: DataFrame) -> DataFrame:
-        fresh = new_rows(candidates, self.get(name), ["earthquake_id"], dedup="key")
-        return self.append(name, fresh)
+    def _load_facts(self, name: str, candidates: DataFrame, months: Months | None = None) -> None:
+        fresh = new_rows(candidates, self.get(name, months), ["earthquake_id"], dedup="key")
+        self.append(name, fresh)
 
     # -- staging ---------------------------------------------------------------
-    def load_staging(self, staging: DataFrame) -> DataFrame:
+    def load_staging(self, staging: DataFrame) -> None:
         """Append new staging rows (insert-only on ``earthquake_id``).
 
         Of rows that repeat an id in one batch the first in ``STAGING_ORDER`` is
-        taken, however the batch is partitioned.
+        taken, however the batch is partitioned.  Which ids are stored is read
+        from the index, not from the staging table.
         """
         first = first_per_key(staging, ["earthquake_id"], STAGING_ORDER)
-        return self._load_facts("staging_events", first)
+        with self.batch():
+            fresh = new_rows(first, self.get("event_month"), ["earthquake_id"], dedup="key")
+            self.append("staging_events", fresh)
+            number = self._state()["tables"]["staging_events"]["folders"][-1]
+            stored = self._read("staging_events", [number], with_month=True)
+            self.append("event_month", stored.select("earthquake_id", *[
+                F.col(c).alias(f"stored_{c}") for c in MONTH]))
+
+    def stored_months(self, rows: DataFrame) -> Months:
+        """Months that hold the staged events whose ids are in ``rows``."""
+        hits = restrict_to_batch(self.table("event_month"), rows, ["earthquake_id"])
+        hits = hits.join(rows.select("earthquake_id"), "earthquake_id", "left_semi")
+        return self._months_of(hits, *[f"stored_{c}" for c in MONTH])
+
+    def staged(self, rows: DataFrame, months: Months) -> DataFrame:
+        """The staged version of the events whose ids are in ``rows``."""
+        return self.table("staging_events", months=months).join(
+            rows.select("earthquake_id").distinct(), "earthquake_id", "left_semi")
 
     # -- 3NF -------------------------------------------------------------------
-    def load_reconciled(self, staging: DataFrame | None = None,
-                        validate: bool = True) -> DataFrame:
+    def load_reconciled(self, staging: DataFrame | None = None, validate: bool = True,
+                        months: Months | None = None) -> DataFrame:
         """W3-W7 from a staging batch (default: the published staging table).
 
+        ``months`` are the months that hold the batch's events (default: any).
         Returns the 3NF event rows of that batch (for a star load of just
         this batch).
         """
-        stg = staging if staging is not None else self.table("staging_events")
-        if validate:
-            require_not_null(stg, S.FINAL_COLUMNS)
-        # On the first load every row is new: none of the incremental
-        # narrowing below (each costs a small job) could reduce anything.
-        incremental = self.has("earthquake")
-        self._load_dimensions([("location", location_rows(stg)),
-                               ("magnitude_detail", magnitude_detail_rows(stg)),
-                               ("seismic_metrics", seismic_metrics_rows(stg)),
-                               ("data_source", data_source_rows(stg))])
-        # A monthly batch touches few locations: find them with a scan of the
-        # location table instead of shuffling all of it into the join.
-        location = self.table("location")
-        if incremental:
-            location = restrict_to_batch(location, location_rows(stg), S.LOCATION_KEY)
-        facts = earthquake_rows(stg, location, self.table("magnitude_detail"),
-                                self.table("seismic_metrics"), self.table("data_source"))
-        self._load_facts("earthquake", facts)
-        if not incremental:
-            return self.table("earthquake")
-        # The batch's stored events, read from the batch's months only.  An
-        # event stored under another month (a revised time) was star-loaded
-        # when it was first inserted, so the star load does not need it.
-        months = [(r[0], r[1]) for r in
-                  stg.select(F.year("time"), F.month("time")).distinct().collect()
-                  if r[0] is not None]
-        return self.table("earthquake", months=months).join(
-            stg.select("earthquake_id"), "earthquake_id", "left_semi")
+        with self.batch():
+            stg = staging if staging is not None else self.table("staging_events")
+            if validate:
+                require_not_null(stg, S.FINAL_COLUMNS)
+            # On the first load every row is new: none of the incremental
+            # narrowing below (each costs a small job) could reduce anything.
+            incremental = self.has("earthquake")
+            self._load_dimensions([("location", location_rows(stg)),
+                                   ("magnitude_detail", magnitude_detail_rows(stg)),
+                                   ("seismic_metrics", seismic_metrics_rows(stg)),
+                                   ("data_source", data_source_rows(stg))])
+            # A monthly batch touches few locations: find them with a scan of the
+            # location table instead of shuffling all of it into the join.
+            location = self.table("location")
+            if incremental:
+                location = restrict_to_batch(location, location_rows(stg), S.LOCATION_KEY)
+            facts = earthquake_rows(stg, location, self.table("magnitude_detail"),
+                                    self.table("seismic_metrics"), self.table("data_source"))
+            self._load_facts("earthquake", facts, months)
+            if not incremental:
+                return self.table("earthquake")
+            # The batch's stored events, from its months only.  An event that a
+            # caller hands over under another month (a revised time) was
+            # star-loaded when it was first inserted.
+            if months is None:
+                months = self._months_of(stg, F.year("time"), F.month("time"))
+            return self.table("earthquake", months=months).join(
+                stg.select("earthquake_id"), "earthquake_id", "left_semi")
 
     # -- star ------------------------------------------------------------------
-    def load_star(self, events: DataFrame | None = None) -> None:
-        """W8-W13 from the published 3NF tables.
+    def load_star(self, events: DataFrame | None = None, months: Months | None = None) -> None:
+        """W8-W13 from the 3NF tables.
 
-        With ``events`` (3NF event rows of one batch) the dimension
-        candidates are limited to what those events reference, so a monthly
-        batch reads the 3NF dimensions with a semi join instead of loading
-        every row as a candidate.
+        With ``events`` (3NF event rows of one batch, of ``months``) the
+        dimension candidates are limited to what those events reference, so a
+        monthly batch reads the 3NF dimensions with a semi join instead of
+        loading every row as a candidate.
         """
-        eq = events if events is not None else self.table("earthquake")
-        loc = self.table("location")
-        mag = self.table("magnitude_detail")
-        src = self.table("data_source")
-        if events is not None:
-            loc = loc.join(eq.select("location_id"), "location_id", "left_semi")
-            mag = mag.join(eq.select("magnitude_detail_id"), "magnitude_detail_id", "left_semi")
-            src = src.join(eq.select("data_source_id"), "data_source_id", "left_semi")
-        self._load_dimensions([
-            ("time_dim", time_dim_rows(eq), "key", with_calendar),
-            ("location_dim", loc.select(*S.LOCATION_DIM_KEY)),
-            ("magnitude_type_dim", mag.select(*S.MAGNITUDE_TYPE_DIM_KEY)),
-            ("data_source_dim", src.select(*S.DATA_SOURCE_DIM_KEY)),
-            ("status_dim", eq.select(*S.STATUS_DIM_KEY))])
-        incremental = self.has("earthquake_fact")
-        time_dim, location_dim = self.table("time_dim"), self.table("location_dim")
-        if events is not None and incremental:
-            time_dim = restrict_to_batch(time_dim, time_dim_rows(eq), S.TIME_DIM_KEY)
-            location_dim = restrict_to_batch(location_dim, loc.select(*S.LOCATION_DIM_KEY),
-                                             S.LOCATION_DIM_KEY)
-        facts = star_fact_rows(eq, loc, mag, src, time_dim, location_dim,
-                               self.table("magnitude_type_dim"), self.table("data_source_dim"),
-                               self.table("status_dim"))
-        self._load_facts("earthquake_fact", facts)
+        with self.batch():
+            eq = events if events is not None else self.table("earthquake")
+            loc = self.table("location")
+            mag = self.table("magnitude_detail")
+            src = self.table("data_source")
+            if events is not None:
+                loc = loc.join(eq.select("location_id"), "location_id", "left_semi")
+                mag = mag.join(eq.select("magnitude_detail_id"), "magnitude_detail_id", "left_semi")
+                src = src.join(eq.select("data_source_id"), "data_source_id", "left_semi")
+            incremental = self.has("earthquake_fact")
+            self._load_dimensions([
+                ("time_dim", time_dim_rows(eq), "key", with_calendar),
+                ("location_dim", loc.select(*S.LOCATION_DIM_KEY)),
+                ("magnitude_type_dim", mag.select(*S.MAGNITUDE_TYPE_DIM_KEY)),
+                ("data_source_dim", src.select(*S.DATA_SOURCE_DIM_KEY)),
+                ("status_dim", eq.select(*S.STATUS_DIM_KEY))])
+            time_dim, location_dim = self.table("time_dim"), self.table("location_dim")
+            if events is not None and incremental:
+                time_dim = restrict_to_batch(time_dim, time_dim_rows(eq), S.TIME_DIM_KEY)
+                location_dim = restrict_to_batch(location_dim, loc.select(*S.LOCATION_DIM_KEY),
+                                                 S.LOCATION_DIM_KEY)
+            facts = star_fact_rows(eq, loc, mag, src, time_dim, location_dim,
+                                   self.table("magnitude_type_dim"), self.table("data_source_dim"),
+                                   self.table("status_dim"))
+            self._load_facts("earthquake_fact", facts, months)
 
     def load_batch(self, staging: DataFrame, star: bool = True) -> "Warehouse":
-        """One batch end to end: staging -> 3NF -> star, insert-only throughout.
+        """One batch end to end: staging -> 3NF -> star, insert-only, visible as a whole.
 
         The batch is checkpointed first (shared checkpoint folder): every load
-        below reads it several times, and the checkpoint computes the
-        pipeline once and survives executor loss.  The 3NF load reads the
-        batch's ids back from the published staging table, so a revised
-        event keeps its first version in every layer, and a batch that
-        failed half-way completes when it is run again.
+        below reads it several times, and the checkpoint survives executor
+        loss.  The 3NF load reads the batch's ids back from the stored
+        staging rows, so a revised event keeps its first version in every
+        layer.  A batch that failed half-way is simply run again.
         """
         stg = staging.checkpoint(eager=True)
-        self.load_staging(stg)
-        published = self.table("staging_events").join(
-            stg.select("earthquake_id").distinct(), "earthquake_id", "left_semi")
-        events = self.load_reconciled(published)
-        if star:
-            self.load_star(events)
+        with self.batch():
+            self.load_staging(stg)
+            months = self.stored_months(stg)
+            events = self.load_reconciled(self.staged(stg, months), months=months)
+            if star:
+                self.load_star(events, months)
         return self
 
     def load_all(self, staging: DataFrame) -> "Warehouse":
@@ -353,7 +435,7 @@ def star_fact_rows(eq: DataFrame, location: DataFrame, magnitude: DataFrame,
     f = f.join(src_map, "data_source_id")
     f = f.join(time_dim.select("time_id", F.col("full_timestamp").alias("time")), "time")
     f = f.join(status_dim, S.STATUS_DIM_KEY)
-    return f.select("earthquake_id", "time_id",
+    return f.select(F.col("time").alias("_time"), "earthquake_id", "time_id",
                     F.col("star_location_id").alias("location_id"),
                     "magnitude_type_id",
                     F.col("star_source_id").alias("data_source_id"),

@@ -12,7 +12,9 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -122,6 +124,40 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file so that it appears whole or not at all (write, then rename)."""
+    write_text(spark, path + ".tmp", text)
+    jvm = spark.sparkContext._jvm
+    part, final = (jvm.org.apache.hadoop.fs.Path(p) for p in (path + ".tmp", path))
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(part, final):
+        raise RuntimeError(f"could not publish {path}: does another load write there?")
+
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def byte_setting(spark: SparkSession, name: str, default: int) -> int:
+    """A size setting such as ``256k`` or ``10MB`` in bytes (negative: 0)."""
+    m = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)i?b?", str(spark.conf.get(name, str(default))).strip().lower())
+    return max(int(m[1]) * _UNITS[m[2]], 0) if m else default
+
+
+def broadcast_budget(spark: SparkSession) -> int:
+    """Bytes up to which a measured side may be broadcast."""
+    return byte_setting(spark, "spark.sql.autoBroadcastJoinThreshold", 10 << 20)
+
+
+def measured_bytes(df: DataFrame, fixed: int = 16) -> int:
+    """Bytes of a DataFrame's values, strings by their length (one aggregate job)."""
+    row = F.lit(fixed)
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        row = row + (F.coalesce(F.octet_length(c), F.lit(0)) if text else F.lit(8))
+    return int(df.agg(F.sum(row.cast("long"))).first()[0] or 0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -132,5 +168,6 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "list_names",
-           "write_text", "read_text",
+           "write_text", "read_text", "publish_text", "byte_setting", "broadcast_budget",
+           "measured_bytes",
            "shuffle_partitions", "local_path", "DEFAULT_CONF"]
