@@ -11,11 +11,13 @@ lists, stand-in expressions, county polygons) and the query parameters
 from __future__ import annotations
 
 from tremor.functions import fixed_values as fv
-from tremor.plans.params import (BATCH_SPLIT, DENSITY_CELL_DEG, HISTOGRAM_WIDTH,
-                                   MIN_MAGNITUDE, OLAP_MIN_YEAR, SIGNIFICANT_MAGNITUDE,
-                                   SOURCE_WINDOW)
+from tremor.plans.params import (BATCH_SPLIT, CLUSTER_CELL_DEG, CLUSTER_MIN_EVENTS,
+                                 DENSITY_CELL_DEG, HISTOGRAM_WIDTH, MIN_MAGNITUDE,
+                                 OLAP_MIN_YEAR, SAMPLE_SEED, SAMPLE_SIZE,
+                                 SIGNIFICANT_MAGNITUDE, SOURCE_WINDOW)
 from tremor.schemas import RAW_COLUMNS
-from tremor.sources.testdata import DIRECTIONS, FIXTURE_COUNTIES, NATION_STATE_TEXT
+from tremor.sources.testdata import (DIRECTIONS, FIXTURE_COUNTIES, NATION_STATE_TEXT,
+                                     county_file_rings)
 
 
 def _q(s: str) -> str:
@@ -344,6 +346,41 @@ b2 AS (
         EXCEPT SELECT {_LOC_KEY} FROM b1))""")
 
 
+_SAMPLED = f"""SELECT * FROM final
+ORDER BY md5(earthquake_id || ':{SAMPLE_SEED}'), earthquake_id, "time", latitude, longitude, county"""
+
+
+def _county_file_edges() -> str:
+    return _values([(n, n, float(a[0]), float(a[1]), float(b[0]), float(b[1]))
+                    for n, ring in county_file_rings() for a, b in zip(ring, ring[1:])])
+
+
+def _clusters() -> str:
+    touching = "abs(p.y - q.y) <= 1 AND abs(p.x - q.x) <= 1"
+    return "WITH RECURSIVE " + _with("""
+SELECT c.y AS lat_cell, c.x AS lon_cell, CAST(c.n AS BIGINT) AS n_events,
+       CASE WHEN own.root IS NOT NULL THEN 'core' WHEN edge.root IS NOT NULL THEN 'border'
+            ELSE 'noise' END AS role,
+       CASE WHEN coalesce(own.root, edge.root) IS NOT NULL THEN
+         CAST(coalesce(own.root, edge.root)[1] AS VARCHAR) || ':'
+         || CAST(coalesce(own.root, edge.root)[2] AS VARCHAR) END AS cluster
+FROM cells c
+LEFT JOIN roots own ON own.y = c.y AND own.x = c.x
+LEFT JOIN (SELECT p.y, p.x, min(q.root) AS root FROM cells p JOIN roots q ON """ + touching + """
+           GROUP BY p.y, p.x) edge ON edge.y = c.y AND edge.x = c.x""", f"""
+cells AS (
+  SELECT CAST(floor(latitude / {CLUSTER_CELL_DEG}) AS BIGINT) AS y,
+         CAST(floor(longitude / {CLUSTER_CELL_DEG}) AS BIGINT) AS x, count(*) AS n
+  FROM final WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2),
+core AS (SELECT p.y, p.x FROM cells p JOIN cells q ON {touching}
+         GROUP BY p.y, p.x HAVING sum(q.n) >= {CLUSTER_MIN_EVENTS}),
+reach(y, x, ry, rx) AS (
+  SELECT y, x, y, x FROM core
+  UNION
+  SELECT p.y, p.x, q.ry, q.rx FROM core p JOIN reach q ON {touching}),
+roots AS (SELECT y, x, min([ry, rx]) AS root FROM reach GROUP BY y, x)""")[len("WITH "):]
+
+
 def _star_rows(kept: str) -> str:
     return _with(f"""
 SELECT earthquake_id, "time" AS full_timestamp, updated, state, county, latitude, longitude,
@@ -398,6 +435,19 @@ SELECT * FROM ev WHERE "time" >= CAST({_q(_TS_LO)} AS TIMESTAMP)
   AND "time" < CAST({_q(_TS_HI)} AS TIMESTAMP) AND mag >= {MIN_MAGNITUDE}"""),
     "union_months": _with("SELECT * FROM ev"),
     "stage_roundtrip": _with("SELECT * FROM final"),
+    "stage_restart_csv": _with("SELECT * FROM with_county"),
+    "stage_rejects_csv": _with("""
+SELECT 'accepted' AS reason, CAST(count(*) AS BIGINT) AS n FROM with_county
+UNION ALL SELECT 'malformed', 1 UNION ALL SELECT 'mag', 1"""),
+    "sample_n": _with(f"{_SAMPLED} LIMIT {SAMPLE_SIZE}"),
+    "sample_csv": _with(f"{_SAMPLED} LIMIT {SAMPLE_SIZE}"),
+    "sample_json": _with(f"""
+SELECT * REPLACE (strftime("time", '%Y-%m-%d %H:%M:%S') AS "time",
+                  strftime(updated, '%Y-%m-%d %H:%M:%S') AS updated) FROM ({_SAMPLED} LIMIT 6)"""),
+    "county_file_join": _with(f"""
+SELECT pkey AS id, county FROM ({_pip('ev', 'id').replace('edges e', 'file_edges e')})""", f"""
+file_edges(polygon_id, county, x1, y1, x2, y2) AS (VALUES {_county_file_edges()})"""),
+    "spatial_clusters": _clusters(),
     "dropna_any": _with("SELECT * FROM p1"),
     "parse_place": _with("SELECT id, place, distance, direction, nearest, state FROM parsed"),
     "expand_state": _with("SELECT id, state FROM expanded"),

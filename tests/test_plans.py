@@ -53,3 +53,39 @@ def test_spread_only_when_under_split(spark):
     # default target: Catalyst's size estimate, capped at the parallelism
     tiny = spark.range(10).coalesce(1)
     assert spread(tiny).rdd.getNumPartitions() == 1
+
+
+def test_no_raw_fact_row_meets_a_join(spark, sf_small):
+    """Above every scan of the fact stands an aggregate before any join."""
+    for name in ("olap_top_states", "olap_monthly", "olap_regions", "rollup_geo", "rollup_time",
+                 "drill_down", "drill_down_time", "slice_dice", "cube_cross", "monthly_change"):
+        tree = Q.QUERIES[name](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+        path = []
+        for line in tree.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            path = [(d, n) for d, n in path if d < depth] + [(depth, line.strip(" :+-"))]
+            if path[-1][1].startswith("Relation [earthquake_id"):
+                above = [n.split(" ")[0] for _, n in reversed(path[:-1])]
+                assert next(n for n in above if n in ("Aggregate", "Join")) == "Aggregate", name
+
+
+def test_years_and_months_prune_folders(spark, sf_small):
+    for name in ("olap_regions", "drill_down_time"):
+        plan = _plan(Q.QUERIES[name](spark, sf_small))
+        assert re.search(r"PartitionFilters: \[[^\]]*event_year", plan), name
+
+
+def test_building_the_cleaning_plan_runs_no_job(spark, sf_small):
+    raw = Q.raw(spark, sf_small)           # reads parquet schemas
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        Q.pipeline.transformed_events(raw)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(tracker.getJobIdsForGroup("building")) == []
+
+
+def test_stage_audit_scans_the_events_once(spark, sf_small):
+    plan = _plan(Q.QUERIES["stage_audit"](spark, sf_small))
+    assert plan.count("orders.parquet") == 1

@@ -151,3 +151,77 @@ def test_sample_sink_is_one_file(spark):
     d = tempfile.mkdtemp(prefix="tremor-sample-", dir="/tmp") + "/s"
     ev.write_sample(spark.range(80).repartition(7), d)
     assert len(glob.glob(f"{d}/part-*.csv")) == 1
+
+
+def _features(path, feats):
+    with open(path, "w") as f:
+        json.dump({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"NAME": n}, "geometry": g} for n, g in feats]}, f)
+
+
+def test_geojson_kinds_are_read_or_reported(spark, tmp_path):
+    from tremor.sources.counties import geojson_report
+    ring = [[0, 0], [2, 0], [2, 2], [0, 0]]
+    good = [("Mix", {"type": "GeometryCollection", "geometries": [
+                {"type": "Polygon", "coordinates": [ring]},
+                {"type": "MultiPolygon", "coordinates": [[ring], [ring]]}]}),
+            ("None", None)]
+    _features(tmp_path / "good.geojson", good)
+    edges = read_geojson(spark, str(tmp_path / "good.geojson"))
+    assert [tuple(r) for r in edges.groupBy("county").count().collect()] == [("Mix", 9)]
+    assert edges.select("ring").distinct().count() == 3
+    _features(tmp_path / "bad.geojson", good + [("Spot", {"type": "Point", "coordinates": [1, 2]})])
+    path = str(tmp_path / "bad.geojson")
+    with pytest.raises(Exception, match="unsupported geometry Point of Spot"):
+        read_geojson(spark, path).collect()
+    assert read_geojson(spark, path, unsupported="skip").count() == 9
+    report = [tuple(r)[1:] for r in geojson_report(spark, path).orderBy("county").collect()]
+    assert report == [("None", "none"), ("Spot", "Point")]
+    # ids are the same on every read
+    ids = [sorted(r[0] for r in read_geojson(spark, path, unsupported="skip")
+                  .select("polygon_id").distinct().collect()) for _ in range(2)]
+    assert ids[0] == ids[1] == ["bad.geojson:0"]
+
+
+def test_repeated_feature_lines_are_one_polygon(spark, tmp_path):
+    line = json.dumps({"type": "Feature", "properties": {"NAME": "A"}, "geometry": {
+        "type": "Polygon", "coordinates": [[[0, 0], [2, 0], [2, 2], [0, 0]]]}})
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.geojsonl").write_text(line + "\n\n")
+    edges = read_geojson(spark, str(tmp_path), line_delimited=True)
+    assert edges.count() == 3
+
+
+def test_stage_csv_reports_what_is_no_row(spark, tmp_path):
+    from pyspark.sql import types as T
+    schema = T.StructType.fromDDL("id string, mag double, nst int, time timestamp_ntz")
+    (tmp_path / "s.csv").write_text(
+        "id,mag,nst,time\nev1,1.5,2,2024-01-02T03:04:05\nev2,NA,,null\n\"a,b\",2,x,\nev4,1\n"
+        "ev5,1,2,2024-01-01,more\nev6,1e3,7,yesterday\n")
+    good, bad = ev.read_stage_csv(spark, str(tmp_path), schema)
+    assert [f.dataType for f in good.schema] == [f.dataType for f in schema]
+    assert sorted(map(str, (tuple(r) for r in good.select("id", "mag", "nst").collect()))) == [
+        "('ev1', 1.5, 2)", "('ev2', None, None)"]
+    assert sorted((r["reason"], r["record"].split(",")[0]) for r in bad.collect()) == [
+        ("malformed", "ev4"), ("malformed", "ev5"), ("nst", '"a'), ("time", "ev6")]
+    assert good.where("id = 'ev4'").count() == 0 and bad.select("reason").count() == 4
+
+
+def test_month_audit_scans_once(spark, sf_small, tmp_path):
+    from tremor.sources.testdata import event_view
+    event_view(spark, sf_small).write.parquet(str(tmp_path / "raw"))
+    audit = ev.month_audit(spark.read.parquet(str(tmp_path / "raw")))
+    audit.collect()
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("FileScan") == 1
+
+
+def test_lookup_tables_are_checked(spark):
+    from tremor.operators import clean
+    rows = spark.createDataFrame([("CA",), ("Ohio",)], "state string")
+    own = spark.createDataFrame([("CA", "Cal")], "abbreviation string, state_name string")
+    got = clean.expand_state(rows, table=own)
+    assert sorted(r[0] for r in got.collect()) == ["Cal", "Ohio"]
+    with pytest.raises(ValueError, match="repeats"):
+        clean.expand_state(rows, table=own.union(own))

@@ -144,3 +144,56 @@ def test_suggested_cell_size(spark, frames):
     assert got == brute_force(POINTS, POLYS)
     from tremor.sources.testdata import fixture_county_edges
     assert spatial.suggest_cell_size(fixture_county_edges(spark)) == pytest.approx(1.25)
+
+
+def _circle(pid, cx, cy, r, n):
+    import math
+    pts = [(cx + r * math.cos(2 * math.pi * i / n), cy + r * math.sin(2 * math.pi * i / n))
+           for i in range(n)]
+    return (pid, pid, 0, pts)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_cells_with_many_edges_are_split(spark, broadcast):
+    """A ragged polygon under one hot cell: split cells, the same answer."""
+    import random
+    rnd = random.Random(3)
+    polys = [_circle("ring", 0.5, 0.5, 0.4, 400), ("box", "box", 0, [(0, 0), (4, 0), (4, 4), (0, 4)])]
+    pts = [(rnd.uniform(0, 1), rnd.uniform(0, 1)) for _ in range(400)] + \
+          [(rnd.uniform(-2, 5), rnd.uniform(-2, 5)) for _ in range(60)] + [(0.9, 0.5), (4.0, 2.0)]
+    rings = spark.createDataFrame(
+        [(p, n, r, [(float(x), float(y)) for x, y in v]) for p, n, r, v in polys],
+        "polygon_id string, county string, ring int, vertices array<struct<x:double,y:double>>")
+    index = spatial.build_index(edges_from_rings(rings), 1.0, max_edges=40)
+    depths = {r["depth"]: r["n"] for r in
+              index.cells.selectExpr("depth", "size(polys) n").groupBy("depth").sum("n")
+              .toDF("depth", "n").collect()}
+    assert set(depths) == {0, 4} and index.splits.count() == 1      # 400 edges: 2^4 x 40 > 400
+    most = index.cells.selectExpr("aggregate(polys, 0, (a, p) -> a + size(p.edges)) n").agg({"n": "max"})
+    assert most.first()[0] <= 80
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)],
+                               "i int, longitude double, latitude double")
+    out = spatial.spatial_join(df, index, broadcast=broadcast, salt=4, salt_cols=["i"])
+    assert {(r["i"], r["county"]) for r in out.collect() if r["county"]} == brute_force(pts, polys)
+
+
+def test_only_measured_hot_cells_are_salted(spark):
+    from pyspark.sql import functions as F
+    pts = spark.range(1000).select(
+        F.lit(0).alias("_depth"), F.when(F.col("id") < 600, 5).otherwise(F.col("id")).alias("_cx"),
+        F.lit(1).alias("_cy"))
+    assert spatial._hot_cells(pts, ["_depth", "_cx", "_cy"]) == ["0:5:1"]
+    assert spatial._hot_cells(pts.where("_cx <> 5"), ["_depth", "_cx", "_cy"]) == []
+
+
+def test_index_is_computed_once(spark, frames, monkeypatch):
+    pts, edges = frames
+    calls, real = [], spatial.cell_index
+    monkeypatch.setattr(spatial, "cell_index", lambda *a, **k: calls.append(a) or real(*a, **k))
+    index = spatial.build_index(edges)
+    one = spatial.spatial_join(pts, index).collect()
+    two = spatial.spatial_join(pts, index, broadcast=False).collect()
+    assert len(calls) == 1 and sorted(map(str, one)) == sorted(map(str, two))
+    # the join reads the written index, not the edges
+    plan = spatial.spatial_join(pts, index)._jdf.queryExecution().optimizedPlan().toString()
+    assert "vertices" not in plan and "polys" in plan

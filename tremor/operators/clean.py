@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tremor.functions import fixed_values as fv
 from tremor.functions import lookups
 from tremor.functions.numeric import distance_km, to_int_half_even
+from tremor.session import broadcast_budget, measured_bytes
 from tremor.functions.place import place_parts, place_pieces, strip_ws
 
 RENAMES = {
@@ -51,17 +52,31 @@ def with_computed(df: DataFrame, cols: dict) -> DataFrame:
                      F.inline(F.array(packed)))
 
 
+def _lookup(own: DataFrame | None, fixed, key: str) -> DataFrame:
+    """A lookup table to join: the fixed list, or a caller's table after two checks.
+
+    A caller's table must hold every key once (else rows would multiply), and
+    is broadcast only within the broadcast budget.
+    """
+    if own is None:
+        return F.broadcast(fixed())
+    twice = [r[key] for r in own.groupBy(key).count().where("count > 1").limit(3).collect()]
+    if twice:
+        raise ValueError(f"lookup table repeats {key}: {twice}")
+    small = measured_bytes(own) <= broadcast_budget(own.sparkSession)
+    return F.broadcast(own) if small else own
+
+
 def expand_state(df: DataFrame, col: str = "state", complete: bool = False,
                  table: DataFrame | None = None) -> DataFrame:
     """Trim, then replace a known abbreviation by the state name.
 
     The lookup is case-sensitive; unknown values stay (trimmed); null stays null.
-    ``table`` (``abbreviation, state_name``) replaces the fixed list; it is
-    broadcast, so it must stay a small lookup table.
+    ``table`` (``abbreviation, state_name``) replaces the fixed list.
     """
-    table = table if table is not None else lookups.abbreviations(df.sparkSession, complete)
-    abbr = F.broadcast(table.select("abbreviation", "state_name")
-                       .withColumnsRenamed({"abbreviation": "_abbr", "state_name": "_abbr_name"}))
+    abbr = _lookup(None if table is None else table.select("abbreviation", "state_name"),
+                   lambda: lookups.abbreviations(df.sparkSession, complete), "abbreviation") \
+        .select(F.col("abbreviation").alias("_abbr"), F.col("state_name").alias("_abbr_name"))
     trimmed = df.withColumn(col, strip_ws(F.col(col)))
     joined = trimmed.join(abbr, trimmed[col] == abbr["_abbr"], "left")
     return joined.withColumn(col, F.coalesce(F.col("_abbr_name"), F.col(col))) \
@@ -74,10 +89,10 @@ def classify_country(df: DataFrame, col: str = "state", complete: bool = False,
 
     ``table`` (``state, country, continent``) replaces the fixed lists.
     """
-    table = table if table is not None else lookups.countries(df.sparkSession, complete)
-    table = F.broadcast(table.select("state", "country", "continent")
-                        .withColumnsRenamed({"state": "_cstate", "country": "_country",
-                                             "continent": "_continent"}))
+    table = _lookup(None if table is None else table.select("state", "country", "continent"),
+                    lambda: lookups.countries(df.sparkSession, complete), "state") \
+        .select(F.col("state").alias("_cstate"), F.col("country").alias("_country"),
+                F.col("continent").alias("_continent"))
     joined = df.join(table, strip_ws(df[col]) == table["_cstate"], "left")
     return (joined
             .withColumn("country", F.coalesce(F.col("_country"), F.lit(fv.UNKNOWN)))
@@ -106,9 +121,9 @@ def assign_region(df: DataFrame, col: str = "state", table: DataFrame | None = N
 
     ``table`` (``state, region``) replaces the fixed region lists.
     """
-    table = table if table is not None else lookups.regions(df.sparkSession)
-    table = F.broadcast(table.select("state", "region")
-                        .withColumnsRenamed({"state": "_rstate", "region": "_region"}))
+    table = _lookup(None if table is None else table.select("state", "region"),
+                    lambda: lookups.regions(df.sparkSession), "state") \
+        .select(F.col("state").alias("_rstate"), F.col("region").alias("_region"))
     joined = df.join(table, df[col] == table["_rstate"], "left")
     return joined.withColumn("region", F.coalesce(F.col("_region"), F.lit(fv.NON_US))) \
                  .drop("_rstate", "_region")

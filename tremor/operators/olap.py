@@ -18,6 +18,7 @@ from tremor.operators.quantiles import exact_quantiles
 MEASURE = "magnitude"
 # Event month columns of a fact read with its folders.
 MONTH = ["event_year", "event_month"]
+PIVOT_COLUMNS = 1000
 QUARTILES = {"q_min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "q_max": 1.0}
 
 
@@ -182,8 +183,11 @@ def pivot_cross(fact: DataFrame, location_dim: DataFrame, magnitude_type_dim: Da
     """Regions as rows, magnitude types as columns (event counts).
 
     ``mag_types`` is the explicit column list (taken from the small
-    magnitude-type dimension), so the pivot needs no extra distinct job.
+    magnitude-type dimension), so the pivot needs no extra distinct job; more
+    than ``PIVOT_COLUMNS`` of them raise an error.
     """
+    if len(mag_types) > PIVOT_COLUMNS:
+        raise ValueError(f"more than {PIVOT_COLUMNS} pivot columns")
     per = _partials(fact, ["location_id", "magnitude_type_id"])
     joined = (per.join(location_dim.select("location_id", "region"), "location_id")
               .join(magnitude_type_dim, "magnitude_type_id"))

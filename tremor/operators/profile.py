@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tremor.sources.events import require_columns
 
 PROFILE_CATEGORIES = ["region", "state", "county", "magType", "status"]
 
@@ -118,21 +121,22 @@ def profile(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
-def sample_rows(df: DataFrame, n: int = 80, key: str = "earthquake_id") -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the same on any partitioning.
+def sample_rows(df: DataFrame, n: int = 80, key: str = "earthquake_id", seed: int = 0) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows, the same on any partitioning and any engine.
 
-    Rows are ranked by a seeded hash of the key (ties by the full row) and
+    Rows are ranked by ``md5(key || ':' || seed)`` (ties by the full row) and
     the first ``n`` are kept: a per-partition top-n then a merge of at most
     ``n`` rows per partition, never a global sort.
     """
-    order = [F.xxhash64(F.col(key)), F.col(key)] + \
+    require_columns(df, key)
+    order = [F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)] + \
             [F.col(c).asc_nulls_first() for c in df.columns if c != key]
     return df.orderBy(*order).limit(n)
 
 
-def sample_head(sample: DataFrame, n: int = 6, key: str = "earthquake_id") -> DataFrame:
+def sample_head(sample: DataFrame, n: int = 6, key: str = "earthquake_id", seed: int = 0) -> DataFrame:
     """T4: the first ``n`` rows of a sample in sample order."""
-    return sample_rows(sample, n, key)
+    return sample_rows(sample, n, key, seed)
 
 
 def to_json_records(df: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
@@ -142,3 +146,12 @@ def to_json_records(df: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> Da
             if f.dataType.simpleString() in ts_types else F.col(f.name)
             for f in df.schema.fields]
     return df.select(F.to_json(F.struct(*cols)).alias("record"))
+
+
+def from_json_records(records: DataFrame, like: DataFrame) -> DataFrame:
+    """Fields of ``to_json_records`` texts, typed as in ``like``; timestamps stay text."""
+    ts_types = ("timestamp", "timestamp_ntz")
+    schema = T.StructType([T.StructField(f.name, T.StringType()
+                                         if f.dataType.simpleString() in ts_types else f.dataType)
+                           for f in like.schema.fields])
+    return records.select(F.from_json("record", schema).alias("r")).select("r.*")

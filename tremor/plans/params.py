@@ -12,3 +12,6 @@ HISTOGRAM_WIDTH = 0.5
 DENSITY_CELL_DEG = 1.0
 SAMPLE_SIZE = 80
 BATCH_SPLIT = "1998-01-01"
+SAMPLE_SEED = 20
+CLUSTER_CELL_DEG = 0.5
+CLUSTER_MIN_EVENTS = 155

@@ -15,37 +15,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from tremor.operators import clean, spatial
+from tremor.functions import fixed_values as fv
 from tremor.schemas import FINAL_COLUMNS, STAGING_TYPES
+from tremor.session import byte_setting
+from tremor.sources.events import require_columns
 
 
-# Input bytes per task for the CPU-heavy chain when a source must be spread.
-SPREAD_BYTES_PER_TASK = 16 * 1024 * 1024
+# Source bytes per task for the CPU-heavy chain when a source must be spread.
+SPREAD_BYTES_PER_TASK = 512 * 1024
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Guarantee enough tasks for the CPU-heavy chain (regex parse, polygon tests).
 
-    A source split into many files needs nothing (returned as is).  A source
-    with fewer partitions than it needs (one big file with one row group)
-    would run the whole chain in a handful of tasks, so its rows are spread
-    round-robin first (Spark sorts before a round-robin exchange, so a
-    retried task sends every row to the same place).  The target is the
-    input's estimated size over ``SPREAD_BYTES_PER_TASK`` (Catalyst's
-    estimate, no job), capped at the cluster's parallelism, so a small
-    monthly file is not cut into thousands of tiny tasks.
+    A source that Spark splits widely by itself needs nothing.  A small one
+    (one file with one row group) would run the whole chain in a handful of
+    tasks, so its rows are spread round-robin first (Spark sorts before a
+    round-robin exchange, so a retried task sends every row to the same
+    place).  The target is the bytes of the source files over
+    ``SPREAD_BYTES_PER_TASK``, capped at the cluster's parallelism.  All of
+    this is read off the plan: no job runs.
     """
     spark = df.sparkSession
-    target = min_partitions
-    if target is None:
+    plan = df._jdf.queryExecution()
+    physical = plan.executedPlan()
+    if physical.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        physical = physical.initialPlan()
+    known = physical.outputPartitioning().numPartitions()       # 0: a file scan
+    if min_partitions is None:
         cap = spark.sparkContext.defaultParallelism
-        try:
-            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-            target = max(1, min(cap, -(-size // SPREAD_BYTES_PER_TASK)))
-        except Exception:  # noqa: BLE001 - estimate unavailable: use the cap
-            target = cap
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+        leaves = plan.optimizedPlan().collectLeaves()
+        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        min_partitions = max(1, min(cap, -(-size // SPREAD_BYTES_PER_TASK)))
+        if not known:
+            known = size // byte_setting(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
+    return df if known >= min_partitions else df.repartition(min_partitions)
 
 
 def transformed_events(raw: DataFrame, complete: bool = False) -> DataFrame:
@@ -65,6 +69,7 @@ def finalize(with_county: DataFrame, strict: bool = True) -> DataFrame:
     A row with a null in any column is dropped, whatever stage file it was
     read from.
     """
+    require_columns(with_county, "state", "county", "offset_distance")
     df = clean.drop_incomplete(with_county)
     df = clean.assign_region(df)
     df = clean.drop_columns(df, "continent", "country", "polygon_id")
@@ -143,6 +148,50 @@ def multi_match_report(with_county: DataFrame, key: str = "earthquake_id") -> Da
             .where(F.col("n_counties") > 1))
 
 
+def stage_counts(raw: DataFrame, edges, **spatial_kw) -> DataFrame:
+    """A9 in one pass: ``stage, position, n_rows, n_columns`` of the pipeline's stages.
+
+    No row is dropped on the way; each is tagged with the furthest stage it
+    reaches, and one aggregate sums the tags cumulatively.  A row that matches
+    several counties counts once per county from the county stage on.  Sums
+    are part of the result, not side effects, so a retried task counts once.
+    """
+    n_raw = len(raw.columns)
+    complete = F.lit(True)
+    for c in raw.columns:
+        complete = complete & F.col(c).isNotNull()
+    df = clean.parse_place(spread(raw).withColumn("_complete", complete))
+    parsed = F.col("_complete")
+    for c in ("distance", "direction", "nearest", "state"):
+        parsed = parsed & F.col(c).isNotNull()
+    df = clean.classify_country(clean.expand_state(df.withColumn("_parsed", parsed)))
+    american = (F.col("_parsed") & (F.col("continent") != fv.UNKNOWN)
+                & (F.col("country") == fv.UNITED_STATES))
+    df = clean.assign_region(df.withColumn("_american", american))
+    # a point off the way needs no polygon test
+    df = df.withColumns({c: F.when(F.col("_american"), F.col(c)) for c in ("longitude", "latitude")})
+    spatial_kw.setdefault("salt_cols", ["id"])
+    found = spatial.with_matches(df, edges, **spatial_kw)
+    reached = (F.when(~F.col("_complete"), 0).when(~F.col("_parsed"), 1)
+               .when(~F.col("_american"), 2).otherwise(3))
+    # one generator row: the exact test runs once, whatever reads its result
+    tags = found.select(F.inline(F.array(F.struct(
+        reached.alias("reached"), F.size("_m").alias("counties"),
+        (F.col("region") != fv.NON_US).alias("regional")))))
+    american = F.col("reached") == 3
+    sums = {"raw": (F.lit(1), n_raw), "complete": (F.col("reached") >= 1, n_raw),
+            "place_parsed": (F.col("reached") >= 2, n_raw + 4),
+            "united_states": (american, n_raw + 5),
+            "with_county": (F.when(american, F.greatest(F.col("counties"), F.lit(1))), n_raw + 6),
+            "final": (F.when(american & F.col("regional"), F.col("counties")), len(FINAL_COLUMNS))}
+    wide = tags.agg(*[F.coalesce(F.sum(x.cast("long")), F.lit(0)).alias(name)
+                      for name, (x, _) in sums.items()])
+    rows = [F.struct(F.lit(name).alias("stage"), F.lit(i).alias("position"),
+                     F.col(name).alias("n_rows"), F.lit(width).alias("n_columns"))
+            for i, (name, (_, width)) in enumerate(sums.items())]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 OBSERVED_STAGES = ["raw", "complete", "place_parsed", "united_states", "us_regions",
                    "with_county", "final"]
 

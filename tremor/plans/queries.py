@@ -18,16 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor import schemas as S
-from tremor.operators import clean, olap, profile, spatial, validate
+from tremor.operators import clean, clusters, olap, profile, spatial, validate
 from tremor.plans import pipeline
 from tremor.plans.warehouse import Warehouse
 from tremor.session import scratch_path
+from tremor.sources import counties as cty
 from tremor.sources import events as ev
 from tremor.functions.tables import local_table
-from tremor.sources.testdata import event_view, fixture_county_edges
+from tremor.sources.testdata import event_view, fixture_county_edges, write_county_file
 
-from tremor.plans.params import (BATCH_SPLIT, DENSITY_CELL_DEG, HISTOGRAM_WIDTH,
-                                 MIN_MAGNITUDE, OLAP_MIN_YEAR, SAMPLE_SIZE,
+from tremor.plans.params import (BATCH_SPLIT, CLUSTER_CELL_DEG, CLUSTER_MIN_EVENTS,
+                                 DENSITY_CELL_DEG, HISTOGRAM_WIDTH, MIN_MAGNITUDE,
+                                 OLAP_MIN_YEAR, SAMPLE_SEED, SAMPLE_SIZE,
                                  SIGNIFICANT_MAGNITUDE, SOURCE_WINDOW)
 
 _WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
@@ -124,11 +126,46 @@ def q_stage_roundtrip(spark, sf):
 
 
 def q_sample_csv(spark, sf):
-    """The 80-row sample written as one CSV file and read back."""
+    """The 80-row sample written as one CSV file of all columns and read back."""
     path = scratch_path(spark, "sample")
-    sample = profile.to_json_records(profile.sample_rows(final_stage(spark, sf), SAMPLE_SIZE))
+    sample = profile.sample_rows(final_stage(spark, sf), SAMPLE_SIZE, seed=SAMPLE_SEED)
     ev.write_sample(sample, path)
-    return spark.read.schema("record string").option("header", True).csv(path)
+    return ev.read_stage_csv(spark, path, sample.schema)[0]
+
+
+def _restart_file(spark, sf) -> tuple[str, DataFrame]:
+    """The county stage as CSV: empty texts and null tokens for nulls, and two bad lines."""
+    stage = pipeline.events_with_county(transformed(spark, sf), edges(spark))
+    path = scratch_path(spark, "restart")
+    token = F.when(F.crc32("earthquake_id") % 2 == 0, "NA")
+    ev.write_stage(stage.withColumn("county", F.coalesce("county", token)), path, fmt="csv")
+    cells = ["abc" if c == "mag" else "x" if c == "state" else "" for c in stage.columns]
+    bad = [(0, ",".join(stage.columns)), (1, "not,an,event"), (2, ",".join(cells))]
+    local_table(spark, bad, [("i", "int"), ("value", "string")]).coalesce(1) \
+        .sortWithinPartitions("i").select("value").write.mode("append").text(path)
+    return path, stage
+
+
+def q_stage_restart_csv(spark, sf):
+    """A stage re-read from CSV with its types; bad lines do not get in."""
+    path, stage = _restart_file(spark, sf)
+    return ev.read_stage_csv(spark, path, stage.schema)[0]
+
+
+def q_stage_rejects_csv(spark, sf):
+    """What a stage file held that is no row of it, beside the rows that are."""
+    path, stage = _restart_file(spark, sf)
+    good, bad = ev.read_stage_csv(spark, path, stage.schema)
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).unionByName(
+        good.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("n")))
+
+
+def q_county_file_join(spark, sf):
+    """Events joined to a county file (a hole, several parts, a collection)."""
+    path = scratch_path(spark, "county_file")
+    write_county_file(spark, path)
+    layer = cty.read_geojson(spark, path)
+    return spatial.point_in_polygon_pairs(raw(spark, sf), layer, salt_cols=["id"]).select("id", "county")
 
 
 # --- projections / predicates ------------------------------------------------------
@@ -346,14 +383,7 @@ def q_profile(spark, sf):
 
 
 def q_stage_audit(spark, sf):
-    r = raw(spark, sf)
-    p1 = clean.drop_incomplete(r)
-    parsed = clean.drop_incomplete(clean.parse_place(p1))
-    t = pipeline.transformed_events(r)
-    county = pipeline.events_with_county(t, edges(spark))
-    fin = pipeline.finalize(county)
-    return validate.stage_audit({"raw": r, "complete": p1, "place_parsed": parsed,
-                                 "united_states": t, "with_county": county, "final": fin})
+    return pipeline.stage_counts(raw(spark, sf), edges(spark))
 
 
 def q_stage_audit_observed(spark, sf):
@@ -365,12 +395,15 @@ def q_stage_audit_observed(spark, sf):
 
 
 def q_sample_n(spark, sf):
-    return profile.sample_rows(final_stage(spark, sf), SAMPLE_SIZE)
+    return profile.sample_rows(final_stage(spark, sf), SAMPLE_SIZE, seed=SAMPLE_SEED)
 
 
 def q_sample_json(spark, sf):
-    sample = profile.sample_rows(final_stage(spark, sf), SAMPLE_SIZE)
-    return profile.to_json_records(profile.sample_head(sample, 6))
+    """T4, T5: the sample's head as JSON records, read back field by field."""
+    rows = final_stage(spark, sf)
+    sample = profile.sample_rows(rows, SAMPLE_SIZE, seed=SAMPLE_SEED)
+    records = profile.to_json_records(profile.sample_head(sample, 6, seed=SAMPLE_SEED))
+    return profile.from_json_records(records, rows)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -442,7 +475,8 @@ def q_pivot_cross(spark, sf):
     wh = warehouse(spark, sf)
     mt = wh.table("magnitude_type_dim")
     # The pivot columns come from the small magnitude-type dimension.
-    types = [r["mag_type"] for r in mt.select("mag_type").orderBy("mag_type").collect()]
+    types = [r["mag_type"] for r in
+             mt.select("mag_type").orderBy("mag_type").limit(olap.PIVOT_COLUMNS + 1).collect()]
     return olap.pivot_cross(wh.table("earthquake_fact"), wh.table("location_dim"), mt, types)
 
 
@@ -463,6 +497,10 @@ def q_density_grid(spark, sf):
                   .withColumn("n_events", F.col("n_events").cast("long"))
 
 
+def q_spatial_clusters(spark, sf):
+    return clusters.density_clusters(final_stage(spark, sf), CLUSTER_CELL_DEG, CLUSTER_MIN_EVENTS)
+
+
 def q_calendar(spark, sf):
     return olap.calendar_counts(final_stage(spark, sf))
 
@@ -502,6 +540,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_filter": q_source_filter,
     "union_months": q_union_months,
     "stage_roundtrip": q_stage_roundtrip,
+    "stage_restart_csv": q_stage_restart_csv,
+    "stage_rejects_csv": q_stage_rejects_csv,
     "dropna_any": q_dropna_any,
     "parse_place": q_parse_place,
     "expand_state": q_expand_state,
@@ -514,6 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "county_join": q_county_join,
     "county_multi_match": q_county_multi_match,
     "point_in_polygon": q_point_in_polygon,
+    "county_file_join": q_county_file_join,
     "final_dataset": q_final_dataset,
     "staging_events": q_staging_events,
     "load_location": _t("location"),
@@ -566,6 +607,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mag_depth_corr": q_mag_depth_corr,
     "depth_bands": q_depth_bands,
     "density_grid": q_density_grid,
+    "spatial_clusters": q_spatial_clusters,
     "calendar": q_calendar,
     "seasonal": q_seasonal,
     "significant": q_significant,

@@ -5,7 +5,7 @@ degrees (x = longitude).  Four input forms are accepted:
 
 * an edge table: ``polygon_id, county, ring, x1, y1, x2, y2`` (one row per edge);
 * a ring table: ``polygon_id, county, ring, vertices array<struct<x, y>>``;
-* a GeoJSON FeatureCollection whose features are Polygon or MultiPolygon;
+* a GeoJSON FeatureCollection (polygons, multi-polygons, collections of them);
 * line-delimited GeoJSON (one such Feature per line), split across tasks.
 
 All of them end in ``polygon_layer``: one row per polygon with its edge
@@ -48,19 +48,66 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_GEOMETRY = [T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())]
 _FEATURE = T.StructType([
     T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("geometry", T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.StringType()),
-    ])),
+    T.StructField("geometry", T.StructType(_GEOMETRY + [
+        T.StructField("geometries", T.ArrayType(T.StructType(_GEOMETRY)))])),
 ])
+POLYGONS = ("Polygon", "MultiPolygon")
+
+
+def _features(spark: SparkSession, path: str, name_field: str, id_field: str | None,
+              line_delimited: bool) -> DataFrame:
+    """``polygon_id, county, geometry type, part_no, geom`` of every simple geometry.
+
+    Without ``id_field`` a feature is known by its file and place in it, or
+    (line-delimited) by a hash of its line: ids that a rerun gives again.  A
+    line that occurs twice is one polygon.
+    """
+    if line_delimited:
+        features = (spark.read.text(path).where(F.trim("value") != "")
+                    .select(F.sha1("value").alias("fid"), F.from_json("value", _FEATURE).alias("f"))
+                    .dropDuplicates(["fid"]))
+    else:
+        schema = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
+        # one file is one JSON document, read in one task; its features go on in many
+        features = (spark.read.schema(schema).option("multiLine", True).json(path)
+                    .select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"),
+                            F.posexplode("features").alias("place", "f"))
+                    .select(F.concat_ws(":", "file", "place").alias("fid"), "f")
+                    .repartition("fid"))
+    pid = F.col("f.properties")[id_field] if id_field else F.col("fid")
+    g = F.col("f.geometry")
+    simple = F.when(g["type"] == "GeometryCollection", g["geometries"]) \
+              .otherwise(F.array(F.struct(g["type"].alias("type"),
+                                          g["coordinates"].alias("coordinates"))))
+    return features.select(pid.alias("polygon_id"), F.col("f.properties")[name_field].alias("county"),
+                           F.posexplode_outer(simple).alias("geom_no", "geom"))
+
+
+def geojson_report(spark: SparkSession, path: str, name_field: str = "NAME",
+                   id_field: str | None = None, line_delimited: bool = False) -> DataFrame:
+    """Geometries that are no polygons: ``polygon_id, county, geometry_type``.
+
+    A feature without a geometry, or with an empty collection, has type ``none``.
+    """
+    kind = F.coalesce("geom.type", F.lit("none"))
+    return (_features(spark, path, name_field, id_field, line_delimited)
+            .where(~kind.isin(*POLYGONS))
+            .select("polygon_id", "county", kind.alias("geometry_type")))
 
 
 def read_geojson(spark: SparkSession, path: str, name_field: str = "NAME",
-                 id_field: str | None = None, line_delimited: bool = False) -> DataFrame:
+                 id_field: str | None = None, line_delimited: bool = False,
+                 unsupported: str = "raise") -> DataFrame:
     """GeoJSON -> edge table.
 
+    Polygons, multi-polygons and collections of them are read, a feature
+    without a geometry has no edges.  Any other geometry (a point, a line)
+    fails the read, or with ``unsupported="skip"`` is left out; both kinds are
+    listed by ``geojson_report``.
+
     A FeatureCollection is one JSON document, so Spark parses each file in one
     task (fine for a county layer of a few tens of MB).  ``line_delimited``
     reads one Feature per line instead (GeoJSON text sequences / ndjson),
@@ -68,31 +115,24 @@ def read_geojson(spark: SparkSession, path: str, name_field: str = "NAME",
 
     Polygon and MultiPolygon coordinates have different nesting depths, so
     the coordinates are read as JSON text and decoded per geometry type.
-    Without ``id_field`` a polygon is identified by its feature position
-    (line-delimited input: by file and offset of the line).
     """
-    if line_delimited:
-        features = (spark.read.schema(_FEATURE).json(path)
-                    .select(F.concat_ws(":", F.input_file_name(),
-                                        F.monotonically_increasing_id().cast("string"))
-                            .alias("fid"), F.struct("properties", "geometry").alias("f")))
-    else:
-        schema = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
-        features = (spark.read.schema(schema).option("multiLine", True).json(path)
-                    .select(F.posexplode("features").alias("fid", "f")))
     poly_t = "array<array<array<double>>>"
     multi_t = "array<array<array<array<double>>>>"
-    g = F.col("f.geometry")
-    parts = F.when(g["type"] == "Polygon",
-                   F.array(F.from_json(g["coordinates"], poly_t))) \
-             .otherwise(F.from_json(g["coordinates"], multi_t))
-    pid = F.col("f.properties")[id_field] if id_field else F.col("fid").cast("string")
-    rings = (features
-             .select(pid.alias("polygon_id"), F.col("f.properties")[name_field].alias("county"),
-                     F.posexplode(parts).alias("part", "rings"))
-             .select("polygon_id", "county", "part", F.posexplode("rings").alias("r", "coords"))
+    kind, coordinates = F.col("geom.type"), F.col("geom.coordinates")
+    none = F.array().cast(multi_t)
+    other = none if unsupported == "skip" else F.raise_error(
+        F.concat(F.lit("unsupported geometry "), kind, F.lit(" of "),
+                 F.coalesce("county", "polygon_id"))).cast(multi_t)
+    parts = F.when(kind.isNull(), none) \
+             .when(kind == "Polygon", F.array(F.from_json(coordinates, poly_t))) \
+             .when(kind == "MultiPolygon", F.from_json(coordinates, multi_t)).otherwise(other)
+    rings = (_features(spark, path, name_field, id_field, line_delimited)
+             .select("polygon_id", "county", "geom_no", F.posexplode(parts).alias("part", "rings"))
+             .select("polygon_id", "county", "geom_no", "part",
+                     F.posexplode("rings").alias("r", "coords"))
              .select("polygon_id", "county",
-                     (F.col("part") * 100000 + F.col("r")).alias("ring"),
+                     ((F.col("geom_no") * 100000 + F.col("part")).cast("long") * 100000
+                      + F.col("r")).alias("ring"),
                      F.transform("coords", lambda c: F.struct(c[0].alias("x"), c[1].alias("y")))
                      .alias("vertices")))
     return edges_from_rings(rings)

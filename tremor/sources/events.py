@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,13 +78,12 @@ def month_spine(spark: SparkSession, first_year: int, last_year: int) -> DataFra
 
 def month_spine_of(events: DataFrame, time_col: str = "time") -> DataFrame:
     """S2 over the months an event table actually spans (one small aggregate)."""
-    bounds = events.agg(F.trunc(F.min(time_col), "month").alias("lo"),
-                        F.trunc(F.max(time_col), "month").alias("hi"))
-    return _spine(bounds)
+    return _spine(events.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")))
 
 
 def _spine(bounds: DataFrame) -> DataFrame:
-    months = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH")))
+    months = bounds.select(F.explode(F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"),
+                                                F.expr("INTERVAL 1 MONTH")))
                            .alias("month_start"))
     return months.select(
         F.year("month_start").alias("year"),
@@ -98,15 +97,19 @@ def _spine(bounds: DataFrame) -> DataFrame:
 def month_audit(events: DataFrame, time_col: str = "time") -> DataFrame:
     """A9 per month: events per month of the spanned range, missing months as 0.
 
-    The spine comes from the data's own first and last month, so a month
-    whose file failed to arrive shows up as a zero row.
+    Months between two that have events are generated from the counted months
+    themselves, so a month whose file failed to arrive shows up as a zero row
+    and the events are scanned once.  The window runs over one row per month.
     """
     counts = (events.where(F.col(time_col).isNotNull())
-              .groupBy(F.year(time_col).alias("year"), F.month(time_col).alias("month"))
+              .groupBy(F.trunc(time_col, "month").alias("m"))
               .agg(F.count(F.lit(1)).alias("n")))
-    return (month_spine_of(events, time_col).select("year", "month")
-            .join(counts, ["year", "month"], "left")
-            .select("year", "month", F.coalesce("n", F.lit(0)).cast("long").alias("n_events")))
+    last = F.coalesce(F.add_months(F.lead("m").over(Window.orderBy("m")), -1), F.col("m"))
+    every = F.explode(F.sequence("m", "last", F.expr("INTERVAL 1 MONTH")))
+    return (counts.withColumn("last", last).select("m", "n", every.alias("d"))
+            .select(F.year("d").alias("year"), F.month("d").alias("month"),
+                    F.when(F.col("d") == F.col("m"), F.col("n")).otherwise(0).cast("long")
+                    .alias("n_events")))
 
 
 def source_filter(events: DataFrame, start: str | None, end_exclusive: str | None,
@@ -155,12 +158,12 @@ def write_months(events: DataFrame, root: str, fmt: str = "csv",
                  mode: str = "errorifexists") -> None:
     """Write events partitioned by ``year=/month=`` folders.
 
-    Rows are sorted by month inside each task so a task keeps one file open
-    at a time; no shuffle, so a month holding a third of the data is still
-    written by many tasks in parallel.
+    Rows are rebalanced by month first, so a month gets a few files of a
+    sensible size instead of one from every task; adaptive execution splits a
+    month that holds a third of the data over many tasks.
     """
     out = (events.withColumn("year", F.year("time")).withColumn("month", F.month("time"))
-           .sortWithinPartitions("year", "month"))
+           .hint("rebalance", "year", "month"))
     writer = out.write.mode(mode).partitionBy("year", "month")
     if fmt == "csv":
         writer.option("header", True).csv(root)
@@ -187,6 +190,35 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def read_stage_csv(spark: SparkSession, path: str, schema: T.StructType,
+                   null_tokens: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A stage result stored as CSV -> ``(typed rows, rejects)``.
+
+    Every column is read as text; null tokens become null and the rest is cast
+    to ``schema``.  A line that is malformed, or holds a text that its
+    column's type cannot take, goes to the rejects (``reason, record``) and
+    neither fails the job nor turns into nulls.  ``reason`` is ``malformed``
+    or the first such column.
+    """
+    tokens = NULL_TOKENS if null_tokens is None else null_tokens
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                        + [T.StructField("_corrupt", T.StringType())])
+    # all columns are parsed whatever is selected: else a short line can pass unnoticed
+    lines = (spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", "_corrupt").option("columnPruning", False)
+             .csv(path))
+    given = {f.name: F.when(~F.col(f.name).isin(tokens), F.col(f.name)) for f in schema.fields}
+    typed = {f.name: given[f.name].try_cast(f.dataType) for f in schema.fields}
+    reason = F.when(F.col("_corrupt").isNotNull(), "malformed")
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            reason = reason.when(given[f.name].isNotNull() & typed[f.name].isNull(), f.name)
+    good = lines.where(reason.isNull()).select(*[c.alias(n) for n, c in typed.items()])
+    record = F.coalesce("_corrupt", F.to_csv(F.struct(*[f.name for f in schema.fields])))
+    bad = lines.where(reason.isNotNull()).select(reason.alias("reason"), record.alias("record"))
+    return good, bad
+
+
 def write_sample(sample: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a sample (at most a few dozen rows) as one CSV file."""
     sample.coalesce(1).write.mode(mode).option("header", True).csv(path)

@@ -10,6 +10,8 @@ how the rows were made.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,42 @@ FIXTURE_COUNTIES = [
 ]
 
 
+# FIXED VALUES — stand-in county file: a part with a hole, two parts, a collection,
+# a feature without a geometry.
+_SQUARE = [[-119, 31], [-116, 31], [-116, 34], [-119, 34], [-119, 31]]
+_HOLE = [[-118, 32], [-117, 32], [-117, 33], [-118, 33], [-118, 32]]
+_ISLANDS = [[[[-115, 30], [-113, 30], [-113, 32], [-115, 30]]],
+            [[[-112, 33], [-110, 33], [-110, 36], [-112, 36], [-112, 33]]]]
+_TRIANGLE = [[-120, 36], [-114, 36], [-117, 39], [-120, 36]]
+_STRIP = [[-113, 37], [-110, 37], [-110, 38], [-113, 38], [-113, 37]]
+FIXTURE_COUNTY_FILE = [
+    ("Hollow", {"type": "Polygon", "coordinates": [_SQUARE, _HOLE]}),
+    ("Islands", {"type": "MultiPolygon", "coordinates": _ISLANDS}),
+    ("Mixed", {"type": "GeometryCollection", "geometries": [
+        {"type": "Polygon", "coordinates": [_TRIANGLE]},
+        {"type": "MultiPolygon", "coordinates": [[_STRIP]]}]}),
+    ("Nowhere", None),
+]
+
+
+def county_file_rings() -> list[tuple[str, list]]:
+    """``(county, ring)`` of the stand-in county file."""
+    out = []
+    for name, g in FIXTURE_COUNTY_FILE:
+        for part in [] if g is None else g.get("geometries", [g]):
+            polygons = [part["coordinates"]] if part["type"] == "Polygon" else part["coordinates"]
+            out += [(name, ring) for polygon in polygons for ring in polygon]
+    return out
+
+
+def write_county_file(spark: SparkSession, path: str) -> None:
+    """The stand-in county file as one GeoJSON FeatureCollection."""
+    features = [{"type": "Feature", "properties": {"NAME": n}, "geometry": g}
+                for n, g in FIXTURE_COUNTY_FILE]
+    text = json.dumps({"type": "FeatureCollection", "features": features})
+    local_table(spark, [(text,)], [("value", "string")]).coalesce(1).write.text(path)
+
+
 def _d(c) -> F.Column:
     return c.cast("double")
 
