@@ -8,9 +8,8 @@ byte's symbol.
 
 Normaliser and pre-tokenizer are those that the vocabulary file names, run by
 the public library; merging and decoding are done here.  The
-pre-tokenizer never joins across white space, so ids are remembered per
-white-space-separated chunk, in two generations of bounded size; a worker's
-memory does not grow with the text.  The vocabulary file is read once on the
+ids of a word that the pre-tokenizer gives are remembered, in two generations
+of bounded size; a worker's memory does not grow with the corpus.  The vocabulary file is read once on the
 driver and sent with the task closure as bytes (a fixed public file of under
 2 MB), so executors need no copy of it.
 
@@ -22,6 +21,9 @@ row; an empty table gives no rows.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -30,15 +32,47 @@ from tokenizers import Tokenizer
 
 from tremor.llm.common import map_rows
 
-#: Chunks remembered per generation and task.
-CACHE_CHUNKS = 150_000
+#: Words, and white-space-separated chunks, remembered per generation and task.
+CACHE_WORDS = 80_000
+#: Characters from which a fragment is merged by a heap; longer words are not remembered.
+LONG = 100
+#: Characters that are normalised and pre-tokenized at once.
+PART = 1 << 20
+_NONE = 1 << 30
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 
 
+def _parts(piece: str) -> Iterator[str]:
+    """A long piece in parts cut at blanks, over which the pre-tokenizer never joins."""
+    at = 0
+    while len(piece) - at > PART and (end := piece.find(" ", at + PART)) >= 0:
+        yield piece[at:end]
+        at = end
+    yield piece[at:]
+
+
+class Remembered:
+    """A dictionary of two generations: what an age has not used is forgotten after it."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key: str) -> list[int] | None:
+        got = self.young.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.add(key, got)
+        return got
+
+    def add(self, key: str, value: list[int]) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class ForcedBoundaryBpe:
     """Encoder and decoder for a word-level byte BPE vocabulary file (JSON)."""
 
-    def __init__(self, raw: bytes, cache: int = CACHE_CHUNKS):
+    def __init__(self, raw: bytes, cache: int = CACHE_WORDS):
         spec = json.loads(raw)
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
@@ -53,7 +87,7 @@ class ForcedBoundaryBpe:
         named = Tokenizer.from_str(raw.decode())
         self.normalizer, self.splitter = named.normalizer, named.pre_tokenizer
         self.inner, self.final = self._joined_pairs()
-        self.size, self.young, self.old = cache, {}, {}
+        self.words, self.chunks = Remembered(cache), Remembered(cache)
 
     def _joined_pairs(self) -> tuple[set[str], set[str]]:
         """Byte pairs inside tokens: those followed by more bytes or no word end, and those
@@ -81,40 +115,90 @@ class ForcedBoundaryBpe:
 
     def merge(self, parts: list[str]) -> list[str]:
         """Apply merges to one fragment, lowest rank first, leftmost on ties."""
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = min((ranks.get(p, 1 << 30), i)
-                           for i, p in enumerate(zip(parts, parts[1:])))
-            if best == 1 << 30:
-                break
+        if len(parts) > LONG:
+            return self._merge_long(parts)
+        rank = self.ranks.get
+        ranks = [rank(p, _NONE) for p in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) != _NONE:
+            at = ranks.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), _NONE)
+            if at < len(ranks):
+                ranks[at] = rank((parts[at], parts[at + 1]), _NONE)
         return parts
 
-    def _chunk(self, chunk: str) -> list[int]:
-        """Ids of a chunk without white space, normalised and split into words."""
-        if (got := self.old.get(chunk)) is None:
-            words = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))
-            got = [self.ids[s] for word, _ in words
-                   for part in self.fragments(word) for s in self.merge(part)]
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young[chunk] = got
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """``merge`` of a long fragment: a linked list and a heap of (rank, place)."""
+        rank, n = self.ranks.get, len(parts)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+
+        def pair(i):
+            return rank((parts[i], parts[right[i]]), _NONE) if right[i] < n else _NONE
+        heap = [(r, i) for i in range(n - 1) if (r := pair(i)) != _NONE]
+        heapify(heap)
+        while heap:
+            r, i = heappop(heap)
+            if parts[i] is None or pair(i) != r:
+                continue                    # one side has been merged since
+            j = right[i]
+            parts[i], parts[j] = parts[i] + parts[j], None
+            right[i] = right[j]
+            if right[i] < n:
+                left[right[i]] = i
+            for k in (i, left[i]):
+                if k >= 0 and (r := pair(k)) != _NONE:
+                    heappush(heap, (r, k))
+        return [x for x in parts if x is not None]
+
+    def _word(self, word: str) -> list[int]:
+        """Ids of one word of the pre-tokenizer."""
+        got = self.words.get(word)
+        if got is None:
+            got = [self.ids[s] for part in self.fragments(word) for s in self.merge(part)]
+            if len(word) <= LONG:
+                self.words.add(word, got)
         return got
 
+    def _learn(self, chunks: list[str], out: dict[str, list[int]]) -> None:
+        """Ids of chunks that hold no white space, normalised and split together."""
+        plain = self.normalizer.normalize_str(" ".join(chunks))
+        found = self.splitter.pre_tokenize_str(plain)
+        ends = [i for i, c in enumerate(plain) if c == " "] if " " in plain else []
+        if len(ends) != len(chunks) - 1:        # the normaliser made or took blanks
+            half = len(chunks) // 2
+            if half:
+                self._learn(chunks[:half], out)
+                self._learn(chunks[half:], out)
+            else:
+                out[chunks[0]] = [i for w, _ in found for i in self._word(w)]
+            return
+        ends.append(len(plain))
+        ids: list[list[int]] = [[] for _ in chunks]
+        at = 0
+        for word, (start, _) in found:
+            while start >= ends[at]:
+                at += 1
+            ids[at] += self._word(word)
+        out.update(zip(chunks, ids))
+
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
         for piece in self.split_special.split(text) if text else ():
             if piece in self.special:
                 out.append(self.special[piece])
                 continue
-            chunks = regex.split(r"\s+", piece) if _ODD_SPACE.search(piece) else piece.split()
-            young, add = self.young, out.extend
-            for chunk in chunks:
-                ids = young.get(chunk)
-                if ids is None:
-                    ids = self._chunk(chunk)
-                    young = self.young
-                add(ids)
+            for part in _parts(piece):
+                chunks = regex.split(r"\s+", part) if _ODD_SPACE.search(part) else part.split()
+                known = {c: self.chunks.get(c) for c in dict.fromkeys(chunks)}
+                new = [c for c, ids in known.items() if ids is None]
+                for lo in range(0, len(new), 1000):
+                    self._learn(new[lo:lo + 1000], known)
+                for c in new:
+                    if len(c) <= LONG:
+                        self.chunks.add(c, known[c])
+                out += chain.from_iterable(map(known.__getitem__, chunks))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -123,7 +207,7 @@ class ForcedBoundaryBpe:
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, text_col: str = "text",
-                  keep: tuple[str, ...] = ("doc_id",), cache: int = CACHE_CHUNKS) -> DataFrame:
+                  keep: tuple[str, ...] = ("doc_id",), cache: int = CACHE_WORDS) -> DataFrame:
     """``keep`` columns, ``ids`` (array of int) and ``decoded`` (string) of every text."""
     with open(vocabulary, "rb") as f:
         raw = f.read()

@@ -36,6 +36,16 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, _UPPER, _UPPER.lower())
 
 
+def fenced(df: DataFrame, **made: Column) -> DataFrame:
+    """Add columns that are computed once per row, whatever reads them.
+
+    Catalyst writes a computed column into every expression and filter that
+    uses it; it cannot do so with what a generator (here of one row) puts out.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in made.items()])
+    return df.select(*[c for c in df.columns if c not in made], F.inline(F.array(packed)))
+
+
 def map_rows(df: DataFrame, start: Callable[[], Callable[..., tuple]], schema: T.StructType,
              chunk: int = 256) -> DataFrame:
     """``df``'s rows through a per-task function, in Arrow batches of ``chunk`` rows.

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import positions
+from tremor.llm.common import fenced, positions
 
 BINS = 256
 _BIN_SHIFT = 56          # a hash's top eight bits
@@ -46,26 +46,26 @@ def _table(attempt: int) -> Column:
 
 def add_digits(df: DataFrame, text: str, out: str, words: int = WORDS) -> DataFrame:
     """Add ``out``: the ``BINS`` low-order values (array of int; null without shingles)."""
-    w, h, s, m, d = (f"_{x}_{out}" for x in "whsmd")
+    h, s, m, d = (f"_{x}_{out}" for x in "hsmd")
     split = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"),
                      lambda x: x != "")
-    step1 = df.withColumn(h, F.transform(split, lambda x: F.xxhash64(x)))
+    step1 = fenced(df, **{h: F.transform(split, lambda x: F.xxhash64(x))})
     n = F.size(h)
     runs = F.transform(F.sequence(F.lit(0), n - words),
                        lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(words)]))
-    step2 = step1.withColumn(s, F.sort_array(
-        F.when(n >= words, runs).when(n > 0, F.array(F.xxhash64(F.col(h))))))
+    step2 = fenced(step1, **{s: F.sort_array(
+        F.when(n >= words, runs).when(n > 0, F.array(F.xxhash64(F.col(h)))))}).drop(h)
     # Signed order visits the bins in a fixed order too; bins are numbered from the lowest.
     number = lambda x: F.shiftright(x, _BIN_SHIFT) + BINS // 2          # noqa: E731
     firsts = F.filter(F.col(s), lambda x, i: (i == 0) | (
         F.shiftright(x, _BIN_SHIFT) != F.shiftright(F.get(F.col(s), i - 1), _BIN_SHIFT)))
-    step3 = step2.withColumn(m, firsts)
+    step3 = fenced(step2, **{m: firsts}).drop(s)
     gaps = F.transform(F.col(m), lambda x, i: F.concat(
         F.array_repeat(F.lit(None).cast("long"), (number(x) - F.coalesce(
             number(F.get(F.col(m), i - 1)), F.lit(-1)) - 1).cast("int")), F.array(x)))
     dense = F.concat(F.flatten(gaps), F.array_repeat(F.lit(None).cast("long"), (
         BINS - 1 - number(F.element_at(F.col(m), -1))).cast("int")))
-    step4 = step3.withColumn(d, F.when(F.size(m) > 0, dense))
+    step4 = fenced(step3, **{d: F.when(F.size(m) > 0, dense)})
     tables = [_table(a) for a in range(PROBES)]
 
     def preferred(j):
@@ -74,7 +74,7 @@ def add_digits(df: DataFrame, text: str, out: str, words: int = WORDS) -> DataFr
     filled = F.transform(F.col(d), lambda x, j: F.coalesce(
         x, *[F.get(F.col(d), F.get(t, j)) for t in tables], preferred(j)).bitwiseAND(
             F.lit((1 << BITS) - 1)).cast("int"))
-    return step4.withColumn(out, filled).drop(w, h, s, m, d)
+    return fenced(step4, **{out: filled}).drop(m, d)
 
 
 def packed(digits: Column) -> Column:

@@ -25,6 +25,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tremor.llm.common import fenced
+
 # Words of which every known sentence has one, a grant's "under" among them.
 ANCHORS = ("licen", "copyright", "permission", "warrant", "redistribut", "liab", "merchantab",
            "under", "(c)", "©")
@@ -211,15 +213,16 @@ def identifiers(text: Column) -> Column:
 def scan(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``key``, ``sentences`` and ``licenses`` (arrays), ``unmatched`` (string) of every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.select(F.col(key), identifiers(text).alias("sentences"))
+    df = fenced(docs.select(F.col(key), text.alias("_text")),
+                sentences=identifiers(F.col("_text"))).drop("_text")
     df = df.withColumn("_left", F.when(F.size("sentences") > 0, F.concat(
         F.array_join("sentences", ","), F.lit(","))).otherwise(F.lit("")))
     found = []
     for i, (name, pattern) in enumerate(RULES):
         anchored = r"(?<=^|,)" + pattern
-        df = df.withColumn(f"_m{i}", F.col("_left").rlike(anchored))
-        df = df.withColumn("_left", F.when(F.col(f"_m{i}"), F.regexp_replace(
-            "_left", anchored, "")).otherwise(F.col("_left")))
+        met = F.col("_left").rlike(anchored)
+        df = fenced(df, **{f"_m{i}": met, "_left": F.when(
+            met, F.regexp_replace("_left", anchored, "")).otherwise(F.col("_left"))})
         found.append(F.when(F.col(f"_m{i}"), F.lit(name)))
     # A grant or tag on its own names its licence.
     alone = F.regexp_extract_all("_left", F.lit(r"(?:Grant|Spdx):([^,]+),"), F.lit(1))
