@@ -20,6 +20,7 @@ row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -38,7 +39,7 @@ CACHE_WORDS = 80_000
 LONG = 100
 #: Characters that are normalised and pre-tokenized at once.
 PART = 1 << 20
-_NONE = 1 << 30
+_NONE, _SIDE = 1 << 30, 24
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 
 
@@ -57,13 +58,13 @@ class Remembered:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def get(self, key: str) -> list[int] | None:
+    def get(self, key: str) -> tuple[int, ...] | None:
         got = self.young.get(key)
         if got is None and (got := self.old.get(key)) is not None:
             self.add(key, got)
         return got
 
-    def add(self, key: str, value: list[int]) -> None:
+    def add(self, key: str, value: tuple[int, ...]) -> None:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
         self.young[key] = value
@@ -77,7 +78,9 @@ class ForcedBoundaryBpe:
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
         self.ids = model["vocab"]
-        self.ranks = {tuple(m): i for i, m in enumerate(model["merges"])}
+        # a pair's rank by its two ids, and the id that a rank's pair becomes
+        self.ranks = {self.ids[a] << _SIDE | self.ids[b]: i for i, (a, b) in enumerate(model["merges"])}
+        self.merged = [self.ids[a + b] for a, b in model["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
         for text, i in [*self.ids.items(), *self.special.items()]:
@@ -113,29 +116,29 @@ class ForcedBoundaryBpe:
         out.append([*word[start:-1], word[-1] + self.end])
         return out
 
-    def merge(self, parts: list[str]) -> list[str]:
-        """Apply merges to one fragment, lowest rank first, leftmost on ties."""
+    def merge(self, parts: list[int]) -> list[int]:
+        """Apply merges to one fragment's symbols, lowest rank first, leftmost on ties."""
         if len(parts) > LONG:
             return self._merge_long(parts)
-        rank = self.ranks.get
-        ranks = [rank(p, _NONE) for p in zip(parts, parts[1:])]
+        rank, merged = self.ranks.get, self.merged
+        ranks = [rank(a << _SIDE | b, _NONE) for a, b in zip(parts, parts[1:])]
         while ranks and (best := min(ranks)) != _NONE:
             at = ranks.index(best)
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            del ranks[at]
+            parts[at] = made = merged[best]
+            del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = rank((parts[at - 1], parts[at]), _NONE)
+                ranks[at - 1] = rank(parts[at - 1] << _SIDE | made, _NONE)
             if at < len(ranks):
-                ranks[at] = rank((parts[at], parts[at + 1]), _NONE)
+                ranks[at] = rank(made << _SIDE | parts[at + 1], _NONE)
         return parts
 
-    def _merge_long(self, parts: list[str]) -> list[str]:
+    def _merge_long(self, parts: list[int]) -> list[int]:
         """``merge`` of a long fragment: a linked list and a heap of (rank, place)."""
         rank, n = self.ranks.get, len(parts)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
 
         def pair(i):
-            return rank((parts[i], parts[right[i]]), _NONE) if right[i] < n else _NONE
+            return rank(parts[i] << _SIDE | parts[right[i]], _NONE) if right[i] < n else _NONE
         heap = [(r, i) for i in range(n - 1) if (r := pair(i)) != _NONE]
         heapify(heap)
         while heap:
@@ -143,7 +146,7 @@ class ForcedBoundaryBpe:
             if parts[i] is None or pair(i) != r:
                 continue                    # one side has been merged since
             j = right[i]
-            parts[i], parts[j] = parts[i] + parts[j], None
+            parts[i], parts[j] = self.merged[r], None
             right[i] = right[j]
             if right[i] < n:
                 left[right[i]] = i
@@ -152,16 +155,19 @@ class ForcedBoundaryBpe:
                     heappush(heap, (r, k))
         return [x for x in parts if x is not None]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         """Ids of one word of the pre-tokenizer."""
         got = self.words.get(word)
         if got is None:
-            got = [self.ids[s] for part in self.fragments(word) for s in self.merge(part)]
+            symbol = self.ids.__getitem__
+            # tuples of numbers: the garbage collector need not visit what is remembered
+            got = tuple([i for part in self.fragments(word)
+                         for i in self.merge(list(map(symbol, part)))])
             if len(word) <= LONG:
                 self.words.add(word, got)
         return got
 
-    def _learn(self, chunks: list[str], out: dict[str, list[int]]) -> None:
+    def _learn(self, chunks: list[str], out: dict[str, tuple[int, ...]]) -> None:
         """Ids of chunks that hold no white space, normalised and split together."""
         plain = self.normalizer.normalize_str(" ".join(chunks))
         found = self.splitter.pre_tokenize_str(plain)
@@ -172,10 +178,10 @@ class ForcedBoundaryBpe:
                 self._learn(chunks[:half], out)
                 self._learn(chunks[half:], out)
             else:
-                out[chunks[0]] = [i for w, _ in found for i in self._word(w)]
+                out[chunks[0]] = tuple([i for w, _ in found for i in self._word(w)])
             return
         ends.append(len(plain))
-        ids: list[list[int]] = [[] for _ in chunks]
+        ids: list[tuple[int, ...]] = [()] * len(chunks)
         at = 0
         for word, (start, _) in found:
             while start >= ends[at]:
@@ -214,6 +220,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, text_col: str = "text",
 
     def start():
         bpe = ForcedBoundaryBpe(raw, cache)
+        gc.freeze()         # the tables stay as long as the task: no need to visit them
 
         def row(text, *kept):
             ids = bpe.encode(text)
