@@ -229,11 +229,10 @@ def test_a_batch_reads_only_the_months_of_its_ids(built):
     few = stg.where("year(time) = 1997 AND month(time) = 3").checkpoint()
     months = wh.stored_months(few)
     assert months == [(1997, 3)]
-    plan = wh.staged(few, months)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "event_year" in plan.split("PartitionFilters: [")[1][:120]
-    files = wh.table("earthquake_fact", months).inputFiles()
-    assert files and all("event_year=1997/event_month=3" in f for f in files)
-    assert len(files) < len(wh.table("earthquake_fact").inputFiles())
+    for df in (wh.staged(few, months), wh.table("earthquake", months), wh.table("earthquake_fact", months)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pruned = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
+        assert any("event_year" in p and "event_month" in p for p in pruned)
     # a revised time does not hide the stored month
     moved = few.withColumn("time", F.col("time") + F.expr("INTERVAL 400 DAYS"))
     assert wh.stored_months(moved) == [(1997, 3)]
