@@ -62,14 +62,38 @@ def _pair():
 
 def test_forced_boundaries_cut_words(ours):
     assert len(ours.fragments("qzxÃ±æ¼")) > 1
-    assert "".join(s for f in ours.fragments("hello") for s in f) == "hello</w>"
+    assert "".join(ours.tokens[i] for ids, _ in ours.fragments("hello") for i in ids) == "hello</w>"
 
 
 def test_cache_is_bounded():
     with open(VOCAB, "rb") as f:
         own = bpe.ForcedBoundaryBpe(f.read(), cache=10)
     own.encode(" ".join(f"w{i}" for i in range(500)))
-    assert len(own.young) <= 10 and len(own.old) <= 10
+    for held in (own.words, own.chunks):
+        assert len(held.young) <= 10 and len(held.old) <= 10
+
+
+@given(st.text(alphabet=st.characters(max_codepoint=0x24f), max_size=40))
+@settings(max_examples=400, deadline=None)
+def test_bpe_equals_library_on_latin_text(text):
+    lib, own = _pair()
+    assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids
+
+
+def test_every_latin_character_is_split_as_the_library_does():
+    lib, own = _pair()
+    for c in map(chr, range(0x180)):
+        for text in (c, f"a{c}b", f"1{c}'s", f"!{c}!", f"{c}{c.upper()}"):
+            assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_latin_way_needs_the_files_own_steps():
+    with open(VOCAB, "rb") as f:
+        spec = json.loads(f.read())
+    assert bpe._latin_pattern(spec) is not None
+    spec["normalizer"]["normalizers"].pop()
+    assert bpe._latin_pattern(spec) is None
+    assert bpe._latin_pattern(spec | {"normalizer": None, "pre_tokenizer": None}) is None
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,10 @@ ends a word are looked up on their own, as the word-end mark is part of that
 byte's symbol.
 
 Normaliser and pre-tokenizer are those that the vocabulary file names, run by
-the public library; merging and decoding are done here.  The
+the public library; merging and decoding are done here.  Where the file names
+lower-casing and a split by a pattern, chunks of Latin letters up to U+017F,
+which composing leaves as they are, are lower-cased and split by that pattern
+without the library.  The
 ids of a word that the pre-tokenizer gives are remembered, in two generations
 of bounded size; a worker's memory does not grow with the corpus.  The vocabulary file is read once on the
 driver and sent with the task closure as bytes (a fixed public file of under
@@ -25,6 +28,7 @@ import json
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
+from operator import add
 
 import regex
 from pyspark.sql import DataFrame
@@ -39,8 +43,13 @@ CACHE_WORDS = 80_000
 LONG = 100
 #: Characters that are normalised and pre-tokenized at once.
 PART = 1 << 20
-_NONE, _SIDE = 1 << 30, 24
+_NONE = 1 << 30
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
+_LATIN = regex.compile("[!-\u017f]+")
+#: The normalisers, and the byte level after the pattern, that the short way stands for.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                {"type": "Lowercase"}]
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
 def _parts(piece: str) -> Iterator[str]:
@@ -70,6 +79,17 @@ class Remembered:
         self.young[key] = value
 
 
+def _latin_pattern(spec: dict) -> regex.Pattern | None:
+    """The pattern whose matches are the words of a lower-cased Latin chunk, if the file's
+    normaliser and pre-tokenizer come to that."""
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    split = {k: v for k, v in steps[0].items() if k != "pattern"}
+    if ((spec["normalizer"] or {}).get("normalizers") == _NORMALIZERS and steps[1:] == [_BYTE_LEVEL]
+            and split == {"type": "Split", "behavior": "Removed", "invert": True}):
+        return regex.compile(steps[0]["pattern"]["Regex"])
+    return None
+
+
 class ForcedBoundaryBpe:
     """Encoder and decoder for a word-level byte BPE vocabulary file (JSON)."""
 
@@ -78,18 +98,33 @@ class ForcedBoundaryBpe:
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
         self.ids = model["vocab"]
-        # a pair's rank by its two ids, and the id that a rank's pair becomes
-        self.ranks = {self.ids[a] << _SIDE | self.ids[b]: i for i, (a, b) in enumerate(model["merges"])}
+        # the id that a rank's pair becomes
         self.merged = [self.ids[a + b] for a, b in model["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
         for text, i in [*self.ids.items(), *self.special.items()]:
             self.tokens[i] = text
+        # for each left id the ranks of its pairs by right id
+        none: dict[int, int] = {}
+        self.after = [none] * len(self.tokens)
+        for i, (a, b) in enumerate(model["merges"]):
+            left = self.ids[a]
+            if self.after[left] is none:
+                self.after[left] = {}
+            self.after[left][self.ids[b]] = i
         self.split_special = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         named = Tokenizer.from_str(raw.decode())
         self.normalizer, self.splitter = named.normalizer, named.pre_tokenizer
-        self.inner, self.final = self._joined_pairs()
+        self.pattern = _latin_pattern(spec)
+        # The character that stands for each byte, as the library's byte level writes it.
+        printed = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
+        others = iter(range(0x100, 0x200))
+        self.byte_chars = {b: chr(b) if b in printed else chr(next(others)) for b in range(256)}
+        inner, final = self._joined_pairs()
+        symbol = self.ids.__getitem__
+        self.inner = {p: self._rank(symbol(p[0]), symbol(p[1])) for p in inner}
+        self.final = {p: self._rank(symbol(p[0]), symbol(p[1] + self.end)) for p in final}
         self.words, self.chunks = Remembered(cache), Remembered(cache)
 
     def _joined_pairs(self) -> tuple[set[str], set[str]]:
@@ -105,40 +140,51 @@ class ForcedBoundaryBpe:
                 final.update(pairs[-1:])
         return inner, final
 
-    def fragments(self, word: str) -> list[list[str]]:
-        """The symbols of a word (one character a byte), cut wherever no token can span."""
-        last = len(word) - 2
+    def _rank(self, left: int, right: int) -> int:
+        return self.after[left].get(right, _NONE)
+
+    def fragments(self, word: str) -> list[tuple[list[int], list[int]]]:
+        """A word (one character a byte) cut wherever no token can span: each fragment's
+        symbols, and the ranks of their neighbouring pairs."""
+        symbols = [*map(self.ids.__getitem__, word[:-1]), self.ids[word[-1] + self.end]]
+        ranks = list(map(self.inner.get, map(add, word, word[1:-1])))
+        if len(word) > 1:
+            ranks.append(self.final.get(word[-2:]))
+        if None not in ranks:
+            return [(symbols, ranks)]
         out, start = [], 0
-        for i in range(last + 1):
-            if word[i:i + 2] not in (self.final if i == last else self.inner):
-                out.append(list(word[start:i + 1]))
-                start = i + 1
-        out.append([*word[start:-1], word[-1] + self.end])
+        for i, rank in enumerate(ranks, 1):
+            if rank is None:
+                out.append((symbols[start:i], ranks[start:i - 1]))
+                start = i
+        out.append((symbols[start:], ranks[start:]))
         return out
 
-    def merge(self, parts: list[int]) -> list[int]:
-        """Apply merges to one fragment's symbols, lowest rank first, leftmost on ties."""
+    def merge(self, parts: list[int], ranks: list[int]) -> list[int]:
+        """Apply merges to one fragment's symbols, lowest rank first, leftmost on ties.
+
+        ``ranks`` are those of the neighbouring pairs; both lists are used up.
+        """
         if len(parts) > LONG:
             return self._merge_long(parts)
-        rank, merged = self.ranks.get, self.merged
-        ranks = [rank(a << _SIDE | b, _NONE) for a, b in zip(parts, parts[1:])]
+        after, merged = self.after, self.merged
         while ranks and (best := min(ranks)) != _NONE:
             at = ranks.index(best)
             parts[at] = made = merged[best]
             del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = rank(parts[at - 1] << _SIDE | made, _NONE)
+                ranks[at - 1] = after[parts[at - 1]].get(made, _NONE)
             if at < len(ranks):
-                ranks[at] = rank(made << _SIDE | parts[at + 1], _NONE)
+                ranks[at] = after[made].get(parts[at + 1], _NONE)
         return parts
 
     def _merge_long(self, parts: list[int]) -> list[int]:
         """``merge`` of a long fragment: a linked list and a heap of (rank, place)."""
-        rank, n = self.ranks.get, len(parts)
+        n = len(parts)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
 
         def pair(i):
-            return rank(parts[i] << _SIDE | parts[right[i]], _NONE) if right[i] < n else _NONE
+            return self._rank(parts[i], parts[right[i]]) if right[i] < n else _NONE
         heap = [(r, i) for i in range(n - 1) if (r := pair(i)) != _NONE]
         heapify(heap)
         while heap:
@@ -159,10 +205,8 @@ class ForcedBoundaryBpe:
         """Ids of one word of the pre-tokenizer."""
         got = self.words.get(word)
         if got is None:
-            symbol = self.ids.__getitem__
             # tuples of numbers: the garbage collector need not visit what is remembered
-            got = tuple([i for part in self.fragments(word)
-                         for i in self.merge(list(map(symbol, part)))])
+            got = tuple([i for part in self.fragments(word) for i in self.merge(*part)])
             if len(word) <= LONG:
                 self.words.add(word, got)
         return got
@@ -189,6 +233,38 @@ class ForcedBoundaryBpe:
             ids[at] += self._word(word)
         out.update(zip(chunks, ids))
 
+    def _learn_latin(self, chunk: str) -> tuple[int, ...]:
+        """Ids of one Latin chunk."""
+        ids: tuple[int, ...] = ()
+        for word in self.pattern.findall(chunk.lower()):
+            if not word.isascii() or "\x7f" in word:
+                word = "".join(map(self.byte_chars.__getitem__, word.encode()))
+            ids += self._word(word)
+        return ids
+
+    def _ids_of(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of every distinct chunk."""
+        young = self.chunks.young.get
+        known = {chunk: young(chunk) for chunk in dict.fromkeys(chunks)}
+        new, recall = [], self.chunks.get
+        latin = _LATIN.fullmatch if self.pattern else lambda chunk: None
+        for chunk in [c for c, ids in known.items() if ids is None]:
+            ids = recall(chunk)
+            if ids is None:
+                if not latin(chunk):
+                    new.append(chunk)
+                    continue
+                ids = self._learn_latin(chunk)
+                if len(chunk) <= LONG:
+                    self.chunks.add(chunk, ids)
+            known[chunk] = ids
+        for lo in range(0, len(new), 1000):
+            self._learn(new[lo:lo + 1000], known)
+        for chunk in new:
+            if len(chunk) <= LONG:
+                self.chunks.add(chunk, known[chunk])
+        return known
+
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
         for piece in self.split_special.split(text) if text else ():
@@ -197,14 +273,7 @@ class ForcedBoundaryBpe:
                 continue
             for part in _parts(piece):
                 chunks = regex.split(r"\s+", part) if _ODD_SPACE.search(part) else part.split()
-                known = {c: self.chunks.get(c) for c in dict.fromkeys(chunks)}
-                new = [c for c, ids in known.items() if ids is None]
-                for lo in range(0, len(new), 1000):
-                    self._learn(new[lo:lo + 1000], known)
-                for c in new:
-                    if len(c) <= LONG:
-                        self.chunks.add(c, known[c])
-                out += chain.from_iterable(map(known.__getitem__, chunks))
+                out += chain.from_iterable(map(self._ids_of(chunks).__getitem__, chunks))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -219,7 +288,9 @@ def encode_decode(docs: DataFrame, vocabulary: str, text_col: str = "text",
         raw = f.read()
 
     def start():
+        gc.unfreeze()       # what an earlier task in this worker left goes
         bpe = ForcedBoundaryBpe(raw, cache)
+        gc.collect()
         gc.freeze()         # the tables stay as long as the task: no need to visit them
 
         def row(text, *kept):
