@@ -37,8 +37,11 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the text that they decode to."""
-    kept = ("doc_id", "lang", "source", "n_chars")
+    """Token ids of every document, and the text that they decode to.
+
+    Of ``doc_id``, ``lang``, ``source`` and ``n_chars`` those that there are go along.
+    """
+    kept = tuple(c for c in ("doc_id", "lang", "source", "n_chars") if c in docs.columns)
     coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=kept)
     return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
