@@ -466,6 +466,37 @@ def test_keep_first_leaves_one_row_a_group(make, spark):
         assert len(kept) == 1 and kept[0][0] == min(i for i, _ in g)
 
 
+def test_stages_take_clashing_names_and_maps(make, spark):
+    """Columns named as the stages' own, a map column, rows that differ only in such columns."""
+    import corpus_pipeline
+
+    def words(c, n=30):
+        return " ".join(f"{c}{i}" for i in range(n))
+    schema = ("doc_id long, text string, _text string, _row string, _BID long, _bth long, set_id string, "
+              "component string, more map<string, int>")
+    rows = [(1, words("a"), "t1", "r", 5, 6, "s", "c", {"k": 1}),
+            (2, words("a"), "t2", "r", 5, 6, "s", "c", None),
+            (3, words("b"), "t3", None, None, 6, "s", "c", {"k": 1}),
+            (3, words("b"), "t4", None, None, 6, "s", "c", {"k": 2}),
+            (4, words("c"), "t5", "r", 5, 6, "s", "c", {}),
+            (None, None, None, None, None, None, None, None, None)]
+    docs = make(rows, schema)
+    got = near_dup.keep_first(docs)
+    assert got.columns == docs.columns
+    kept = [tuple(r) for r in got.collect()]
+    assert all(r in rows for r in kept) and len(kept) == 4
+    assert sorted(r[0] for r in kept if r[0]) == [1, 3, 4]
+    assert near_dup.keep_first(make(rows[::-1], schema, 3)).where("doc_id = 3").collect() \
+        == got.where("doc_id = 3").collect()
+
+    bench = make([(7, words("c"))], "item_id long, text string")
+    clean = decontam.drop_contaminated(docs, bench)
+    assert clean.columns == docs.columns
+    assert sorted(str(r["_text"]) for r in clean.collect()) == ["None", "t1", "t2", "t3", "t4"]
+    coded = corpus_pipeline.bpe_stage(spark, docs, "")
+    assert coded.columns == ["doc_id", "ids", "decoded", "n_tokens"] and coded.count() == 6
+
+
 # ---------------------------------------------------------------- op 8
 
 def test_sharding_balances_every_source(make):

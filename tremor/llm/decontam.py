@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import ascii_lower, cut
+from tremor.llm.common import ascii_lower, cut, unused
 
 WINDOW = 13
 TOKEN = 5
@@ -191,8 +191,9 @@ def contaminated() -> Column:
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """``docs`` without its contaminated rows; one row per row that stays."""
+    """``docs`` without its contaminated rows; one row per row that stays, its columns of any name."""
+    bid, bth = unused(docs, "_bid"), unused(docs, "_bth")
     bad = (contamination(docs, bench, key, text_col).where(contaminated())
-           .select(F.col(key).alias("_bid"), F.col("_th").alias("_bth")).distinct())
-    return docs.join(bad, docs[key].eqNullSafe(F.col("_bid"))
-                     & (F.xxhash64(docs[text_col]) == F.col("_bth")), "left_anti")
+           .select(F.col(key).alias(bid), F.col("_th").alias(bth)).distinct())
+    return docs.join(bad, docs[key].eqNullSafe(F.col(bid))
+                     & (F.xxhash64(docs[text_col]) == F.col(bth)), "left_anti")

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremor.llm.common import cut, map_rows
+from tremor.llm.common import cut, map_rows, unused
 from tremor.llm.components import components
 
 WORDS = 5
@@ -399,25 +399,28 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text_col: str = "text") ->
 
     Rows without an id are kept.  Where the smallest id stands on several texts of the
     group, the one with the smallest hash stays.  Texts without words stand alone, once
-    per id and text; of rows that repeat an id and text the one with the smallest other
-    columns stays.
+    per id and text; of rows that repeat an id and text the one with the smallest SHA-256
+    of its JSON stays, so columns may have any type that JSON has, and any name.
     """
-    marked = docs.withColumn("_text", F.xxhash64(text_col))
-    rows = cut(_sketches(marked, key, text_col, "_text"))
-    seen = cut(rows.where("doc_id is not null").groupBy("doc_id", "_text")
+    mark = unused(docs, "_text")
+    marked = docs.withColumn(mark, F.xxhash64(text_col))
+    rows = cut(_sketches(marked, key, text_col, mark))
+    seen = cut(rows.where("doc_id is not null").groupBy("doc_id", mark)
                .agg(F.first("set_id").alias("set_id"), F.count(F.lit(1)).alias("n")))
     member = seen.join(_grouped(rows, docs, key, text_col), "set_id").select(
-        "component", F.struct("doc_id", "_text").alias("row"))
+        "component", F.struct("doc_id", mark).alias("row"))
     first = cut(member.groupBy("component").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("n"))
                 .where("n > 1").drop("n"))
     away = cut(member.join(_sized(first, first.count()), "component").where("row <> least")
-               .select(F.col("row.doc_id").alias(key), F.col("row._text").alias("_text")))
-    left = marked.join(_sized(away, away.count()), [key, "_text"], "left_anti")
-    again = cut(seen.where("n > 1").select(F.col("doc_id").alias(key), "_text"))
+               .select(F.col("row.doc_id").alias(key), F.col("row")[mark].alias(mark)))
+    left = marked.join(_sized(away, away.count()), [key, mark], "left_anti")
+    again = cut(seen.where("n > 1").select(F.col("doc_id").alias(key), mark))
     n = again.count()
     if n:
         again = _sized(again, n)
-        once = (left.join(again, [key, "_text"], "left_semi").groupBy(key, "_text")
-                .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
-        left = left.join(again, [key, "_text"], "left_anti").select(*docs.columns).unionByName(once)
+        row = F.struct(*docs.columns)
+        once = (left.join(again, [key, mark], "left_semi").groupBy(key, mark)
+                .agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias(unused(marked, "_row")))
+                .select(F.col(unused(marked, "_row") + ".*")))
+        left = left.join(again, [key, mark], "left_anti").select(*docs.columns).unionByName(once)
     return left.select(*docs.columns)
