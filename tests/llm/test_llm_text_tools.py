@@ -99,15 +99,16 @@ def test_latin_way_needs_the_files_own_steps():
 @pytest.fixture(scope="module")
 def unigram():
     t = Tokenizer(models.Unigram(PIECES, unk_id=0, byte_fallback=True))
-    t.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=True)
+    t.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
     return t
 
 
 def test_viterbi_counts_equal_library(unigram):
     own = token_count.UnigramCounter(PIECES, cache=100)
     rnd = random.Random(3)
-    texts = TEXTS + ["<s> <unk> <0x41> </s>", "a▁b▁▁c", "▁x", "▁", "  two  spaces ", "\n\n\tmixed"]
-    texts += ["".join(rnd.choice("aeistrn thäé漢\n▁z") for _ in range(rnd.randint(1, 60)))
+    texts = TEXTS + ["<s> <unk> <0x41> </s>", "a▁b▁▁c", "▁x", "▁", "  two  spaces ", "\n\n\tmixed",
+                     "a    b", "x\n    y", " " * 40, "a" + " " * 33 + "b ", "▁▁  ▁"]
+    texts += ["".join(rnd.choice("aei  str  n thäé漢\n▁z") for _ in range(rnd.randint(1, 60)))
               for _ in range(400)]
     for t in texts:
         want = len(unigram.encode(t, add_special_tokens=False).ids) if t else 0
@@ -115,6 +116,15 @@ def test_viterbi_counts_equal_library(unigram):
     assert own.text(None) == (0.0, 0)
 
 
+def test_pieces_of_several_marks_are_reached():
+    own = token_count.UnigramCounter(PIECES)
+    assert own.splits and sum(len(p) > 1 and set(p) == {token_count.MARK} for p, _ in PIECES) == 14
+    assert own.text("a    b")[1] == 3 and not own.text("z" * 500 + " b")[1] == 0
+    assert all(len(w) <= token_count.LONG for w in own.young)
+    inside = token_count.UnigramCounter([("<unk>", -9.0), ("▁", -2.0), ("a", -2.0), ("a▁a", -1.0)])
+    assert not inside.splits and inside.text("a a") == (-3.0, 2)
+
+
 def test_viterbi_ties_prefer_the_leftmost_start():
     pieces = [("<unk>", 0.0), ("▁", 0.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁ab", -2.0)]
     own = token_count.UnigramCounter(pieces)

@@ -8,9 +8,13 @@ candidate must be strictly better, and candidates arrive from the leftmost
 start.  A character without a piece of its own costs the lowest score minus
 ten and counts one piece per UTF-8 byte (byte fallback).
 
-Texts are split before each word mark (U+2581, which also stands for a
-space), so a word's result does not depend on its neighbours; results are
-remembered per word in two generations of bounded size.
+A space stands as a word mark (U+2581), and a text begins with one.  Texts are
+split before each run of marks, over which no piece reaches unless one holds a
+mark after another character; for such a vocabulary they are not split.  So a
+word's result does not depend on its neighbours; results of words up to
+``LONG`` characters are remembered in two generations of bounded size.  The
+text is taken as it is: a vocabulary's own Unicode normaliser is not applied.
+Whole scores (as the ranks that a BPE file's pieces carry) add exactly.
 
 Null and empty texts have no pieces and score 0; repeated rows each get a
 row; columns beyond the key and the text are dropped.
@@ -18,6 +22,8 @@ row; columns beyond the key and the text are dropped.
 
 from __future__ import annotations
 
+import re
+
 import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -27,6 +33,10 @@ from tremor.llm.common import map_rows
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 200_000
+#: Characters up to which a word is remembered.
+LONG = 100
+_WORD = re.compile(f"{MARK}+[^{MARK}]*")
+_MARK_INSIDE = re.compile(f"[^{MARK}]{MARK}")
 
 
 def read_pieces(model_file: str) -> list[tuple[str, float]]:
@@ -42,11 +52,12 @@ class UnigramCounter:
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.splits = not any(_MARK_INSIDE.search(piece) for piece, _ in pieces)
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
         self.size, self.young, self.old = cache, {}, {}
 
     def word(self, word: str) -> tuple[float, int]:
-        """Best score and its piece count of a word with its leading mark."""
+        """Best score and its piece count of a word with its leading marks."""
         n = len(word)
         score: list[float] = [0.0] + [float("-inf")] * n
         count = [0] * (n + 1)
@@ -67,7 +78,9 @@ class UnigramCounter:
 
     def _remember(self, word: str) -> tuple[float, int]:
         if (got := self.old.get(word)) is None:
-            got = self.word(MARK + word)
+            got = self.word(word)
+        if len(word) > LONG:
+            return got
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
         self.young[word] = got
@@ -76,9 +89,11 @@ class UnigramCounter:
     def text(self, text: str | None) -> tuple[float, int]:
         if not text:
             return 0.0, 0
-        words = text.replace(" ", MARK).split(MARK)
+        marked = text.replace(" ", MARK)
+        if marked[0] != MARK:
+            marked = MARK + marked
         total, pieces = 0.0, 0
-        for word in words[1:] if words[0] == "" else words:
+        for word in _WORD.findall(marked) if self.splits else (marked,):
             got = self.young.get(word)
             if got is None:
                 got = self._remember(word)
