@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -17,6 +17,8 @@ from tremor.session import ensure_checkpoint_dir, shuffle_partitions
 # Row functions travel to the executors by value: they need not have this package.
 cloudpickle.register_pickle_by_value(tremor.llm)
 
+#: Rows of a few numbers that one task is given, where their number is known.
+ROWS_A_TASK = 50_000
 _POS_BITS = 33
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -31,6 +33,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tasks(n: int) -> int:
+    """Tasks for ``n`` short rows."""
+    return 1 + n // ROWS_A_TASK
+
+
+def counted(df: DataFrame, rows_a_task: int | None = None) -> tuple[DataFrame, int]:
+    """``cut`` of ``df``, and its number of rows, which the same job counts.
+
+    A table of a few rows then lies in a few partitions, so that the shuffles
+    that read it don't write files for every task of the one that made it.
+    """
+    seen = Observation()
+    made = cut(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    n = seen.get["n"]
+    return made.coalesce(1 + n // (rows_a_task or ROWS_A_TASK)), n
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremor.llm.common import cut, map_rows, unused
+from tremor.llm.common import counted, cut, map_rows, unused
 from tremor.llm.components import components
 
 WORDS = 5
@@ -55,6 +55,8 @@ SMALL = 4096
 SCREEN = 348
 #: Counted rows of one or two ids up to which they are broadcast (under 8 MB); else they shuffle.
 BROADCAST_ROWS = 200_000
+#: Full sets that one task is given, where their number is known.
+SETS_A_TASK = 2_000
 _BLOCK = 256
 _ROWS = 64               # members compared with all others of a node at a time
 _MIX = np.random.default_rng(20240531).integers(1 << 62, 1 << 63, size=SKETCH + WORDS + 1,
@@ -153,8 +155,7 @@ class _Links:
 
     def prepare(self, reps: DataFrame) -> None:
         """Build the sets of the representatives ``reps`` (column ``rep``) that are not there yet."""
-        missing = cut(reps.distinct().join(self.sets.select("rep"), "rep", "left_anti"))
-        n = missing.count()
+        missing, n = counted(reps.distinct().join(self.sets.select("rep"), "rep", "left_anti"))
         if not n:
             return
         own = self.reps.select("rep", "set_id", "head").join(_sized(missing, n), "rep", "left_semi")
@@ -163,7 +164,7 @@ class _Links:
         # An id may stand on several texts; the representatives' sets are meant.
         built = (_sets(texts, self.text_col).join(_sized(own.select("rep", "set_id"), n), "set_id")
                  .select("rep", "shingles").dropDuplicates(["rep"]))
-        self.sets = self.sets.unionByName(cut(built))
+        self.sets = self.sets.unionByName(counted(built, SETS_A_TASK)[0])
 
     def confirm(self, pairs: DataFrame, later: DataFrame | None = None) -> bool:
         """Judge candidate pairs on full sets; True if the components changed.
@@ -171,8 +172,7 @@ class _Links:
         ``later`` names representatives whose sets further levels may need; they are
         built in the same pass over the texts.
         """
-        pairs = cut(pairs.distinct())
-        n = pairs.count()
+        pairs, n = counted(pairs.distinct())
         if not n:
             return False
         ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
@@ -182,10 +182,10 @@ class _Links:
             "a", "b", F.col("shingles").alias("sa"))
         ends = self.sets.join(_sized(pairs.select(F.col("b").alias("rep")), n), "rep", "left_semi")
         both = held.join(ends.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-        linked = cut(both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
-                     .where(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i")))
-                     .select("a", "b"))
-        if linked.isEmpty():
+        linked, n = counted(both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
+                            .where(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i")))
+                            .select("a", "b"))
+        if not n:
             return False
         self.found = self.found.unionByName(linked)
         self.labels = components(self.found, "a", "b")
@@ -213,12 +213,12 @@ def _branch(open_paths: DataFrame, reps: DataFrame, steps: int = 1) -> DataFrame
 
 def _open(paths: DataFrame) -> DataFrame:
     """Paths in nodes whose members are not all connected, with the node's size and pivot."""
-    nodes = cut(paths.groupBy("node")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"),
-                     F.min_by("component", "rep").alias("pivot_component"),
-                     F.min("component").alias("lo"), F.max("component").alias("hi"))
-                .where("lo <> hi").drop("lo", "hi"))
-    return cut(paths.join(nodes, "node"))
+    nodes, _ = counted(paths.groupBy("node")
+                       .agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"),
+                            F.min_by("component", "rep").alias("pivot_component"),
+                            F.min("component").alias("lo"), F.max("component").alias("hi"))
+                       .where("lo <> hi").drop("lo", "hi"))
+    return counted(paths.join(nodes, "node"))[0]
 
 
 def _agreeing(tokens: np.ndarray, rows: int) -> np.ndarray:
@@ -374,9 +374,9 @@ def _grouped(rows: DataFrame, docs: DataFrame, key: str, text_col: str) -> DataF
         paths = _branch(large, reps_left, min(level, 2))
     centres = links.labels.select("component").distinct()
     linked = links.labels.union(centres.select("component", "component")).withColumnRenamed("node", "rep")
-    heads = cut(linked.join(reps.select("rep", "head"), "rep").groupBy("component")
-                .agg(F.min("head").alias("least")))
-    named = linked.join(_sized(heads, heads.count()), "component")
+    heads, n = counted(linked.join(reps.select("rep", "head"), "rep").groupBy("component")
+                       .agg(F.min("head").alias("least")))
+    named = linked.join(_sized(heads, n), "component")
     return (reps.select("set_id", "rep", "head").join(named, "rep", "left")
             .select("set_id", F.coalesce("component", "rep").alias("component"),
                     F.coalesce("least", "head").alias("head")))
@@ -409,13 +409,13 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text_col: str = "text") ->
                .agg(F.first("set_id").alias("set_id"), F.count(F.lit(1)).alias("n")))
     member = seen.join(_grouped(rows, docs, key, text_col), "set_id").select(
         "component", F.struct("doc_id", mark).alias("row"))
-    first = cut(member.groupBy("component").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("n"))
-                .where("n > 1").drop("n"))
-    away = cut(member.join(_sized(first, first.count()), "component").where("row <> least")
-               .select(F.col("row.doc_id").alias(key), F.col("row")[mark].alias(mark)))
-    left = marked.join(_sized(away, away.count()), [key, mark], "left_anti")
-    again = cut(seen.where("n > 1").select(F.col("doc_id").alias(key), mark))
-    n = again.count()
+    first, n = counted(member.groupBy("component")
+                       .agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("n"))
+                       .where("n > 1").drop("n"))
+    away, n = counted(member.join(_sized(first, n), "component").where("row <> least")
+                      .select(F.col("row.doc_id").alias(key), F.col("row")[mark].alias(mark)))
+    left = marked.join(_sized(away, n), [key, mark], "left_anti")
+    again, n = counted(seen.where("n > 1").select(F.col("doc_id").alias(key), mark))
     if n:
         again = _sized(again, n)
         row = F.struct(*docs.columns)
