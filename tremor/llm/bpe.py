@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-import tremor.llm.common  # noqa: F401  (row functions travel by value)
+from tremor.llm.common import in_batches
 
 #: Words, and white-space-separated chunks, remembered per generation and task.
 CACHE_WORDS = 80_000
@@ -407,4 +407,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, text_col: str = "text",
                     [c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, arrow)],
                     schema=arrow)
 
-    return docs.select(text_col, *keep).mapInArrow(run, schema)
+    return in_batches(docs.select(text_col, *keep), run, schema)

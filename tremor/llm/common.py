@@ -19,6 +19,8 @@ cloudpickle.register_pickle_by_value(tremor.llm)
 
 #: Rows of a few numbers that one task is given, where their number is known.
 ROWS_A_TASK = 50_000
+#: Rows of whole texts that travel to Python at a time, where the session has Spark's default.
+TEXTS_A_BATCH = 1_000
 _POS_BITS = 33
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -73,6 +75,19 @@ def fenced(df: DataFrame, **made: Column) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in made], F.inline(F.array(packed)))
 
 
+def in_batches(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]],
+               schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for whole texts.
+
+    Spark's default of 10,000 rows is some 30 MB of documents, held by the executor and by
+    each of its workers; a session that has the default gets ``TEXTS_A_BATCH`` instead.
+    """
+    conf, rows = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(rows) == "10000":
+        conf.set(rows, str(TEXTS_A_BATCH))
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(df: DataFrame, start: Callable[[], Callable[..., tuple]], schema: T.StructType,
              chunk: int = 256) -> DataFrame:
     """``df``'s rows through a per-task function, in Arrow batches of ``chunk`` rows.
@@ -92,7 +107,7 @@ def map_rows(df: DataFrame, start: Callable[[], Callable[..., tuple]], schema: T
                     [pa.array(col, type=t.type) for col, t in zip(zip(*rows), arrow)],
                     schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df, run, schema)
 
 
 def positions(df: DataFrame, order: list[Column], within: str | None = None,
