@@ -60,6 +60,30 @@ def _pair():
     return _MADE
 
 
+def test_bpe_of_many_texts_together(library, monkeypatch):
+    """Any grouping gives every text its own ids, whatever is merged beside it."""
+    rnd = random.Random(11)
+    made = ["".join(rnd.choice("aeioustnrlé ñß'.,!1 日\t\x85\xa0") for _ in range(rnd.randrange(400)))
+            for _ in range(60)]
+    edge = ["x" * n + " " + "ab" * n for n in (49, 50, 51, 99, 100, 101)]
+    texts = [None, *TEXTS, *made, *edge, *made[:5], "a<|endoftext|>日本 b<|startoftext|>"]
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for together, part in ((1 << 17, 1 << 20), (1, 1), (37, 200)):
+        monkeypatch.setattr(bpe, "TOGETHER", together)
+        monkeypatch.setattr(bpe, "PART", part)
+        with open(VOCAB, "rb") as f:
+            own = bpe.ForcedBoundaryBpe(f.read(), cache=30)
+        assert own.encode_all(texts) == wanted
+    assert own.encode_all([]) == []
+
+
+def test_merging_long_and_short_fragments_agrees(ours):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("aeithnosrq") for _ in range(rnd.randrange(1, 60))) for _ in range(300)]
+    one = [tuple(i for part in ours.fragments(w) for i in ours._merge_long(*part)) for w in words]
+    assert ours.merge_words(words) == one
+
+
 def test_forced_boundaries_cut_words(ours):
     assert len(ours.fragments("qzxÃ±æ¼")) > 1
     assert "".join(ours.tokens[i] for ids, _ in ours.fragments("hello") for i in ids) == "hello</w>"
