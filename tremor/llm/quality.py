@@ -145,6 +145,8 @@ ABUSE_BINS = {
 _BIN_AT = {k: np.array([xxhash.xxh32_intdigest(f"{k}:{i}") % DIMENSIONS for i in range(len(v) + 1)])
            for k, v in {**BINS, **ABUSE_BINS}.items()}
 _BIN_WEIGHT = 0.3
+#: How features and their weights travel to the driver.
+_AT, _WEIGHT = np.dtype("<i4"), np.dtype("<f4")
 
 
 def features(seen: Shape | None) -> tuple[np.ndarray, np.ndarray]:
@@ -278,20 +280,23 @@ def fit(docs: DataFrame, key: str = "doc_id", text_col: str = "text", sample: in
             clean_at, clean_x = clean_features(seen)
             # The words of both are the same and come first.
             words = len(at) - len(BINS) if seen else 0
-            return (n, *both(t), at.tolist(), x.tolist(), clean_at[words:].tolist(), clean_x[words:].tolist())
+            return (n, *both(t), *[v.astype(kind).tobytes() for v, kind in (
+                (at, _AT), (x, _WEIGHT), (clean_at[words:], _AT), (clean_x[words:], _WEIGHT))])
         return row
+    # Packed: as arrays, every number of the sample would be an object on the driver, in the JVM and in Python.
     schema = T.StructType([T.StructField("n", T.LongType()), *names.fields,
-                           *[T.StructField(c, T.ArrayType(t)) for c, t in (
-                               ("at", T.IntegerType()), ("x", T.FloatType()),
-                               ("clean_at", T.IntegerType()), ("clean_x", T.FloatType()))]])
+                           *[T.StructField(c, T.BinaryType()) for c in ("at", "x", "clean_at", "clean_x")]])
     rows = map_rows(drawn, start, schema).collect()
-    train = [(np.array(r["at"], np.int64), np.array(r["x"]), posterior[r["pattern"]], r["n"])
-             for r in rows if r["pattern"] in posterior]
-    train_clean = [(np.array(r["at"][:-len(BINS)] + r["clean_at"], np.int64),
-                    np.array(r["x"][:-len(BINS)] + r["clean_x"]), clean[r["clean"]], r["n"])
-                   for r in rows if r["clean"] in clean]
+
+    def unpacked(r, clean_too: bool) -> tuple[np.ndarray, np.ndarray]:
+        at, x = np.frombuffer(r["at"], _AT), np.frombuffer(r["x"], _WEIGHT)
+        if clean_too:
+            at = np.concatenate([at[:-len(BINS)], np.frombuffer(r["clean_at"], _AT)])
+            x = np.concatenate([x[:-len(BINS)], np.frombuffer(r["clean_x"], _WEIGHT)])
+        return at.astype(np.int64), x.astype(float)
     weights = []
-    for t in (train, train_clean):
+    for name, soft in (("pattern", posterior), ("clean", clean)):
+        t = [(*unpacked(r, name == "clean"), soft[r[name]], r["n"]) for r in rows if r[name] in soft]
         t.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[3]))
         weights.append(fit_scorer([r[:3] for r in t], times=[r[3] for r in t]))
     return Model(posterior, accuracy, *weights)
