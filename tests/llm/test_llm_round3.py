@@ -203,6 +203,25 @@ def test_folded_roots_show_tampering(make):
     assert manifest.manifest(make(rows, DOCS).where("doc_id < 0")).count() == 0
 
 
+def test_manifest_writes_no_file_for_every_shuffle_partition(spark, make, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(manifest, "cut", lambda df, f=manifest.cut: cuts.append(f(df)) or cuts[-1])
+    cores = spark.sparkContext.defaultParallelism
+    rows = [(i, f"t{i}", "en" if i % 3 else "de", "s", i, "g", "n") for i in range(300)]
+    held = {"spark.sql.shuffle.partitions": "37", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        made = manifest.manifest(make(rows, DOCS))
+        assert [df.rdd.getNumPartitions() <= cores for df in cuts] == [True] * 3
+        assert made.rdd.getNumPartitions() <= cores
+        assert made.select("doc_id").distinct().count() == 300
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("name", ["op11_conversations", "op12_manifest"])
 def test_queries_equal_their_sql(spark, sf_small, name):
     ok, msg = compare(queries.QUERIES[name](spark, sf_small), connect(sf_small), ORACLE_SQL[name])

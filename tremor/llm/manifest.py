@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, positions
+from tremor.llm.common import cut, positions, tasks
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 BITS = 6
@@ -102,15 +102,26 @@ def _emit(tier: DataFrame, above: DataFrame | None) -> DataFrame:
             .select("grp", "item.node", "item.path", "subroot", "root"))
 
 
-def _tiers(nodes: DataFrame, most: int) -> list[DataFrame]:
-    """Blocks of nodes, blocks of their roots, and so on, until a group is one block."""
-    tiers = [cut(_roll(nodes))]
+def _in_few(df: DataFrame, n: int) -> DataFrame:
+    """``df`` made of ``n`` nodes, in no more partitions than these or the cores ask for.
+
+    Every partition is a file of a checkpoint or of the result, empty or not.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, tasks(n)))
+
+
+def _tiers(nodes: DataFrame, most: int, n: int) -> list[DataFrame]:
+    """Blocks of nodes, blocks of their roots, and so on, until a group is one block.
+
+    ``nodes`` are ``n``, of which one group has ``most``.
+    """
+    tiers = [cut(_in_few(_roll(nodes), n))]
     while most > 1 << BITS:
         most = -(-most // (1 << BITS))
         # a block's root carries its place: on the way down it names the block
-        tiers.append(cut(_roll(tiers[-1].select(
+        tiers.append(cut(_in_few(_roll(tiers[-1].select(
             "grp", "pos", _nodes_left(BITS).cast("long").alias("total"),
-            F.struct(F.col("tree.h").alias("h"), F.col("pos").alias("pos")).alias("node")))))
+            F.struct(F.col("tree.h").alias("h"), F.col("pos").alias("pos")).alias("node"))), n)))
     return tiers
 
 
@@ -121,8 +132,10 @@ def _descend(tiers: list[DataFrame], above: DataFrame | None) -> DataFrame:
     return _emit(tiers[0], above)
 
 
-def _most(ranked: DataFrame) -> int:
-    return int(ranked.agg(F.max("_total")).first()[0] or 0)
+def _sizes(ranked: DataFrame) -> tuple[int, int]:
+    """Rows of the largest group, and of all groups."""
+    most, n = ranked.agg(F.max("_total"), F.count(F.lit(1))).first()
+    return int(most or 0), n
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
@@ -137,18 +150,19 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
                          F.monotonically_increasing_id().alias("tie"))
     # rows equal in all columns may be many: the last order column spreads them
     ranked = positions(leaves, [F.col(c) for c in ("lang", "doc_id", "leaf", "tie")], within="lang")
+    most, n = _sizes(ranked)
     tiers = _tiers(ranked.select(
         F.col("lang").alias("grp"), F.col("_pos").alias("pos"), F.col("_total").alias("total"),
-        F.struct(F.col("leaf").alias("h"), "doc_id", "changed").alias("node")), _most(ranked))
+        F.struct(F.col("leaf").alias("h"), "doc_id", "changed").alias("node")), most, n)
 
     subroots = tiers[-1].select(F.col("grp").alias("lang"), F.col("tree.h").alias("h"))
     ordered = positions(subroots, [F.col("lang")])
     top = _tiers(ordered.select(
         F.lit(0).alias("grp"), F.col("_pos").alias("pos"), F.col("_total").alias("total"),
-        F.struct("h", "lang").alias("node")), _most(ordered))
+        F.struct("h", "lang").alias("node")), *_sizes(ordered))
     above = _descend(top, None).select(F.col("node.lang").alias("grp"), F.lit(0).cast("long").alias("pos"),
                                        "path", F.col("node.h").alias("subroot"), "root")
-    return _descend(tiers, above).select(
+    return _in_few(_descend(tiers, above), n).select(
         "node.doc_id", F.col("node.h").alias("leaf"), F.col("node.changed").alias("changed_leaf"),
         "subroot", "root", "path")
 
