@@ -1,5 +1,6 @@
 """What a warehouse load holds on the driver at once."""
 
+import os
 import threading
 
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from tremor.operators.keys import number_keys
 from tremor.plans import queries as Q
 from tremor.plans import warehouse as W
 from tremor.plans.warehouse import Warehouse
+from tremor.session import list_names, local_path
 
 
 def _most_at_once(monkeypatch, wh, loads):
@@ -85,3 +87,22 @@ def test_only_later_batches_look_up_their_events(spark, sf_small, monkeypatch):
     keys = ["earthquake_id", "magnitude", "depth"]
     assert wh.table("earthquake_fact").select(*keys).exceptAll(
         one.table("earthquake_fact").select(*keys)).isEmpty()
+
+
+def _marked(spark, folder):
+    """Marker files under a local folder, and its part files."""
+    names = [n for _, _, files in os.walk(local_path(folder)) for n in files]
+    return [n for n in names if "_SUCCESS" in n], [n for n in names if n.startswith("part-")]
+
+
+def test_load_starts_no_process_for_marker_files(spark, sf_small):
+    ranks = f"{spark.sparkContext.getCheckpointDir()}/tremor/ranks"
+    before = set(list_names(spark, ranks))
+    stg = _events(spark, sf_small).where("earthquake_id IS NOT NULL AND time IS NOT NULL")
+    wh = Warehouse(spark).load_batch(stg)
+    numbered = set(list_names(spark, ranks)) - before
+    assert len(numbered) == 9
+    for folder in [wh.root, *[f"{ranks}/{n}" for n in numbered]]:
+        marks, parts = _marked(spark, folder)
+        assert parts and not marks
+    assert wh.table("earthquake_fact").count() == 40
