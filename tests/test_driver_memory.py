@@ -106,3 +106,39 @@ def test_load_starts_no_process_for_marker_files(spark, sf_small):
         marks, parts = _marked(spark, folder)
         assert parts and not marks
     assert wh.table("earthquake_fact").count() == 40
+
+
+def _joins(df):
+    return str(df._jdf.queryExecution().optimizedPlan()).count("Join ")
+
+
+def test_later_batch_measures_ids_without_joins_and_reads_its_events_once(
+        spark, sf_small, monkeypatch):
+    stg = _events(spark, sf_small).where("earthquake_id IS NOT NULL AND time IS NOT NULL")
+    wh = Warehouse(spark).load_batch(stg.limit(30))
+    measured, read = [], []
+    restrict, star = W.restrict_to_batch, W.star_fact_rows
+
+    def spied(table, batch, keys, *args):
+        measured.append((keys, _joins(batch)))
+        return restrict(table, batch, keys, *args)
+
+    def built(eq, *dims):
+        read.append(str(eq._jdf.queryExecution().optimizedPlan()).count("Relation "))
+        return star(eq, *dims)
+    monkeypatch.setattr(W, "restrict_to_batch", spied)
+    monkeypatch.setattr(W, "star_fact_rows", built)
+    batches = f"{spark.sparkContext.getCheckpointDir()}/tremor/batch"
+    before = list_names(spark, batches)
+    wh.load_batch(stg)
+    by_id = [n for keys, n in measured if keys == ["earthquake_id"]]
+    assert len(by_id) == 3 and by_id[-1] == 0 and max(by_id) <= 1
+    assert read == [1 + 2]                      # the batch, and the stored ids with what restricts them
+    assert list_names(spark, batches) == before
+    monkeypatch.undo()
+    one = Warehouse(spark).load_batch(stg)
+    for name, cols in (("earthquake", ["earthquake_id", "time", "magnitude", "status"]),
+                       ("earthquake_fact", ["earthquake_id", "magnitude", "depth"])):
+        got, want = wh.table(name).select(*cols), one.table(name).select(*cols)
+        assert got.count() == want.count() == 40
+        assert got.exceptAll(want).isEmpty()
