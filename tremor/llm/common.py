@@ -32,7 +32,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: the rows are written once to the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return estimated(df.checkpoint(eager=True))
+
+
+def estimated(made: DataFrame) -> DataFrame:
+    """The checkpoint ``made`` with an estimated size of 64 bits at most.
+
+    A checkpoint goes by the estimate of the plan that made it, and a join's is the product
+    of its sides'.  Where rows are joined with what was made of them, round after round, the
+    estimate's digits double with each join until they fill the driver's heap.  One beyond
+    64 bits gives way to Spark's own for an unknown size, which is as far above every limit.
+    """
+    plan = made._jdf.queryExecution().analyzed()
+    if plan.stats().sizeInBytes() < 1 << 63:
+        return made
+    spark, jvm = made.sparkSession, made.sparkSession.sparkContext._jvm
+    unknown = jvm.scala.Option.empty()
+    plan = jvm.org.apache.spark.sql.execution.LogicalRDD(
+        plan.output(), plan.rdd(), plan.outputPartitioning(), plan.outputOrdering(),
+        plan.isStreaming(), plan.stream(), spark._jsparkSession, unknown, unknown)
+    return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan), spark)
 
 
 def tasks(n: int) -> int:
