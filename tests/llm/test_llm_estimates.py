@@ -55,8 +55,9 @@ def test_components_of_a_long_chain(spark, monkeypatch):
 def test_near_duplicates_of_a_node_that_branches_on(spark, monkeypatch):
     """Texts of one common passage: nodes stay large and apart for several levels."""
     monkeypatch.setattr(near_dup, "SMALL", 4)
-    seen = []
+    seen, released = [], []
     _spied(monkeypatch, near_dup, seen)
+    monkeypatch.setattr(near_dup, "release", released.append)
     common = " ".join(f"c{i}" for i in range(14))
     rows = [(i, f"{common} " + " ".join(f"w{i}x{j}" for j in range(12))) for i in range(24)]
     rows += [(100 + i, f"{t} end{i}") for i, t in rows[:6]]
@@ -64,3 +65,4 @@ def test_near_duplicates_of_a_node_that_branches_on(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs).collect()}
     assert got == {i: i % 100 for i, _ in rows}
     assert max(seen) <= 64 and len(seen) > 20
+    assert set(released) == {spark} and len(released) > 4      # finished levels are let go, too

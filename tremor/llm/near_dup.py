@@ -46,6 +46,7 @@ from pyspark.sql import types as T
 
 from tremor.llm.common import counted, cut, map_rows, unused
 from tremor.llm.components import components
+from tremor.session import release
 
 WORDS = 5
 PERCENT = 75
@@ -165,6 +166,7 @@ class _Links:
         built = (_sets(texts, self.text_col).join(_sized(own.select("rep", "set_id"), n), "set_id")
                  .select("rep", "shingles").dropDuplicates(["rep"]))
         self.sets = self.sets.unionByName(counted(built, SETS_A_TASK)[0])
+        release(self.docs.sparkSession)                # the driver's copies of what that broadcast
 
     def confirm(self, pairs: DataFrame, later: DataFrame | None = None) -> bool:
         """Judge candidate pairs on full sets; True if the components changed.
@@ -355,6 +357,7 @@ def _grouped(rows: DataFrame, docs: DataFrame, key: str, text_col: str) -> DataF
     columns = ["tree", "node", "rep", "component"]
     reps_left = reps
     for level in range(1, SKETCH + 1):
+        release(docs.sparkSession)
         paths = _open(paths)
         star = paths.where(F.col("n") > SMALL).where("component <> pivot_component").select(
             F.col("pivot").alias("a"), F.col("rep").alias("b"))
